@@ -53,6 +53,15 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
+def single(df: DataFrame, *names: str) -> DataFrame:
+    """Means in single precision.
+
+    A mean of money can lie exactly between two decimals, where engines that add in another
+    order round to different sides; no mean lies exactly between two binary fractions like that.
+    """
+    return df.withColumns({name: F.col(name).cast("float").cast("double") for name in names})
+
+
 @lru_cache(maxsize=None)
 def _stored(application: str, sf_dir: str) -> Lake:
     spark = SparkSession.getActiveSession()

@@ -179,3 +179,8 @@ DAY_CASE = "CASE pickup_day_of_week " + " ".join(f"WHEN {i} THEN '{day}'" for i,
 
 def rounded(*names: str, digits: int = 6) -> str:
     return ", ".join(f"round({name}, {digits}) AS {name}" for name in names)
+
+
+def single(*names: str) -> str:
+    """Means in single precision, see ``frames.single``."""
+    return ", ".join(f"CAST(CAST({name} AS FLOAT) AS DOUBLE) AS {name}" for name in names)

@@ -29,7 +29,6 @@ from meterline.sources.trips import trips_view
 from meterline.suite import oracle as o
 from meterline.suite.frames import (
     MONTH,
-    PLAIN,
     YEAR,
     Entry,
     bronze,
@@ -38,6 +37,7 @@ from meterline.suite.frames import (
     gold,
     rounded,
     silver,
+    single,
     stored_lake,
 )
 
@@ -137,13 +137,6 @@ def registered(spark: SparkSession, sf_dir: str) -> list[str]:
     return create_tables(spark, {layer: lake.layer(layer) for layer in ("bronze", "silver", "gold")})
 
 
-LAYER_SIZES = (
-    "SELECT 'bronze_trips' AS table_name, {columns}count(*) AS trip_count FROM bronze"
-    " UNION ALL SELECT 'silver_trips', {silver}count(*) FROM silver"
-    " UNION ALL SELECT 'gold_trips', {gold}count(*) FROM silver"
-)
-
-
 @entry(
     "s06_layer_tables",
     o.over_silver(
@@ -195,7 +188,7 @@ def s08(spark: SparkSession, sf_dir: str) -> DataFrame:
     "s09_mart_sink",
     o.over_features(
         f"SELECT pickup_hour, is_weekend, is_rush_hour, trip_count,"
-        f" {o.rounded('avg_duration_min', 'avg_fare_per_mile')} FROM hourly",
+        f" {o.single('avg_duration_min', 'avg_fare_per_mile')} FROM hourly",
         o.HOURLY,
     ),
 )
@@ -204,7 +197,7 @@ def s09(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.write_mart(
         marts.hourly_patterns(gold(spark, sf_dir)), marts.MART_TABLES["hourly"], scratch_path(spark, "marts")
     )
-    return rounded(spark.read.parquet(path), "avg_duration_min", "avg_fare_per_mile")
+    return single(spark.read.parquet(path), "avg_duration_min", "avg_fare_per_mile")
 
 
 BUSIEST_SQL = (
@@ -541,5 +534,3 @@ def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, stored = build_layers(spark, lake)
     return steady(read_layer(spark, stored).select(*GOLD_COLUMNS))
 
-
-__all__ = ["ENTRIES", "PLAIN"]

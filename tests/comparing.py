@@ -15,6 +15,9 @@ TABLES = (
 ).split()
 
 
+TIMES: list[float] = []
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
@@ -52,7 +55,9 @@ def _nullable(kind):
 
 def differences(df, sql: str, connection: duckdb.DuckDBPyConnection) -> list[str]:
     spark_table = df.toArrow()
+    start = time.time()
     duck_table = connection.sql(sql).to_arrow_table()
+    TIMES.append(time.time() - start)
     found = []
     left = {field.name: str(field.type) for field in spark_table.schema}
     right = {field.name: str(field.type) for field in duck_table.schema}
@@ -96,6 +101,7 @@ def main(sf_dir: str, wanted: list[str]) -> int:
             df = run(spark, sf_dir)
             if name in oracle:
                 found = differences(df, oracle[name], connection)
+                start += TIMES[-1]
                 state = "ok" if not found else "DIFFERS " + "; ".join(found)
                 bad += bool(found)
             else:
