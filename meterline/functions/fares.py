@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 SHORT_MILES = 1
 LONG_MILES = 10
+CHARGES = (
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "congestion_surcharge",
+    "Airport_fee",
+    "cbd_congestion_fee",
+)
 SURCHARGES = ("extra", "congestion_surcharge", "Airport_fee", "cbd_congestion_fee")
 
 
@@ -52,12 +63,6 @@ def flag_columns() -> dict[str, Column]:
     }
 
 
-def speed_mph() -> Column:
-    """Miles per hour; NULL where the duration is zero."""
-    hours = F.col("trip_duration_min") / F.lit(60.0)
-    return F.try_divide(F.col("trip_distance"), hours)
-
-
 def distance_bucket(miles: Column) -> Column:
     return (
         F.when(miles < 1, "Short (<1mi)")

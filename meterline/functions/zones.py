@@ -6,18 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def zone_number(zone: Column) -> Column:
+def zone_number_sql(name: str) -> str:
     """Zone id as an int: ``"007"`` and ``"7.0"`` give 7, other text gives NULL.
 
     The decimal form is tried only where the plain cast fails, so clean ids pay one cast.
     """
-    text = zone.cast("string")
-    whole_part = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-    return F.coalesce(text.try_cast("int"), whole_part.try_cast("int"))
+    text = f"CAST(`{name}` AS STRING)"
+    whole_part = rf"regexp_extract({text}, r'^\s*([+-]?\d+)\.\d*\s*$', 1)"
+    return f"coalesce(try_cast({text} AS INT), try_cast({whole_part} AS INT))"
 
 
-def zone_text(zone: Column) -> Column:
-    return zone_number(zone).cast("string")
+def zone_number(name: str) -> Column:
+    return F.expr(zone_number_sql(name))
 
 
 def route_of(pickup: Column, dropoff: Column) -> Column:

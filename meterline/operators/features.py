@@ -54,7 +54,7 @@ def add_flag_features(trips: DataFrame) -> DataFrame:
 def normalise_zones(trips: DataFrame) -> DataFrame:
     """Zone ids as the text of an int."""
     return trips.withColumns(
-        {name: zone_number(F.col(name)).cast("string") for name in ("PULocationID", "DOLocationID")}
+        {name: zone_number(name).cast("string") for name in ("PULocationID", "DOLocationID")}
     )
 
 

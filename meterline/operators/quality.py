@@ -1,6 +1,7 @@
 """Schema and data quality: every per-row check is one aggregate in a single pass.
 
-A report is a tidy frame ``(scope, check, column, metric, threshold, severity, valid)``.
+Metrics are SQL aggregates, so that some two hundred of them make one ``SELECT``. A report is a
+tidy frame ``(scope, check, column, metric, threshold, severity, valid)``.
 """
 
 from __future__ import annotations
@@ -8,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.functions.fares import SURCHARGES, or_zero, speed_mph
-from meterline.functions.zones import route_of, zone_number
+from meterline.functions.fares import CHARGES, SURCHARGES
+from meterline.functions.zones import zone_number_sql
 from meterline.schema import CRITICAL, FILL_VALUES, MONTH_KEYS, TYPE_SPELLINGS, ColumnRule
 from meterline.settings import JoinBounds, QualityLimits
 from meterline.sources.scratch import checkpointed
@@ -21,32 +22,36 @@ from meterline.sources.scratch import checkpointed
 REPORT_SCHEMA = (
     "scope string, check string, column string, metric double, threshold double, severity string, valid boolean"
 )
+SCHEMA_CHECKS = ("missing_column", "extra_column", "column_type", "column_nullable", "column_order")
 # checks whose failure makes the whole frame invalid
-DECIDING = (
-    "missing_column",
-    "extra_column",
-    "column_type",
-    "column_nullable",
-    "column_order",
-    "row_count",
-    "duplicate_rows",
-)
+DECIDING = (*SCHEMA_CHECKS, "row_count", "duplicate_rows")
 
 
 @dataclass(frozen=True)
 class Check:
-    """One report row: an aggregate, and what it means when it exceeds its threshold."""
+    """One report row: a SQL aggregate, and what it means when it exceeds its threshold.
+
+    Without a threshold the row has a fixed severity.
+    """
 
     check: str
     column: str
-    metric: Column
+    metric: str
     threshold: float | None = 0.0
     severity: str = "warning"
     below: bool = False
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count_if(condition)
+def _number_where(condition: str) -> str:
+    return f"count_if({condition})"
+
+
+def _literal(value) -> str:
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else repr(value)
+
+
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
 # --- schema ------------------------------------------------------------------------------------
@@ -70,10 +75,9 @@ def schema_checks(
     actual = [field for field in schema.fields if field.name not in ignored]
     names = {field.name for field in actual}
     expected = {rule.name: rule for rule in rules}
-    rows = F.count("*")
 
     def found(check: str, column: str, severity: str) -> Check:
-        return Check(check, column, rows, None, severity)
+        return Check(check, column, "count(*)", None, severity)
 
     out = []
     for name in expected:
@@ -100,21 +104,21 @@ def schema_checks(
 
 
 def completeness_checks(limits: QualityLimits = QualityLimits()) -> list[Check]:
-    return [Check("row_count", "", F.count("*"), limits.min_rows, "error", below=True)]
+    return [Check("row_count", "", "count(*)", limits.min_rows, "error", below=True)]
 
 
 def consistency_checks(columns: Sequence[str], limits: QualityLimits = QualityLimits()) -> list[Check]:
     """Duration bounds and the identity ``sin² + cos² = 1``."""
     out = []
     if {"tpep_pickup_datetime", "trip_duration_min"} <= set(columns):
-        minutes = F.col("trip_duration_min")
-        outside = (minutes < limits.min_duration_seconds / 60.0) | (minutes > limits.max_duration_hours * 60.0)
-        out.append(Check("duration", "trip_duration_min", _count_if(outside)))
+        low, high = limits.min_duration_seconds / 60.0, limits.max_duration_hours * 60.0
+        outside = f"trip_duration_min < {_double(low)} OR trip_duration_min > {_double(high)}"
+        out.append(Check("duration", "trip_duration_min", _number_where(outside)))
     for name in ("hour", "day_of_week"):
         sin, cos = f"sin_{name}", f"cos_{name}"
         if {sin, cos} <= set(columns):
-            gap = F.abs(F.pow(F.col(sin), 2) + F.pow(F.col(cos), 2) - 1.0)
-            out.append(Check("cyclic_identity", name, _count_if(gap > limits.cyclic_tolerance)))
+            gap = f"abs({sin} * {sin} + {cos} * {cos} - 1)"
+            out.append(Check("cyclic_identity", name, _number_where(f"{gap} > {_double(limits.cyclic_tolerance)}")))
     return out
 
 
@@ -125,14 +129,16 @@ def business_checks(columns: Sequence[str], limits: QualityLimits = QualityLimit
     """
     out, names = [], set(columns)
     if {"route_id", "PULocationID", "DOLocationID"} <= names:
-        route = route_of(F.col("PULocationID"), F.col("DOLocationID"))
-        out.append(Check("route_id", "route_id", _count_if(F.col("route_id") != route)))
+        differs = "route_id != concat_ws('_', PULocationID, DOLocationID)"
+        out.append(Check("route_id", "route_id", _number_where(differs)))
     if {"tip_amount", "fare_amount"} <= names:
-        most = F.col("fare_amount") * limits.max_tip_multiplier
-        out.append(Check("tip", "tip_amount", _count_if(F.col("tip_amount") > most)))
+        most = f"fare_amount * {_double(limits.max_tip_multiplier)}"
+        out.append(Check("tip", "tip_amount", _number_where(f"tip_amount > {most}")))
     if {"trip_distance", "trip_duration_min"} <= names:
-        slow = (F.col("trip_duration_min") > 0) & (speed_mph() < limits.min_speed_mph)
-        out.append(Check("speed", "trip_distance", _count_if(slow | (speed_mph() > limits.max_speed_mph))))
+        speed = "try_divide(trip_distance, trip_duration_min / 60.0D)"
+        slow = f"trip_duration_min > 0 AND {speed} < {_double(limits.min_speed_mph)}"
+        fast = f"{speed} > {_double(limits.max_speed_mph)}"
+        out.append(Check("speed", "trip_distance", _number_where(f"({slow}) OR {fast}")))
     return out
 
 
@@ -143,44 +149,51 @@ def range_checks(schema: T.StructType, rules: Sequence[ColumnRule]) -> list[Chec
         if rule.valid_range is None or rule.name not in schema.names:
             continue
         low, high = rule.valid_range
-        value = F.col(rule.name)
-        if isinstance(schema[rule.name].dataType, T.StringType):
-            value = zone_number(value)
-        out.append(Check("range", rule.name, _count_if((value < low) | (value > high))))
+        is_text = isinstance(schema[rule.name].dataType, T.StringType)
+        value = zone_number_sql(rule.name) if is_text else f"`{rule.name}`"
+        out.append(Check("range", rule.name, _number_where(f"{value} < {low!r} OR {value} > {high!r}")))
     return out
 
 
 def allowed_value_checks(columns: Sequence[str], rules: Sequence[ColumnRule]) -> list[Check]:
-    return [
-        Check("allowed_values", rule.name, _count_if(~F.col(rule.name).isin(*rule.valid_values)))
-        for rule in rules
-        if rule.valid_values is not None and rule.name in columns
-    ]
+    out = []
+    for rule in rules:
+        if rule.valid_values is not None and rule.name in columns:
+            allowed = ", ".join(map(_literal, rule.valid_values))
+            out.append(Check("allowed_values", rule.name, _number_where(f"`{rule.name}` NOT IN ({allowed})")))
+    return out
+
+
+def _nulls(name: str) -> str:
+    return f"count(*) - count(`{name}`)"
+
+
+def _null_percent(name: str) -> str:
+    return f"coalesce(try_divide({_nulls(name)}, count(*)) * 100, 0)"
 
 
 def null_checks(
     columns: Sequence[str], rules: Sequence[ColumnRule], limits: QualityLimits = QualityLimits()
 ) -> list[Check]:
     """Null count (an error where the column must not be null) and null percentage per column."""
-    rows, out = F.count("*"), []
+    out = []
     for rule in rules:
-        if rule.name not in columns:
+        name = rule.name
+        if name not in columns:
             continue
-        nulls = rows - F.count(F.col(rule.name))
-        percent = F.coalesce(F.try_divide(nulls, rows) * 100, F.lit(0.0))
         if rule.nullable:
-            out.append(Check("null_count", rule.name, nulls, None))
-            out.append(Check("null_percent", rule.name, percent, limits.optional_null_percent))
+            out.append(Check("null_count", name, _nulls(name), None, "ok"))
+            out.append(Check("null_percent", name, _null_percent(name), limits.optional_null_percent))
         else:
-            out.append(Check("null_count", rule.name, nulls, 0.0, "error"))
-            out.append(Check("null_percent", rule.name, percent, None))
+            out.append(Check("null_count", name, _nulls(name), 0.0, "error"))
+            out.append(Check("null_percent", name, _null_percent(name), None, "ok"))
     return out
 
 
 def total_checks(columns: Sequence[str]) -> list[Check]:
     return [
-        Check("total_rows", "", F.count("*"), None),
-        Check("total_columns", "", F.max(F.lit(len(columns))), None),
+        Check("total_rows", "", "count(*)", None, "ok"),
+        Check("total_columns", "", str(len(columns)), None, "ok"),
     ]
 
 
@@ -206,31 +219,23 @@ def data_checks(
 # --- optional checks, declared with tolerances -------------------------------------------------
 
 
+def _sum_of(names: Sequence[str]) -> str:
+    return " + ".join(f"coalesce({name}, 0.0D)" for name in names)
+
+
 def tolerance_checks(columns: Sequence[str], limits: QualityLimits = QualityLimits()) -> list[Check]:
     """Ratios against their parts, and the total against the sum of its parts."""
     out, names = [], set(columns)
-    total = F.col("total_amount")
     if {"total_amount", "toll_ratio", "surcharge_ratio", "tolls_amount", *SURCHARGES} <= names:
-        surcharges = sum((or_zero(F.col(name)) for name in SURCHARGES[1:]), or_zero(F.col(SURCHARGES[0])))
-        off = F.abs(F.col("surcharge_ratio") * total - surcharges) > F.abs(total) * limits.ratio_tolerance
-        off_toll = F.abs(F.col("toll_ratio") * total - F.col("tolls_amount")) > F.abs(total) * limits.ratio_tolerance
-        out.append(Check("ratio", "surcharge_ratio", _count_if(off)))
-        out.append(Check("ratio", "toll_ratio", _count_if(off_toll)))
-    parts = (
-        "fare_amount",
-        "extra",
-        "mta_tax",
-        "tip_amount",
-        "tolls_amount",
-        "improvement_surcharge",
-        "congestion_surcharge",
-        "Airport_fee",
-        "cbd_congestion_fee",
-    )
-    if {"total_amount", *parts} <= names:
-        charged = sum((or_zero(F.col(name)) for name in parts[1:]), or_zero(F.col(parts[0])))
-        off = F.abs(total - charged) > F.abs(total) * limits.fare_tolerance
-        out.append(Check("fare_total", "total_amount", _count_if(off)))
+        slack = f"abs(total_amount) * {_double(limits.ratio_tolerance)}"
+        off = f"abs(surcharge_ratio * total_amount - ({_sum_of(SURCHARGES)})) > {slack}"
+        off_toll = f"abs(toll_ratio * total_amount - tolls_amount) > {slack}"
+        out.append(Check("ratio", "surcharge_ratio", _number_where(off)))
+        out.append(Check("ratio", "toll_ratio", _number_where(off_toll)))
+    if {"total_amount", *CHARGES} <= names:
+        slack = f"abs(total_amount) * {_double(limits.fare_tolerance)}"
+        off = f"abs(total_amount - ({_sum_of(CHARGES)})) > {slack}"
+        out.append(Check("fare_total", "total_amount", _number_where(off)))
     return out
 
 
@@ -242,10 +247,9 @@ def null_tier_checks(
     Columns every trip must have are critical, those that cleaning fills are important.
     """
     names = [rule.name for rule in rules if rule.name in columns]
-    rows = F.count("*")
-    nulls = {name: rows - F.count(F.col(name)) for name in names}
-    cells = F.try_divide(sum(nulls.values(), F.lit(0)), rows * len(names)) * 100
-    out = [Check("overall_null_percent", "", F.coalesce(cells, F.lit(0.0)), limits.max_null_percent)]
+    nulls = " + ".join(f"({_nulls(name)})" for name in names)
+    cells = f"coalesce(try_divide({nulls}, count(*) * {len(names)}) * 100, 0)"
+    out = [Check("overall_null_percent", "", cells, limits.max_null_percent)]
     for name in names:
         if name in CRITICAL:
             tier, limit = "critical", limits.critical_null_percent
@@ -253,8 +257,7 @@ def null_tier_checks(
             tier, limit = "important", limits.important_null_percent
         else:
             tier, limit = "optional", limits.optional_null_percent
-        percent = F.coalesce(F.try_divide(nulls[name], rows) * 100, F.lit(0.0))
-        out.append(Check(f"null_percent_{tier}", name, percent, limit))
+        out.append(Check(f"null_percent_{tier}", name, _null_percent(name), limit))
     return out
 
 
@@ -274,8 +277,8 @@ def iqr_outliers(
             continue
         low, high = quartiles[name]
         reach = (high - low) * limits.iqr_multiplier
-        outside = (F.col(name) < low - reach) | (F.col(name) > high + reach)
-        out.append(Check("iqr_outliers", name, _count_if(outside)))
+        outside = f"`{name}` < {_double(low - reach)} OR `{name}` > {_double(high + reach)}"
+        out.append(Check("iqr_outliers", name, _number_where(outside)))
     return out
 
 
@@ -292,8 +295,8 @@ def zscore_outliers(
         mean, deviation = moments[f"avg_{name}"], moments[f"std_{name}"]
         if mean is None or deviation is None:
             continue
-        far = F.abs(F.col(name) - mean) > deviation * limits.zscore_threshold
-        out.append(Check("zscore_outliers", name, _count_if(far)))
+        far = f"abs(`{name}` - {_double(mean)}) > {_double(deviation * limits.zscore_threshold)}"
+        out.append(Check("zscore_outliers", name, _number_where(far)))
     return out
 
 
@@ -361,35 +364,41 @@ def duplicate_report(
 # --- report ------------------------------------------------------------------------------------
 
 
-def _outcome(check: Check, metric: Column) -> tuple[Column, Column]:
-    """``(severity, valid)`` of a metric."""
-    if check.check in ("missing_column", "extra_column", "column_type", "column_nullable", "column_order"):
-        return F.lit(check.severity), F.lit(check.severity != "error")
+def _report_row(scope: str, check: Check, metric: str) -> str:
+    """A report row as a SQL struct over the value ``metric``."""
     if check.threshold is None:
-        return F.lit("ok"), F.lit(True)
-    fails = metric < check.threshold if check.below else metric > check.threshold
-    severity = F.when(fails, check.severity).otherwise("ok")
-    return severity, ~(fails & F.lit(check.severity == "error"))
+        threshold, severity, valid = "NULL", _literal(check.severity), repr(check.severity != "error")
+    else:
+        threshold = _double(check.threshold)
+        fails = f"{metric} {'<' if check.below else '>'} {threshold}"
+        severity = f"CASE WHEN {fails} THEN {_literal(check.severity)} ELSE 'ok' END"
+        valid = f"NOT ({fails})" if check.severity == "error" else "true"
+    fields = {
+        "scope": _literal(scope),
+        "check": _literal(check.check),
+        "column": _literal(check.column),
+        "metric": metric,
+        "threshold": f"CAST({threshold} AS DOUBLE)",
+        "severity": severity,
+        "valid": valid,
+    }
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
-def _report_row(scope: str, check: Check, metric: Column) -> Column:
-    severity, valid = _outcome(check, metric)
-    return F.struct(
-        F.lit(scope).alias("scope"),
-        F.lit(check.check).alias("check"),
-        F.lit(check.column).alias("column"),
-        metric.alias("metric"),
-        F.lit(check.threshold).cast("double").alias("threshold"),
-        severity.alias("severity"),
-        valid.alias("valid"),
-    )
+def _report_of(metrics: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
+    """Report rows from the one row of metrics ``m0, m1, …``."""
+    rows = ", ".join(_report_row(scope, check, f"m{i}") for i, check in enumerate(checks))
+    return metrics.selectExpr(f"inline(array({rows}))")
+
+
+def _as_metrics(checks: Sequence[Check]) -> list[str]:
+    return [f"CAST({check.metric} AS DOUBLE) AS m{i}" for i, check in enumerate(checks)]
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
     """One aggregate over ``df``, turned into one report row per check."""
-    metrics = [check.metric.cast("double").alias(f"m{i}") for i, check in enumerate(checks)]
-    rows = [_report_row(scope, check, F.col(f"m{i}")) for i, check in enumerate(checks)]
-    return df.agg(*metrics).select(F.inline(F.array(*rows)))
+    counted = df.selectExpr("count(*) AS _rows", *_as_metrics(checks))
+    return _report_of(counted, checks, scope)
 
 
 def validate(
@@ -416,7 +425,7 @@ def deciding_checks(limits: QualityLimits = QualityLimits()) -> tuple[str, ...]:
 
 def verdict(report: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
     """Per scope: schema valid, data valid, both, and the number of warnings and errors."""
-    of_schema = F.col("check").isin("missing_column", "extra_column", "column_type", "column_nullable", "column_order")
+    of_schema = F.col("check").isin(*SCHEMA_CHECKS)
     decides = F.col("check").isin(*deciding_checks(limits))
     holds = F.col("valid") | ~decides
     return (
@@ -464,15 +473,14 @@ class WatchedWrite:
         self._scope = scope
         self._session = df.sparkSession
         self._observation = Observation()
-        metrics = [check.metric.cast("double").alias(f"m{i}") for i, check in enumerate(self._checks)]
-        self.df = df.observe(self._observation, *metrics)
+        # checks that share an aggregate share its observation
+        self._names = {metric: f"o{i}" for i, metric in enumerate(dict.fromkeys(c.metric for c in self._checks))}
+        observed = [F.expr(f"CAST({metric} AS DOUBLE)").alias(name) for metric, name in self._names.items()]
+        self.df = df.observe(self._observation, *observed)
 
     def report(self) -> DataFrame:
         """The report; waits until the write has run."""
         seen = self._observation.get
-        one_row = self._session.range(1)
-        rows = [
-            _report_row(self._scope, check, F.lit(seen[f"m{i}"]).cast("double"))
-            for i, check in enumerate(self._checks)
-        ]
-        return one_row.select(F.inline(F.array(*rows)))
+        values = [seen[self._names[check.metric]] for check in self._checks]
+        one_row = self._session.range(1).selectExpr(*[f"{_double(value)} AS m{i}" for i, value in enumerate(values)])
+        return _report_of(one_row, self._checks, self._scope)

@@ -13,7 +13,7 @@ from meterline.operators.clean import clean
 from meterline.operators.features import add_features
 from meterline.operators.quality import WatchedWrite, duplicate_report, enforce, validate, verdict
 from meterline.schema import LAYERS, rules_for
-from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions
+from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tune
 from meterline.sources.layers import (
     land_bronze,
     layer_exists,
@@ -90,6 +90,7 @@ def build_silver(
 
     Returns the validation report where ``quality`` is given.
     """
+    tune(spark)
     silver = silver_frame(spark, lake.layer("bronze"), year, months, limits)
     return _store(silver, "silver", lake, year, months, quality, options)
 
@@ -118,6 +119,7 @@ def build_gold(
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame | None:
     """Silver to gold for the months asked for; the counts are per month unless scoped otherwise."""
+    tune(spark)
     gold = gold_frame(spark, lake.layer("silver"), year, months, groups, scope, bounds)
     return _store(gold, "gold", lake, year, months, quality, options)
 
@@ -196,6 +198,7 @@ def validate_layer(
     limits: QualityLimits = QualityLimits(),
 ) -> DataFrame | None:
     """Validation report of a stored layer, or None where there is nothing to read."""
+    tune(spark)
     root = lake.layer(layer)
     if not layer_exists(spark, root):
         return None

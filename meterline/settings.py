@@ -93,3 +93,15 @@ class WriteOptions:
     block_bytes: int = 128 * 1024 * 1024
     page_bytes: int = 1024 * 1024
     files: int | None = None
+
+
+# Generated methods above 8000 bytes of bytecode are never compiled by the JVM and run many times
+# slower. Spark's own limit is far higher; with this one it runs such a stage operator by operator,
+# in methods small enough to compile. Wide aggregates, such as a full validation, need it.
+RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark) -> None:
+    """Apply the runtime settings to a session."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)

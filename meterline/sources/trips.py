@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 from meterline.schema import BRONZE_DDL, CRITICAL, ddl_columns
 
-# --- fixed values: the trip columns as formulas over lineitem --------------------------------
-TRIP_START = "timestampadd(SECOND, (l_partkey * 7919 + l_orderkey * 104729) % 86400, l_shipdate)"
-TRIP_SECONDS = "(l_orderkey * 31 + l_partkey * 17) % 12000 - 600"
-FARE = "CASE WHEN l_partkey % 53 = 0 THEN -(l_extendedprice / 200.0D) ELSE l_extendedprice / 200.0D END"
+# --- fixed values: the trip columns as formulas over lineitem, each over those before it -------
+LINE_FORMULAS = (
+    (
+        "tpep_pickup_datetime",
+        "timestampadd(SECOND, (l_partkey * 7919 + l_orderkey * 104729) % 86400, l_shipdate)",
+    ),
+    ("fare_amount", "l_extendedprice / 200.0D * CASE WHEN l_partkey % 53 = 0 THEN -1.0D ELSE 1.0D END"),
+    ("PULocationID", "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE CAST(l_suppkey % 265 + 1 AS STRING) END"),
+)
 TRIP_FORMULAS = (
     ("VendorID", "CAST(CASE WHEN l_linenumber = 7 THEN 6 ELSE l_linenumber % 2 + 1 END AS INT)"),
-    ("tpep_pickup_datetime", TRIP_START),
-    ("tpep_dropoff_datetime", f"timestampadd(SECOND, {TRIP_SECONDS}, {TRIP_START})"),
+    (
+        "tpep_dropoff_datetime",
+        "timestampadd(SECOND, (l_orderkey * 31 + l_partkey * 17) % 12000 - 600, tpep_pickup_datetime)",
+    ),
     (
         "passenger_count",
         "CASE WHEN CAST(l_quantity AS BIGINT) % 11 = 0 THEN NULL ELSE CAST(l_quantity AS BIGINT) % 10 END",
@@ -25,13 +32,11 @@ TRIP_FORMULAS = (
         "CASE WHEN round(l_tax * 100.0D) = 8 THEN NULL ELSE CAST(round(l_discount * 100.0D) AS BIGINT) END",
     ),
     ("store_and_fwd_flag", "CASE l_returnflag WHEN 'A' THEN 'Y' WHEN 'N' THEN 'N' ELSE NULL END"),
-    ("PULocationID", "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE CAST(l_suppkey % 265 + 1 AS STRING) END"),
     ("DOLocationID", "CAST(l_partkey % 265 + 1 AS STRING)"),
     ("payment_type", "CAST(l_linenumber AS BIGINT)"),
-    ("fare_amount", FARE),
     ("extra", "l_discount * 10.0D"),
     ("mta_tax", "0.5D"),
-    ("tip_amount", f"(l_discount * 100.0D - 1.0D) * 0.3D * ({FARE})"),
+    ("tip_amount", "(l_discount * 100.0D - 1.0D) * 0.3D * fare_amount"),
     ("tolls_amount", "CASE WHEN l_linestatus = 'O' THEN 6.55D ELSE 0.0D END"),
     ("improvement_surcharge", "1.0D"),
     ("congestion_surcharge", "CASE l_returnflag WHEN 'A' THEN 2.5D WHEN 'N' THEN 0.0D ELSE NULL END"),
@@ -46,9 +51,13 @@ TOTAL_FORMULA = (
 
 
 def trips_view(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Bronze trips over ``lineitem``; ``keep`` names source columns to carry along."""
+    """Bronze trips over ``lineitem``; ``keep`` names source columns to carry along.
+
+    Columns that others are built on come first, so that they are computed once.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    trips = lines.selectExpr(*keep, *(f"{formula} AS {name}" for name, formula in TRIP_FORMULAS))
+    lines = lines.withColumns({name: F.expr(formula) for name, formula in LINE_FORMULAS})
+    trips = lines.withColumns({name: F.expr(formula) for name, formula in TRIP_FORMULAS})
     trips = trips.withColumn("total_amount", F.expr(TOTAL_FORMULA))
     return trips.select(*keep, *(name for name, _ in ddl_columns(BRONZE_DDL)))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterline.operators.clean import clean
 from meterline.operators.features import add_features
 from meterline.plans.stages import Lake, build_layers
-from meterline.settings import FeatureGroups
+from meterline.settings import FeatureGroups, tune
 from meterline.sources.layers import land_bronze
 from meterline.sources.scratch import scratch_path
 from meterline.sources.trips import trips_view, with_months
@@ -33,6 +33,8 @@ class Entry:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips over the supplied table; queries stack the layers on it, which makes wide stages."""
+    tune(spark)
     return with_months(trips_view(spark, sf_dir))
 
 
