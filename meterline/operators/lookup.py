@@ -47,7 +47,9 @@ def attach_counts(
 
     heavy = F.col(value) > total / bounds.hot_keys
     hot = counts.where(heavy).withColumnRenamed(value, "_hot")
-    cold = counts.where(~heavy).withColumnRenamed(value, "_cold").withColumn("_salt", F.lit(0))
+    # a zero that depends on the row: a literal would be folded out of the join keys
+    zero = F.pmod(F.col("_cold"), F.lit(1)).cast("int")
+    cold = counts.where(~heavy).withColumnRenamed(value, "_cold").withColumn("_salt", zero)
     settled = F.col("_hot").isNotNull()
     for key in keys:
         settled = settled | F.col(key).isNull()
