@@ -86,16 +86,19 @@ def add_frequencies(
     scope: Sequence[str] = (),
     bounds: JoinBounds = JoinBounds(),
     only: Sequence[str] = tuple(FREQUENCIES),
+    grain: DataFrame | None = None,
 ) -> DataFrame:
     """Trip counts of the pickup zone, the dropoff zone and the route, as columns.
 
     ``scope`` limits the counts, e.g. to ``("year", "month")``; empty counts over all of
     ``trips``. One aggregate over the key columns is computed once into the shared folder; the
     three tables come from it, and its counted size decides how they are joined. The trips
-    themselves are read once more and, as long as the tables are small, never shuffled.
+    themselves are read once more and, as long as the tables are small, never shuffled. A
+    ``grain`` that was counted before, over exactly these trips, is used instead.
     """
     scope = list(scope)
-    grain = checkpointed(count_routes(trips, scope))
+    if grain is None:
+        grain = checkpointed(count_routes(trips, scope))
     rows, total = grain.agg(F.count("*"), F.coalesce(F.sum("trips"), F.lit(0))).first()
     for name, table in frequencies_from(grain, scope).items():
         if name in only:
@@ -109,9 +112,10 @@ def add_location_features(
     frequency: bool = True,
     scope: Sequence[str] = (),
     bounds: JoinBounds = JoinBounds(),
+    grain: DataFrame | None = None,
 ) -> DataFrame:
     trips = trips.transform(normalise_zones).transform(add_route)
-    return add_frequencies(trips, scope, bounds) if frequency else trips
+    return add_frequencies(trips, scope, bounds, grain=grain) if frequency else trips
 
 
 def gold_projection(trips: DataFrame, keep: Sequence[str] = MONTH_KEYS) -> DataFrame:
@@ -125,6 +129,7 @@ def add_features(
     scope: Sequence[str] | None = None,
     bounds: JoinBounds = JoinBounds(),
     keep: Sequence[str] = MONTH_KEYS,
+    grain: DataFrame | None = None,
 ) -> DataFrame:
     """Gold trips. Ratios and flags need the total amount, so the projection comes last.
 
@@ -142,5 +147,5 @@ def add_features(
     if groups.flags:
         gold = add_flag_features(gold)
     if groups.location:
-        gold = add_location_features(gold, groups.frequency, scope, bounds)
+        gold = add_location_features(gold, groups.frequency, scope, bounds, grain)
     return gold_projection(gold, keep)

@@ -6,6 +6,7 @@ tidy frame ``(scope, check, column, metric, threshold, severity, valid)``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -51,7 +52,7 @@ def _literal(value) -> str:
 
 
 def _double(value: float) -> str:
-    return f"{float(value)!r}D"
+    return f"{float(value)!r}D" if math.isfinite(value) else f"double('{float(value)}')"
 
 
 # --- schema ------------------------------------------------------------------------------------
@@ -198,12 +199,15 @@ def total_checks(columns: Sequence[str]) -> list[Check]:
 
 
 def data_checks(
-    df: DataFrame, rules: Sequence[ColumnRule], limits: QualityLimits = QualityLimits()
+    df: DataFrame,
+    rules: Sequence[ColumnRule],
+    limits: QualityLimits = QualityLimits(),
+    schema: T.StructType | None = None,
 ) -> list[Check]:
-    """All enabled per-row checks of ``df``."""
+    """All enabled per-row checks of ``df``; ``schema`` stands in for its own in the schema checks."""
     out = []
     if limits.schema:
-        out += schema_checks(df.schema, rules, limits)
+        out += schema_checks(df.schema if schema is None else schema, rules, limits)
     if limits.completeness:
         out += completeness_checks(limits)
     if limits.consistency:
@@ -385,20 +389,22 @@ def _report_row(scope: str, check: Check, metric: str) -> str:
     return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
-def _report_of(metrics: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
-    """Report rows from the one row of metrics ``m0, m1, …``."""
-    rows = ", ".join(_report_row(scope, check, f"m{i}") for i, check in enumerate(checks))
-    return metrics.selectExpr(f"inline(array({rows}))")
+def _metric_names(checks: Sequence[Check]) -> dict[str, str]:
+    """A column name per distinct aggregate; checks that share an aggregate share its column."""
+    return {metric: f"m{i}" for i, metric in enumerate(dict.fromkeys(check.metric for check in checks))}
 
 
-def _as_metrics(checks: Sequence[Check]) -> list[str]:
-    return [f"CAST({check.metric} AS DOUBLE) AS m{i}" for i, check in enumerate(checks)]
+def _report_of(metrics: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
+    """Report rows from the one row of metrics."""
+    names = _metric_names(checks)
+    rows = ", ".join(_report_row(scope, check, names[check.metric]) for check in checks)
+    return metrics.selectExpr(f"inline(array({rows}))")
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
     """One aggregate over ``df``, turned into one report row per check."""
-    counted = df.selectExpr("count(*) AS _rows", *_as_metrics(checks))
-    return _report_of(counted, checks, scope)
+    metrics = [f"CAST({metric} AS DOUBLE) AS {name}" for metric, name in _metric_names(checks).items()]
+    return _report_of(df.selectExpr("count(*) AS _rows", *metrics), checks, scope)
 
 
 def validate(
@@ -407,9 +413,14 @@ def validate(
     limits: QualityLimits = QualityLimits(),
     scope: str = "gold",
     bounds: JoinBounds = JoinBounds(),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Validation report: one pass for all checks, and one shuffle of hashes for duplicates."""
-    report = run_checks(df, data_checks(df, rules, limits), scope)
+    """Validation report: one pass for all checks, and one shuffle of hashes for duplicates.
+
+    A frame read from storage has lost which columns cannot be null; ``schema`` gives the one it
+    was written with.
+    """
+    report = run_checks(df, data_checks(df, rules, limits, schema), scope)
     if limits.duplicates:
         report = report.union(duplicate_report(df, scope, limits, bounds))
     if limits.fail_on_error:
@@ -473,14 +484,12 @@ class WatchedWrite:
         self._scope = scope
         self._session = df.sparkSession
         self._observation = Observation()
-        # checks that share an aggregate share its observation
-        self._names = {metric: f"o{i}" for i, metric in enumerate(dict.fromkeys(c.metric for c in self._checks))}
+        self._names = _metric_names(self._checks)
         observed = [F.expr(f"CAST({metric} AS DOUBLE)").alias(name) for metric, name in self._names.items()]
         self.df = df.observe(self._observation, *observed)
 
     def report(self) -> DataFrame:
         """The report; waits until the write has run."""
         seen = self._observation.get
-        values = [seen[self._names[check.metric]] for check in self._checks]
-        one_row = self._session.range(1).selectExpr(*[f"{_double(value)} AS m{i}" for i, value in enumerate(values)])
-        return _report_of(one_row, self._checks, self._scope)
+        values = [f"{_double(seen[name])} AS {name}" for name in self._names.values()]
+        return _report_of(self._session.range(1).selectExpr(*values), self._checks, self._scope)

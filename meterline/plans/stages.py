@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from meterline.operators import marts
 from meterline.operators.clean import clean
-from meterline.operators.features import add_features
+from meterline.operators.features import add_features, count_routes, normalise_zones
 from meterline.operators.quality import WatchedWrite, duplicate_report, enforce, validate, verdict
-from meterline.schema import LAYERS, rules_for
+from meterline.schema import LAYERS, MONTH_KEYS, rules_for
 from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tune
 from meterline.sources.layers import (
     land_bronze,
@@ -107,21 +107,52 @@ def gold_frame(
     return add_features(read_layer(spark, silver, year, months, merge=True), groups, scope, bounds)
 
 
+def gold_batches(
+    silver: DataFrame, groups: FeatureGroups, scope: Sequence[str], bounds: JoinBounds
+) -> list[DataFrame]:
+    """Gold of all of ``silver``, in as few frames as keep the count tables small.
+
+    Counts within a month grow with the number of months. Where those of the whole input are too
+    many to broadcast, each year becomes a frame of its own: it reads its own partitions, and
+    takes its counts from the grain that was counted once for all. A year whose counts are still
+    too many falls back to the shuffled join.
+    """
+    if not (groups.location and groups.frequency and "year" in scope):
+        return [add_features(silver, groups, scope, bounds)]
+    grain = checkpointed(count_routes(normalise_zones(silver), scope))
+    if grain.count() <= bounds.broadcast_rows:
+        return [add_features(silver, groups, scope, bounds, grain=grain)]
+    years = sorted(row.year for row in grain.select("year").distinct().collect())
+    return [
+        add_features(silver.where(F.col("year") == y), groups, scope, bounds, grain=grain.where(F.col("year") == y))
+        for y in years
+    ]
+
+
 def build_gold(
     spark: SparkSession,
     lake: Lake,
     year: int | None = None,
     months: Iterable[int] | None = None,
     groups: FeatureGroups = FeatureGroups(),
-    scope: Sequence[str] | None = None,
+    scope: Sequence[str] = MONTH_KEYS,
     quality: QualityLimits | None = None,
     options: WriteOptions = WriteOptions(),
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame | None:
     """Silver to gold for the months asked for; the counts are per month unless scoped otherwise."""
     tune(spark)
-    gold = gold_frame(spark, lake.layer("silver"), year, months, groups, scope, bounds)
-    return _store(gold, "gold", lake, year, months, quality, options)
+    months = list(months or ())
+    silver = read_layer(spark, lake.layer("silver"), year, months, merge=True)
+    batches = gold_batches(silver, groups, scope, bounds)
+    if len(batches) == 1:
+        return _store(batches[0], "gold", lake, year, months, quality, options)
+    for batch in batches:
+        write_layer(batch, lake.layer("gold"), options)
+    if quality is None:
+        return None
+    written = read_layer(spark, lake.layer("gold"), year, months, merge=True)
+    return validate(written, rules_for("gold"), quality, schema=batches[0].schema)
 
 
 def build_layers(

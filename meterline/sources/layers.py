@@ -99,6 +99,7 @@ def land_bronze(
     The month of a row is that of its pickup, or ``month = (year, month)`` for a file that is
     filed under one nominal month. Returns the months landed by this call. Only the months held
     so far reach the driver, and the anti join against them is a broadcast of those few rows.
+    Rows are brought together by month only where they may belong to many.
     """
     trips = conform(raw)
     if month is None:
@@ -109,7 +110,7 @@ def land_bronze(
     held = spark.createDataFrame(known, "held_year int, held_month int")
     same_month = F.col("year").eqNullSafe(F.col("held_year")) & F.col("month").eqNullSafe(F.col("held_month"))
     fresh = trips.join(F.broadcast(held), same_month, "left_anti")
-    write_layer(fresh, root, WriteOptions(mode="append"), rebalance=True)
+    write_layer(fresh, root, WriteOptions(mode="append"), rebalance=month is None)
     return months_present(spark, root).join(F.broadcast(held), same_month, "left_anti")
 
 

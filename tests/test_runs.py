@@ -134,6 +134,22 @@ def test_month_runs(spark, lake):
     assert [row.status for row in log.orderBy("month").collect()] == ["built", "skipped"]
 
 
+def test_gold_in_yearly_batches_equals_gold_in_one(spark, sf_dir, tmp_path):
+    whole, batched = s.Lake(str(tmp_path / "whole")), s.Lake(str(tmp_path / "batched"))
+    for lake in (whole, batched):
+        land_bronze(spark, trips_view(spark, sf_dir).where("year(tpep_pickup_datetime) < 1998"), lake.layer("bronze"))
+        s.build_silver(spark, lake)
+    limits = QualityLimits(duplicates=False)
+    one = s.build_gold(spark, whole, quality=limits)
+    # room for the counts of one year, not of three
+    rows = read_layer(spark, whole.layer("gold"), 1996).count()
+    many = s.build_gold(spark, batched, quality=limits, bounds=JoinBounds(broadcast_rows=rows))
+    a, b = (read_layer(spark, lake.layer("gold")) for lake in (whole, batched))
+    assert a.count() == b.count() > rows
+    assert a.exceptAll(b).isEmpty()
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
 def test_validating_an_absent_layer(spark, tmp_path):
     assert s.validate_layer(spark, s.Lake(str(tmp_path)), "gold", 1998) is None
 
