@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# --- fixed values: trip lengths, charge columns, bucket names -----------------------------------
 SHORT_MILES = 1
 LONG_MILES = 10
 CHARGES = (
@@ -19,6 +20,13 @@ CHARGES = (
     "cbd_congestion_fee",
 )
 SURCHARGES = ("extra", "congestion_surcharge", "Airport_fee", "cbd_congestion_fee")
+BUCKETS = (
+    (1, "Short (<1mi)"),
+    (5, "Medium (1-5mi)"),
+    (10, "Long (5-10mi)"),
+)
+LAST_BUCKET = "Very Long (>10mi)"
+# --- end of fixed values -------------------------------------------------------------------------
 
 
 def or_zero(value: Column) -> Column:
@@ -64,9 +72,8 @@ def flag_columns() -> dict[str, Column]:
 
 
 def distance_bucket(miles: Column) -> Column:
-    return (
-        F.when(miles < 1, "Short (<1mi)")
-        .when(miles < 5, "Medium (1-5mi)")
-        .when(miles < 10, "Long (5-10mi)")
-        .otherwise("Very Long (>10mi)")
-    )
+    """Name of the first bucket whose upper bound is above ``miles``."""
+    names = F.lit(LAST_BUCKET)
+    for below, name in reversed(BUCKETS):
+        names = F.when(miles < below, name).otherwise(names)
+    return names

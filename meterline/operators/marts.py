@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: mart keys, columns and table names ---------------------------------------------
 DAY_KEYS = ("pickup_year", "pickup_month", "pickup_day_of_month")
 HOUR_KEYS = ("pickup_hour", "is_weekend", "is_rush_hour")
 RECENT_COLUMNS = (
@@ -24,6 +25,7 @@ MART_TABLES = {
     "pickup": "gold_pickup_location_stats",
     "recent": "gold_recent_trips",
 }
+# --- end of fixed values ---------------------------------------------------------------------------
 
 
 def daily_summary(gold: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,18 +63,18 @@ def single(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("float").cast("double") for name in names})
 
 
-@lru_cache(maxsize=None)
-def _stored(application: str, sf_dir: str) -> Lake:
-    spark = SparkSession.getActiveSession()
-    lake = Lake(scratch_path(spark, "lake"))
-    land_bronze(spark, trips_view(spark, sf_dir), lake.layer("bronze"))
-    build_layers(spark, lake)
-    return lake
+_STORED: dict[tuple[str, str], Lake] = {}
 
 
 def stored_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The three layers of the supplied trips on disk, written once per session and folder."""
-    return _stored(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        lake = Lake(scratch_path(spark, "lake"))
+        land_bronze(spark, trips_view(spark, sf_dir), lake.layer("bronze"))
+        build_layers(spark, lake)
+        _STORED[key] = lake
+    return _STORED[key]
 
 
 def empty_lake(spark: SparkSession) -> Lake:

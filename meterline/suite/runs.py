@@ -74,11 +74,11 @@ def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOG_SQL = (
     "SELECT 'year=' || year || '/month=' || month AS partition_value, true AS success"
-    " FROM silver GROUP BY year, month"
+    " FROM bronze GROUP BY year, month"
 )
 
 
-@entry("p03_process_partitioned", o.over_silver(LOG_SQL))
+@entry("p03_process_partitioned", o.over_bronze(LOG_SQL))
 def p03_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for a row-wise transform, in one job; the run log."""
     log = p.process_partitioned(
