@@ -247,11 +247,12 @@ VIEW_COLUMNS = ["trip_id", "location_pair", "tpep_pickup_datetime", "created_at"
 PAIR = ("location_pair",)
 
 
-def newest_sql(source: str, condition: str) -> str:
-    """The newest row per location pair, ties settled by the trip id."""
+def newest_sql(source: str, condition: str, keys: tuple[str, ...] = PAIR) -> str:
+    """The newest row per entity, ties settled by the other columns."""
+    order = ["tpep_pickup_datetime", "created_at", *[name for name in VIEW_COLUMNS if name not in keys]]
     return (
         f"SELECT {o.listed(VIEW_COLUMNS)} FROM {source} WHERE {condition} QUALIFY row_number() OVER"
-        " (PARTITION BY location_pair ORDER BY tpep_pickup_datetime DESC, created_at DESC, trip_id DESC) = 1"
+        f" (PARTITION BY {o.listed(keys)} ORDER BY {o.listed(f'{name} DESC NULLS LAST' for name in order)}) = 1"
     )
 
 
@@ -291,12 +292,10 @@ def k03(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry(
     "k03_materialise_trips",
-    o.over_features(
-        f"SELECT {o.listed(VIEW_COLUMNS)} FROM entity WHERE tpep_pickup_datetime >= TIMESTAMP '1996-06-01'", VIEW
-    ),
+    o.over_features(newest_sql("entity", "tpep_pickup_datetime >= TIMESTAMP '1996-06-01'", e.ENTITY_KEYS), VIEW),
 )
 def k03_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By both entity keys; here every trip is its own entity."""
+    """By both entity keys; nearly every trip is its own entity."""
     return e.materialise(e.feature_view(entities(spark, sf_dir)), start="1996-06-01 00:00:00")
 
 
