@@ -12,7 +12,7 @@ from meterline.operators import marts
 from meterline.operators.clean import clean
 from meterline.operators.features import add_features, count_routes, normalise_zones
 from meterline.operators.quality import WatchedWrite, duplicate_report, enforce, validate, verdict
-from meterline.schema import LAYERS, MONTH_KEYS, rules_for
+from meterline.schema import LAYERS, MONTH_KEYS, rules_for, stored_ddl
 from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tune
 from meterline.sources.layers import (
     land_bronze,
@@ -60,7 +60,7 @@ def _store(
     write_layer(watched.df, root, options)
     report = watched.report()
     if quality.duplicates:
-        written = read_layer(df.sparkSession, root, year, months, merge=True)
+        written = read_layer(df.sparkSession, root, year, months, schema=df.schema)
         report = report.union(duplicate_report(written, layer, quality))
     if quality.fail_on_error:
         enforce(report, quality)
@@ -74,7 +74,7 @@ def silver_frame(
     months: Iterable[int] | None = None,
     limits: CleaningLimits = CleaningLimits(),
 ) -> DataFrame:
-    return clean(read_layer(spark, bronze, year, months, merge=True), limits)
+    return clean(read_layer(spark, bronze, year, months, schema=stored_ddl("bronze")), limits)
 
 
 def build_silver(
@@ -104,7 +104,7 @@ def gold_frame(
     scope: Sequence[str] | None = None,
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame:
-    return add_features(read_layer(spark, silver, year, months, merge=True), groups, scope, bounds)
+    return add_features(read_layer(spark, silver, year, months, schema=stored_ddl("silver")), groups, scope, bounds)
 
 
 def gold_batches(
@@ -143,7 +143,7 @@ def build_gold(
     """Silver to gold for the months asked for; the counts are per month unless scoped otherwise."""
     tune(spark)
     months = list(months or ())
-    silver = read_layer(spark, lake.layer("silver"), year, months, merge=True)
+    silver = read_layer(spark, lake.layer("silver"), year, months, schema=stored_ddl("silver"))
     batches = gold_batches(silver, groups, scope, bounds)
     if len(batches) == 1:
         return _store(batches[0], "gold", lake, year, months, quality, options)
@@ -151,7 +151,7 @@ def build_gold(
         write_layer(batch, lake.layer("gold"), options)
     if quality is None:
         return None
-    written = read_layer(spark, lake.layer("gold"), year, months, merge=True)
+    written = read_layer(spark, lake.layer("gold"), year, months, schema=batches[0].schema)
     return validate(written, rules_for("gold"), quality, schema=batches[0].schema)
 
 

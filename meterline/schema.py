@@ -154,6 +154,16 @@ def gold_ddl() -> str:
     return ", ".join(f"{name} {spark_type(kind).simpleString()}" for name, kind, *_ in GOLD_RULES)
 
 
+def layer_ddl(layer: str) -> str:
+    """Declared columns of a layer, without its partition columns."""
+    return {"bronze": BRONZE_DDL, "silver": SILVER_DDL, "gold": gold_ddl()}[layer]
+
+
+def stored_ddl(layer: str) -> str:
+    """Declared columns of a layer as it is stored, partition columns last."""
+    return f"{layer_ddl(layer)}, {MONTH_KEYS[0]} INT, {MONTH_KEYS[1]} INT"
+
+
 def rules_for(layer: str) -> tuple[ColumnRule, ...]:
     """Column rules of a layer.
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterline.schema import MONTH_KEYS
 from meterline.settings import WriteOptions
@@ -36,8 +37,15 @@ def read_layer(
     year: int | None = None,
     months: Iterable[int] | None = None,
     merge: bool = False,
+    schema: str | StructType | None = None,
 ) -> DataFrame:
-    """A layer, or chosen months of it. The condition prunes partitions before any file is opened."""
+    """A layer, or chosen months of it. The condition prunes partitions before any file is opened.
+
+    With a declared ``schema`` no footer is read to find or merge one: columns a file lacks are
+    NULL, columns of other names are left out.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(root).where(months_wanted(year, months))
     return read_parquet(spark, [root], merge).where(months_wanted(year, months))
 
 

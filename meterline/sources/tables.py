@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.schema import BRONZE_DDL, LAYERS, SILVER_DDL, gold_ddl
-
-
-def layer_ddl(layer: str) -> str:
-    return {"bronze": BRONZE_DDL, "silver": SILVER_DDL, "gold": gold_ddl()}[layer]
+from meterline.schema import LAYERS, stored_ddl
 
 
 def create_tables(spark: SparkSession, roots: dict[str, str], database: str = "trips") -> list[str]:
@@ -20,7 +16,7 @@ def create_tables(spark: SparkSession, roots: dict[str, str], database: str = "t
         name = f"{database}.{layer}_trips"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(
-            f"CREATE TABLE {name} ({layer_ddl(layer)}, year INT, month INT) USING parquet"
+            f"CREATE TABLE {name} ({stored_ddl(layer)}) USING parquet"
             f" PARTITIONED BY (year, month) LOCATION '{root}'"
         )
         names.append(name)

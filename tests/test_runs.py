@@ -7,8 +7,8 @@ from meterline.operators import entity as e
 from meterline.operators import partitions as p
 from meterline.plans import stages as s
 from meterline.settings import JoinBounds, QualityLimits
-from meterline.sources.layers import land_bronze, read_layer
-from meterline.sources.trips import trips_view
+from meterline.sources.layers import land_bronze, read_layer, write_layer
+from meterline.sources.trips import trips_view, with_months
 from meterline.suite.frames import gold
 
 
@@ -150,6 +150,19 @@ def test_gold_in_yearly_batches_equals_gold_in_one(spark, sf_dir, tmp_path):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
+def test_bronze_of_an_older_schema(spark, sf_dir, tmp_path):
+    """Months written before the optional fee existed, and one with a column nobody knows."""
+    lake = s.Lake(str(tmp_path))
+    trips = with_months(trips_view(spark, sf_dir)).where("year = 1998")
+    write_layer(trips.where("month = 1").drop("cbd_congestion_fee"), lake.layer("bronze"))
+    write_layer(trips.where("month = 2").withColumn("unknown", F.lit(1)), lake.layer("bronze"))
+    s.build_layers(spark, lake, 1998)
+    gold = read_layer(spark, lake.layer("gold"))
+    assert gold.where("month = 1 AND cbd_congestion_fee IS NOT NULL").isEmpty()
+    assert not gold.where("month = 2 AND cbd_congestion_fee IS NOT NULL").isEmpty()
+    assert "unknown" not in gold.columns
+
+
 def test_validating_an_absent_layer(spark, tmp_path):
     assert s.validate_layer(spark, s.Lake(str(tmp_path)), "gold", 1998) is None
 
