@@ -2,35 +2,47 @@
 
 from __future__ import annotations
 
-import tempfile
+import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: list[tempfile.TemporaryDirectory] = []
+log = logging.getLogger(__name__)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session.
+def checkpoint_root(spark: SparkSession) -> str:
+    """Folder that all executors share.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local master, where
-    every task runs on this machine, gets a temporary folder when none is named.
+    That is the folder the session checkpoints to, else the one named in ``spark.checkpoint.dir``.
+    A local master, where every task runs on this machine, may leave it unset: then it is a folder
+    beside the session's warehouse.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            _LOCAL.append(tempfile.TemporaryDirectory(prefix="meterline-"))
-            shared = _LOCAL[-1].name
-        context.setCheckpointDir(shared)
-    return context.getCheckpointDir()
+    held = spark.sparkContext.getCheckpointDir()
+    if held is not None:
+        return held
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is not None:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """:func:`checkpoint_root`, set for the session where it has none yet."""
+    root = checkpoint_root(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -39,15 +51,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpoint_frame(df: DataFrame, directory: str | None = None, eager: bool = True) -> DataFrame:
-    """Checkpoint into ``directory``, falling back to the input where that fails."""
-    spark = df.sparkSession
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder, and read from there.
+
+    Files survive a lost executor, are compressed and let later reads choose columns, which a
+    checkpoint does not.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _checkpointing_to(spark: SparkSession, directory: str | None) -> Iterator[None]:
+    before = spark.sparkContext.getCheckpointDir()
+    if directory is None:
+        ensure_checkpoint_dir(spark)
+    else:
+        spark.sparkContext.setCheckpointDir(directory)
+    try:
+        yield
+    finally:
+        if directory is not None and before is not None:
+            spark.sparkContext.setCheckpointDir(before)
+
+
+def cut_lineage(df: DataFrame, directory: str | None = None, eager: bool = True) -> tuple[DataFrame, bool]:
+    """Checkpoint ``df``, in ``directory`` if given, and tell whether that was done.
+
+    Where Spark refuses (an unwritable folder, say) the answer is the input with its lineage and
+    ``False``; the refusal is logged. Anything that is not Spark's refusal is raised. The folder the
+    session checkpointed to before stays its folder.
+    """
     try:
-        if directory is None:
-            ensure_checkpoint_dir(spark)
-        else:
-            spark.sparkContext.setCheckpointDir(directory)
-        return df.checkpoint(eager=eager)
-    except Exception as error:  # the caller can go on with the longer lineage
-        print(f"checkpoint skipped: {error}")
-        return df
+        with _checkpointing_to(df.sparkSession, directory):
+            return df.checkpoint(eager=eager), True
+    except (PySparkException, Py4JJavaError) as refusal:
+        log.warning("lineage kept: %s", refusal)
+        return df, False

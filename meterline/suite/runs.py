@@ -14,7 +14,7 @@ from meterline.operators.clean import clean
 from meterline.plans.stages import Run, parse_months, run_months, run_silver_months, run_stages
 from meterline.settings import JoinBounds, QualityLimits
 from meterline.sources.layers import land_bronze, read_layer, write_layer
-from meterline.sources.scratch import checkpoint_frame, scratch_path
+from meterline.sources.scratch import cut_lineage, scratch_path
 from meterline.sources.sinks import write_as
 from meterline.sources.trips import trips_view, with_months
 from meterline.suite import oracle as o
@@ -193,7 +193,7 @@ def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry("p10_checkpoint", o.over_silver(f"SELECT {o.SILVER_LIST} FROM silver"))
 def p10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkpoint_frame(clean(trips_view(spark, sf_dir)))
+    return cut_lineage(clean(trips_view(spark, sf_dir)))[0]
 
 
 @entry(

@@ -146,8 +146,19 @@ def test_scratch_follows_the_session(spark, tmp_path):
     assert scratch.checkpointed(spark.range(5)).count() == 5
 
 
-def test_checkpoint_falls_back_to_its_input(spark, capsys):
+def test_lineage_is_kept_where_spark_refuses_a_checkpoint(spark, tmp_path, caplog):
+    folder = spark.sparkContext.getCheckpointDir()
     bad = spark.range(3).selectExpr("raise_error('no') AS x")
-    assert scratch.checkpoint_frame(bad) is bad
-    assert "checkpoint skipped" in capsys.readouterr().out
-    assert scratch.checkpoint_frame(spark.range(3), eager=False).count() == 3
+    same, done = scratch.cut_lineage(bad)
+    assert same is bad and not done and "lineage kept" in caplog.text
+    elsewhere, done = scratch.cut_lineage(spark.range(3), str(tmp_path / "elsewhere"), eager=False)
+    assert done and elsewhere.count() == 3
+    if folder is not None:
+        assert spark.sparkContext.getCheckpointDir() == folder
+
+
+def test_only_sparks_refusals_are_caught(spark, monkeypatch):
+    df = spark.range(3)
+    monkeypatch.setattr(type(df), "checkpoint", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        scratch.cut_lineage(df)
