@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from meterline.llm import exact, mixing
+from meterline.llm import exact, mixing, sharding, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
+    "op4_sharding": Entry(sharding.op4_sharding),
     "op6_exact": Entry(exact.op6_exact, exact.OP6_SQL),
     "op7_mixing": Entry(mixing.op7_mixing, mixing.OP7_SQL),
+    "op8_tokens": Entry(tokens.op8_tokens),
 }
