@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,3 +47,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     """One list per row: ``values[offsets[i]:offsets[i + 1]]``."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def worker_memory() -> dict:
+    """A dictionary that lives as long as the Python worker, over the tasks it runs one after another."""
+    holder = sys.modules.setdefault("_meterline_worker_memory", types.ModuleType("_meterline_worker_memory"))
+    return holder.__dict__

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.batches import bound_batches, lists, over_batches
+from meterline.llm.batches import bound_batches, lists, over_batches, worker_memory
 from meterline.sources.scratch import scratch_path, stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -27,7 +27,7 @@ INDEX_ROWS = 1000
 STRIPE_BYTES = 64 * 1024 * 1024
 ROWS_PER_FILE = 1_000_000
 #: ids of distinct chunks a worker remembers before it starts anew
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
@@ -36,8 +36,9 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(STRIPE_BYTES),
     "orc.compress": "ZSTD",
 }
-TO_SPACE = str.maketrans("\t\n\r", "   ")
-_ENCODERS: dict[str, object] = {}
+#: a special token of the vocabulary, put between chunks that are encoded in one call
+PARTING = "<|startoftext|>"
+CHUNKS_PER_CALL = 200
 
 
 class ChunkEncoder:
@@ -52,26 +53,42 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.parting_id = self.tokenizer.token_to_id(PARTING)
         self.known: dict[str, bytes] = {}
 
+    def _encode_chunks(self, chunks: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each chunk. Many are encoded in one call, parted by a special token."""
+        for start in range(0, len(chunks), CHUNKS_PER_CALL):
+            call = chunks[start : start + CHUNKS_PER_CALL]
+            ids = np.array(self.tokenizer.encode(PARTING.join(call), add_special_tokens=False).ids, dtype="<i4")
+            ends = np.flatnonzero(ids == self.parting_id)
+            if len(ends) != len(call) - 1:  # a chunk spells the special token
+                yield from (self._ids(chunk) for chunk in call)
+                continue
+            data = ids.tobytes()
+            for a, b in zip(4 * np.append(0, ends + 1), 4 * np.append(ends, len(ids))):
+                yield data[a:b]
+
+    def _ids(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<i4").tobytes()
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        chunked = [text.translate(TO_SPACE).split(" ") for text in texts]
-        fresh = {chunk for chunks in chunked for chunk in chunks if chunk not in self.known}
+        chunked = [text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for text in texts]
+        fresh = list({chunk for chunks in chunked for chunk in chunks if chunk not in self.known})
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known = {}
-            fresh = {chunk for chunks in chunked for chunk in chunks}
-        listed = list(fresh)
-        for chunk, encoding in zip(listed, self.tokenizer.encode_batch(listed, add_special_tokens=False)):
-            self.known[chunk] = np.array(encoding.ids, dtype="<i4").tobytes()
+            fresh = list({chunk for chunks in chunked for chunk in chunks})
+        self.known.update(zip(fresh, self._encode_chunks(fresh)))
         return [b"".join(map(self.known.__getitem__, chunks)) for chunks in chunked]
 
 
 def encoder(vocabulary: str) -> ChunkEncoder:
     """One encoder per worker and vocabulary."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = ChunkEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    memory = worker_memory()
+    if vocabulary not in memory:
+        memory[vocabulary] = ChunkEncoder(vocabulary)
+    return memory[vocabulary]
 
 
 def encode_documents(df: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
