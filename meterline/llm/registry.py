@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meterline.llm import exact, mixing, sharding, tokens
+from meterline.llm import exact, mixing, pii, sharding, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
+    "op1_pii": Entry(pii.op1_pii),
     "op4_sharding": Entry(sharding.op4_sharding),
     "op6_exact": Entry(exact.op6_exact, exact.OP6_SQL),
     "op7_mixing": Entry(mixing.op7_mixing, mixing.OP7_SQL),
