@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from meterline.llm import exact, mixing, neardup, pii, sharding, tokens
+from meterline.llm import decontaminate, exact, mixing, neardup, pii, sharding, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
     "op1_pii": Entry(pii.op1_pii),
+    "op2_decontamination": Entry(decontaminate.op2_decontamination),
     "op3_near_duplicates": Entry(neardup.op3_near_duplicates),
     "op4_sharding": Entry(sharding.op4_sharding),
     "op6_exact": Entry(exact.op6_exact, exact.OP6_SQL),
