@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from meterline.llm.batches import bound_batches, over_batches
 from meterline.llm.darts import signatures
@@ -94,7 +95,7 @@ def shingle_sets(df: DataFrame) -> DataFrame:
     return over_batches(df.select("doc_id", "text"), run, "doc_id long, digest binary, shingles binary")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def agreement(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of coordinates in which two sketches agree."""
     return pd.Series(
@@ -102,7 +103,7 @@ def agreement(left: pd.Series, right: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     """Similarity of two sorted sets of shingles; two empty ones are not alike, as they share nothing."""
     out = []

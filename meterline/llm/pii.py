@@ -142,6 +142,10 @@ def detect(df: DataFrame) -> DataFrame:
     return over_batches(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, f"doc_id long, spans {SPANS}")
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(
@@ -153,7 +157,7 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     found = detect(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     return found.select(
         "doc_id",
         *counts,

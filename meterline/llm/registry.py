@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.llm import decontaminate, exact, mixing, neardup, pii, sharding, tokens
+from meterline.llm import decontaminate, exact, mixing, neardup, pii, quality, sharding, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
@@ -10,6 +10,7 @@ ENTRIES = {
     "op2_decontamination": Entry(decontaminate.op2_decontamination),
     "op3_near_duplicates": Entry(neardup.op3_near_duplicates),
     "op4_sharding": Entry(sharding.op4_sharding),
+    "op5_quality": Entry(quality.op5_quality),
     "op6_exact": Entry(exact.op6_exact, exact.OP6_SQL),
     "op7_mixing": Entry(mixing.op7_mixing, mixing.OP7_SQL),
     "op8_tokens": Entry(tokens.op8_tokens),
