@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.llm import decontaminate, exact, mixing, neardup, pii, quality, sharding, suffixes, tokens
+from meterline.llm import chat, decontaminate, exact, mixing, neardup, pii, quality, sharding, suffixes, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
@@ -14,5 +14,6 @@ ENTRIES = {
     "op6_exact": Entry(exact.op6_exact, exact.OP6_SQL),
     "op7_mixing": Entry(mixing.op7_mixing, mixing.OP7_SQL),
     "op8_tokens": Entry(tokens.op8_tokens),
+    "op9_chat": Entry(chat.op9_chat, chat.OP9_SQL),
     "op10_suffixes": Entry(suffixes.op10_suffixes),
 }
