@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.zones import route_of
-from meterline.operators.lookup import at_most
 from meterline.settings import JoinBounds
+from meterline.sources.scratch import checkpointed
 
 # --- fixed values: the feature view -------------------------------------------------------------
 ENTITY_KEYS = ("trip_id", "location_pair")
@@ -94,13 +96,20 @@ def _inside(start: str | datetime | None, end: str | datetime | None) -> Column:
 def latest_rows(view: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
     """The newest row per entity, by event time, then created time, then the row itself.
 
-    A maximum over structs: each map task keeps one row per key, so an entity with a third of
-    all rows is as cheap as any, where a window would gather it in one task.
+    The newest event time per entity is a hash aggregate that combines in each task, so an entity with a
+    third of all rows is as cheap as any. A hash join keeps the rows of that time; only these, one per
+    entity and its ties, are then ordered as whole rows.
     """
+    keys = list(keys)
+    newest = view.groupBy(*keys).agg(F.max(EVENT_TIME).alias("_newest"))
+    newest = newest.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = F.col(EVENT_TIME).eqNullSafe(F.col("_newest"))
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    last = view.join(newest.hint("shuffle_hash"), same, "left_semi")
     others = [name for name in view.columns if name not in (*keys, EVENT_TIME, CREATED)]
     row = F.struct(EVENT_TIME, CREATED, *others)
-    newest = view.groupBy(*keys).agg(F.max(row).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*view.columns)
+    return last.groupBy(*keys).agg(F.max(row).alias("_row")).select(*keys, "_row.*").select(*view.columns)
 
 
 def materialise(
@@ -121,8 +130,7 @@ def materialise_increment(
     keys: Sequence[str] = ENTITY_KEYS,
 ) -> DataFrame:
     """Earlier state brought forward by the events in ``[start, end]``."""
-    fresh = materialise(view, start, end, keys)
-    return latest_rows(state.unionByName(fresh), keys)
+    return latest_rows(state.unionByName(view.where(_inside(start, end))), keys)
 
 
 def lookup_features(
@@ -134,20 +142,26 @@ def lookup_features(
     ttl_days: int = TTL_DAYS,
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame:
-    """Feature values of each wanted key; an unknown or expired key gives NULLs.
+    """Feature values of each wanted key; an unknown or expired key, or one with a NULL, gives NULLs.
 
-    Few wanted keys, the usual case, are counted and broadcast against ``latest``, which then
-    meets the left join as the handful of rows asked for. Many are joined by shuffle; both sides
-    have one row per key there, so no key is heavy.
+    Each key is looked up once, however often it is wanted. What is found is written down and counted: up to
+    the bound it is broadcast to the wanted rows, beyond it joined by shuffle, where adaptive execution
+    splits a key that is wanted very often. Rows with a NULL in their key take no part in that join.
+    It is an error if ``latest`` has two rows of a key that is wanted.
     """
     keys = list(keys)
     current = F.current_timestamp() if now is None else F.lit(now)
     oldest = current.cast("timestamp_ntz") - F.expr(f"INTERVAL {ttl_days} DAYS")
     alive = latest.where(F.col(EVENT_TIME) >= oldest).select(*keys, *features)
-    asked = wanted.select(*keys).distinct()
-    if at_most(asked, bounds.broadcast_rows):
-        found = alive.join(F.broadcast(asked), keys, "left_semi")
-        found = F.broadcast(found)
-    else:
-        found = alive
-    return wanted.join(found, keys, "left")
+    complete = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    asked = wanted.where(complete).select(*keys).distinct()
+    found = checkpointed(alive.join(asked, keys, "left_semi"))
+    rows, distinct = found.count(), found.select(*keys).distinct().count()
+    if rows > distinct:
+        raise ValueError(f"{rows - distinct} more rows than keys; take the newest row of each key first")
+    if rows <= bounds.broadcast_rows:
+        return wanted.join(F.broadcast(found), keys, "left")
+    without = wanted.where(~complete)
+    for name in features:
+        without = without.withColumn(name, F.lit(None).cast(found.schema[name].dataType))
+    return wanted.where(complete).join(found, keys, "left").unionByName(without)

@@ -15,11 +15,6 @@ def broadcast_if_small(table: DataFrame, rows: int, bounds: JoinBounds = JoinBou
     return F.broadcast(table) if rows <= bounds.broadcast_rows else table
 
 
-def at_most(table: DataFrame, bound: int) -> bool:
-    """Whether ``table`` holds no more than ``bound`` rows; reads no further than that."""
-    return table.limit(bound + 1).count() <= bound
-
-
 def attach_counts(
     trips: DataFrame,
     counts: DataFrame,

@@ -7,17 +7,17 @@ tidy frame ``(scope, check, column, metric, threshold, severity, valid)``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.fares import CHARGES, SURCHARGES
 from meterline.functions.zones import zone_number_sql
-from meterline.schema import CRITICAL, FILL_VALUES, MONTH_KEYS, TYPE_SPELLINGS, ColumnRule
-from meterline.settings import JoinBounds, QualityLimits
+from meterline.schema import ACCEPTED_TYPES, CRITICAL, FILL_VALUES, MONTH_KEYS, ColumnRule
+from meterline.settings import QualityLimits
 from meterline.sources.scratch import checkpointed
 
 REPORT_SCHEMA = (
@@ -58,10 +58,10 @@ def _double(value: float) -> str:
 # --- schema ------------------------------------------------------------------------------------
 
 
-def type_matches(actual: str, expected: str) -> bool:
-    """Whether an actual type name is an accepted spelling of the expected one."""
-    spellings = TYPE_SPELLINGS.get(expected.lower())
-    return spellings is None or any(word in actual.lower() for word in spellings)
+def type_matches(actual: T.DataType, expected: str) -> bool:
+    """Whether a column of type ``actual`` may stand for one declared as ``expected``."""
+    accepted = ACCEPTED_TYPES.get(expected.lower())
+    return accepted is None or isinstance(actual, accepted)
 
 
 def schema_checks(
@@ -89,7 +89,7 @@ def schema_checks(
         if rule is None:
             out.append(found("extra_column", field.name, "warning" if limits.allow_extra_columns else "error"))
             continue
-        matches = type_matches(str(field.dataType), rule.type)
+        matches = type_matches(field.dataType, rule.type)
         out.append(found("column_type", field.name, "ok" if matches else "error"))
         same = field.nullable == rule.nullable
         wrong = "error" if limits.strict else "warning"
@@ -307,43 +307,49 @@ def zscore_outliers(
 # --- duplicates --------------------------------------------------------------------------------
 
 
-def duplicate_counts(df: DataFrame, bounds: JoinBounds = JoinBounds()) -> DataFrame:
+def hash_counts(df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """Rows per 64-bit hash, with the least and greatest of a second, independent hash among them."""
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    # Spark's hashes pass over NULLs, so the second one also takes in where they are
+    second = F.xxhash64(F.lit("second"), *[part for column in columns for part in (column.isNull(), column)])
+    hashed = df.select(hash_of(*columns).alias("_hash"), second.alias("_second"))
+    return hashed.groupBy("_hash").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_second").alias("_low"), F.max("_second").alias("_high")
+    )
+
+
+def duplicate_counts(df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """Exact ``(total_rows, distinct_rows, duplicate_count)`` over whole rows.
 
-    Rows are first counted by a 64-bit hash, which moves eight bytes per row instead of the row.
-    A row whose hash occurs once is distinct. Only rows that share a hash are compared in full,
-    so collisions cannot blur the result. Both aggregates combine on the map side, so a row that
-    is repeated very often is no burden.
+    Rows are counted by a 64-bit hash, along with the least and greatest of a second, independent one. Where
+    these agree the rows of a hash are equal; where they differ, rows that are not equal share the first
+    hash. Of such hashes there are a few ten thousand among 10^12 rows, so they are broadcast and only
+    their rows compared in full. All else moves 24 bytes a row, after a count per task.
     """
-    columns = [F.col(f"`{name}`") for name in df.columns]
-    hashed = df.withColumn("_hash", F.xxhash64(*columns))
-    by_hash = checkpointed(
-        hashed.groupBy("_hash")
-        .agg(F.count("*").alias("_n"))
-        .groupBy((F.col("_n") > 1).alias("_shared"), F.when(F.col("_n") > 1, F.col("_hash")).alias("_hash"))
-        .agg(F.sum("_n").alias("_n"))
+    differ = F.col("_low") != F.col("_high")
+    found = checkpointed(
+        hash_counts(df, hash_of).groupBy(F.when(differ, F.col("_hash")).alias("_hash")).agg(
+            F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_more")
+        )
     )
-    shared = by_hash.where("_shared").select("_hash")
-    if shared.count() <= bounds.broadcast_rows:
-        suspects = hashed.join(F.broadcast(shared), "_hash", "left_semi")
-        suspect_rows = suspects.groupBy(*columns).agg(F.count("*").alias("_n"))
-        extra = suspect_rows.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"))
-    else:
-        whole_rows = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-        extra = whole_rows.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"))
-    total = by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    return extra.select(
-        F.lit(total).cast("long").alias("total_rows"),
-        (F.lit(total) - F.col("duplicate_count")).alias("distinct_rows"),
-        "duplicate_count",
+    collided = found.where("_hash IS NOT NULL").select("_hash")
+    total = found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    duplicates = found.where("_hash IS NULL").agg(F.coalesce(F.sum("_more"), F.lit(0))).first()[0]
+    if not collided.isEmpty():
+        columns = [F.col(f"`{name}`") for name in df.columns]
+        hashed = df.withColumn("_hash", hash_of(*columns))
+        rows = hashed.join(F.broadcast(collided), "_hash", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+        duplicates += rows.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0]
+    return df.sparkSession.createDataFrame(
+        [(total, total - duplicates, duplicates)], "total_rows long, distinct_rows long, duplicate_count long"
     )
 
 
 def duplicate_report(
-    df: DataFrame, scope: str, limits: QualityLimits = QualityLimits(), bounds: JoinBounds = JoinBounds()
+    df: DataFrame, scope: str, limits: QualityLimits = QualityLimits()
 ) -> DataFrame:
     """Two report rows: duplicates found, and their share against the limit."""
-    counts = duplicate_counts(df, bounds).withColumn(
+    counts = duplicate_counts(df).withColumn(
         "percent", F.coalesce(F.try_divide("duplicate_count", "total_rows") * 100, F.lit(0.0))
     )
     too_many = F.col("percent") > limits.max_duplicate_percent
@@ -412,7 +418,6 @@ def validate(
     rules: Sequence[ColumnRule],
     limits: QualityLimits = QualityLimits(),
     scope: str = "gold",
-    bounds: JoinBounds = JoinBounds(),
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Validation report: one pass for all checks, and one shuffle of hashes for duplicates.
@@ -422,7 +427,7 @@ def validate(
     """
     report = run_checks(df, data_checks(df, rules, limits, schema), scope)
     if limits.duplicates:
-        report = report.union(duplicate_report(df, scope, limits, bounds))
+        report = report.union(duplicate_report(df, scope, limits))
     if limits.fail_on_error:
         report = checkpointed(report)
         enforce(report, limits)

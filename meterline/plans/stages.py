@@ -3,28 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators import marts
 from meterline.operators.clean import clean
-from meterline.operators.features import add_features, count_routes, normalise_zones
-from meterline.operators.quality import WatchedWrite, duplicate_report, enforce, validate, verdict
+from meterline.operators.features import add_features
+from meterline.operators.quality import WatchedWrite, duplicate_report, validate, verdict
 from meterline.schema import LAYERS, MONTH_KEYS, rules_for, stored_ddl
-from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tune
+from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tuned
 from meterline.sources.layers import (
-    land_bronze,
+    land_files,
     layer_exists,
     months_present,
     months_wanted,
     read_layer,
-    read_parquet,
     write_layer,
 )
 from meterline.sources.scratch import checkpointed
-from meterline.sources.sinks import write_mart
+from meterline.sources.sinks import write_mart, write_report
 
 MONTH_LOG = "year int, month int, status string, error string"
 STAGE_LOG = "step int, stage string, success boolean, output string, error string"
@@ -46,27 +45,43 @@ def _store(
     df: DataFrame,
     layer: str,
     lake: Lake,
-    year: int | None,
-    months: Iterable[int] | None,
+    months: Sequence[tuple[int, int]],
     quality: QualityLimits | None,
     options: WriteOptions,
 ) -> DataFrame | None:
-    """Write a layer; with ``quality``, gather its per-row checks from the same pass."""
+    """Write a layer, replacing ``months`` of it; with ``quality``, return its report.
+
+    Where errors are to stop the stage, the frame is checked before anything is written. Otherwise the
+    per-row checks are gathered from the pass that writes.
+    """
     root = lake.layer(layer)
     if quality is None:
-        write_layer(df, root, options)
+        write_layer(df, root, options, replaces=months)
         return None
+    if quality.fail_on_error:
+        report = validate(df, rules_for(layer), quality, layer)
+        write_layer(df, root, options, replaces=months)
+        return report
     watched = WatchedWrite(df, rules_for(layer), quality, layer)
-    write_layer(watched.df, root, options)
+    write_layer(watched.df, root, options, replaces=months)
     report = watched.report()
     if quality.duplicates:
-        written = read_layer(df.sparkSession, root, year, months, schema=df.schema)
+        held = df.sparkSession.createDataFrame(list(months), "year int, month int")
+        written = read_layer(df.sparkSession, root, schema=df.schema).join(F.broadcast(held), list(MONTH_KEYS), "left_semi")
         report = report.union(duplicate_report(written, layer, quality))
-    if quality.fail_on_error:
-        enforce(report, quality)
     return report
 
 
+def _months_held(
+    spark: SparkSession, source: str, year: int | None, months: Iterable[int] | None
+) -> list[tuple[int, int]]:
+    """The months asked for that the source holds; it is an error where it holds none of them."""
+    held = months_present(spark, source).where(months_wanted(year, months)).dropna().collect()
+    if not held:
+        raise ValueError(f"{source} holds none of the months asked for: year {year}, months {list(months or ()) or 'all'}")
+    return sorted((row.year, row.month) for row in held)
+
+
 def silver_frame(
     spark: SparkSession,
     bronze: str,
@@ -88,11 +103,13 @@ def build_silver(
 ) -> DataFrame | None:
     """Bronze to silver for the months asked for; narrow from scan to write.
 
-    Returns the validation report where ``quality`` is given.
+    Every such month that bronze holds is replaced, also where no trip of it is clean. Returns the validation report where ``quality`` is given.
     """
-    tune(spark)
-    silver = silver_frame(spark, lake.layer("bronze"), year, months, limits)
-    return _store(silver, "silver", lake, year, months, quality, options)
+    months = list(months or ())
+    held = _months_held(spark, lake.layer("bronze"), year, months)
+    with tuned(spark):
+        silver = silver_frame(spark, lake.layer("bronze"), year, months, limits)
+        return _store(silver, "silver", lake, held, quality, options)
 
 
 def gold_frame(
@@ -107,28 +124,6 @@ def gold_frame(
     return add_features(read_layer(spark, silver, year, months, schema=stored_ddl("silver")), groups, scope, bounds)
 
 
-def gold_batches(
-    silver: DataFrame, groups: FeatureGroups, scope: Sequence[str], bounds: JoinBounds
-) -> list[DataFrame]:
-    """Gold of all of ``silver``, in as few frames as keep the count tables small.
-
-    Counts within a month grow with the number of months. Where those of the whole input are too
-    many to broadcast, each year becomes a frame of its own: it reads its own partitions, and
-    takes its counts from the grain that was counted once for all. A year whose counts are still
-    too many falls back to the shuffled join.
-    """
-    if not (groups.location and groups.frequency and "year" in scope):
-        return [add_features(silver, groups, scope, bounds)]
-    grain = checkpointed(count_routes(normalise_zones(silver), scope))
-    if grain.count() <= bounds.broadcast_rows:
-        return [add_features(silver, groups, scope, bounds, grain=grain)]
-    years = sorted(row.year for row in grain.select("year").distinct().collect())
-    return [
-        add_features(silver.where(F.col("year") == y), groups, scope, bounds, grain=grain.where(F.col("year") == y))
-        for y in years
-    ]
-
-
 def build_gold(
     spark: SparkSession,
     lake: Lake,
@@ -141,18 +136,11 @@ def build_gold(
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame | None:
     """Silver to gold for the months asked for; the counts are per month unless scoped otherwise."""
-    tune(spark)
     months = list(months or ())
-    silver = read_layer(spark, lake.layer("silver"), year, months, schema=stored_ddl("silver"))
-    batches = gold_batches(silver, groups, scope, bounds)
-    if len(batches) == 1:
-        return _store(batches[0], "gold", lake, year, months, quality, options)
-    for batch in batches:
-        write_layer(batch, lake.layer("gold"), options)
-    if quality is None:
-        return None
-    written = read_layer(spark, lake.layer("gold"), year, months, schema=batches[0].schema)
-    return validate(written, rules_for("gold"), quality, schema=batches[0].schema)
+    held = _months_held(spark, lake.layer("silver"), year, months)
+    with tuned(spark):
+        gold = gold_frame(spark, lake.layer("silver"), year, months, groups, scope, bounds)
+        return _store(gold, "gold", lake, held, quality, options)
 
 
 def build_layers(
@@ -227,16 +215,29 @@ def validate_layer(
     layer: str,
     year: int | None = None,
     limits: QualityLimits = QualityLimits(),
+    months: Iterable[int] | None = None,
+    nullability: bool = False,
+    reports: str | None = None,
 ) -> DataFrame | None:
-    """Validation report of a stored layer, or None where there is nothing to read."""
-    tune(spark)
+    """Validation report of a stored layer or months of it, or None where there is nothing to read.
+
+    Parquet read from storage allows nulls in every column, so whether the schema allows them is a warning
+    unless ``nullability`` asks for it; whether there are any is checked on the data. With ``reports`` the
+    report is also written as a file to that folder.
+    """
     root = lake.layer(layer)
     if not layer_exists(spark, root):
         return None
-    df = read_layer(spark, root, year, merge=True)
+    df = read_layer(spark, root, year, months, merge=True)
     if df.isEmpty():
         return None
-    return validate(df, rules_for(layer), limits, layer)
+    if not nullability:
+        limits = replace(limits, strict=False)
+    with tuned(spark):
+        report = checkpointed(validate(df, rules_for(layer), limits, layer))
+    if reports is not None:
+        write_report(report, f"{reports.rstrip('/')}/{layer}")
+    return report
 
 
 def export_marts(
@@ -258,7 +259,11 @@ def export_marts(
 
 @dataclass(frozen=True)
 class Run:
-    """What a run of the stages should do."""
+    """What a run of the stages should do.
+
+    ``raw_months`` names the month of raw files that are filed under one. The marts are always those of all
+    of gold, whatever months the run builds; ``reports`` is a folder for validation reports.
+    """
 
     lake: Lake
     year: int | None = None
@@ -269,6 +274,8 @@ class Run:
     check: bool = True
     transform: bool = True
     quality: QualityLimits = field(default_factory=QualityLimits)
+    raw_months: dict[str, tuple[int, int]] | None = None
+    reports: str | None = None
 
 
 def run_stages(spark: SparkSession, run: Run) -> DataFrame:
@@ -281,11 +288,11 @@ def run_stages(spark: SparkSession, run: Run) -> DataFrame:
     def land() -> str:
         if run.raw is None:
             raise ValueError("landing needs a raw folder")
-        land_bronze(spark, read_parquet(spark, [run.raw]), lake.layer("bronze"))
+        land_files(spark, run.raw, lake.layer("bronze"), run.raw_months)
         return lake.layer("bronze")
 
     def check(layer: str) -> str:
-        report = validate_layer(spark, lake, layer, run.year, run.quality)
+        report = validate_layer(spark, lake, layer, run.year, run.quality, run.months, reports=run.reports)
         if report is None:
             return "no data"
         outcome = verdict(report, run.quality).first()
@@ -295,7 +302,7 @@ def run_stages(spark: SparkSession, run: Run) -> DataFrame:
         return " ".join(build_layers(spark, lake, run.year, run.months))
 
     def export() -> str:
-        gold = read_layer(spark, lake.layer("gold"), run.year, run.months)
+        gold = read_layer(spark, lake.layer("gold"))
         return " ".join(export_marts(gold, run.mart_target).values())
 
     steps: list[tuple[str, Callable[[], str]]] = []

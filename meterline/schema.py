@@ -96,17 +96,6 @@ FILL_VALUES = {
     "store_and_fwd_flag": "N",
 }
 
-# accepted spellings of a column type, matched as case-insensitive substrings
-TYPE_SPELLINGS = {
-    "string": ("stringtype", "string"),
-    "integer": ("integertype", "inttype", "integer"),
-    "long": ("longtype", "biginttype", "long"),
-    "double": ("doubletype", "floattype", "double", "float"),
-    "boolean": ("booleantype", "booltype", "boolean", "bool"),
-    "timestamp_ntz": ("timestampntztype", "timestampntzt", "timestamp"),
-    "timestamp": ("timestamptype", "timestamp"),
-}
-
 # --- end of fixed values -------------------------------------------------------------------
 
 SPARK_TYPES = {
@@ -120,6 +109,17 @@ SPARK_TYPES = {
     "date": T.DateType(),
 }
 
+# types a column of a declared type may have
+ACCEPTED_TYPES = {
+    "string": (T.StringType,),
+    "integer": (T.IntegerType,),
+    "long": (T.LongType,),
+    "double": (T.DoubleType, T.FloatType),
+    "boolean": (T.BooleanType,),
+    "timestamp_ntz": (T.TimestampNTZType, T.TimestampType),
+    "timestamp": (T.TimestampType, T.TimestampNTZType),
+}
+
 MONTH_KEYS = ("year", "month")
 LAYERS = ("bronze", "silver", "gold")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 # --- fixed values: default thresholds --------------------------------------------------------
@@ -105,3 +107,15 @@ def tune(spark) -> None:
     """Apply the runtime settings to a session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+
+
+@contextmanager
+def tuned(spark) -> Iterator[None]:
+    """The runtime settings for one stage; the caller's settings hold again after it."""
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_SETTINGS}
+    tune(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,10 @@ from pyspark.sql.types import StructType
 
 from meterline.schema import MONTH_KEYS
 from meterline.settings import WriteOptions
-from meterline.sources.trips import conform, with_months
+from meterline.sources.trips import conform, lost_in_conforming, with_months
+
+log = logging.getLogger(__name__)
+LANDED = "source string, year int, month int, rows long"
 
 
 def read_parquet(spark: SparkSession, paths: Sequence[str], merge: bool = True) -> DataFrame:
@@ -60,11 +65,26 @@ def layer_exists(spark: SparkSession, root: str) -> bool:
         raise
 
 
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of the data files under ``root``, with its partition columns. Only folders are listed."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+
+
 def months_present(spark: SparkSession, root: str) -> DataFrame:
-    """The ``(year, month)`` pairs of a layer. No data column is read."""
+    """The ``(year, month)`` pairs of a layer, from its partition folders; no data file is opened."""
     if not layer_exists(spark, root):
         return spark.createDataFrame([], "year int, month int")
-    return spark.read.parquet(root).select(*MONTH_KEYS).distinct()
+    return listed_files(spark, root).select(*MONTH_KEYS).distinct()
+
+
+def _files_by_month(spark: SparkSession, root: str, months: Sequence[tuple[int, int]]) -> dict[tuple[int, int], set[str]]:
+    """Files of some months of a layer."""
+    found: dict[tuple[int, int], set[str]] = {key: set() for key in months}
+    if months and layer_exists(spark, root):
+        asked = spark.createDataFrame(months, "year int, month int")
+        for row in listed_files(spark, root).join(F.broadcast(asked), list(MONTH_KEYS)).select(*MONTH_KEYS, "path").collect():
+            found[row.year, row.month].add(row.path)
+    return found
 
 
 def write_layer(
@@ -72,14 +92,17 @@ def write_layer(
     root: str,
     options: WriteOptions = WriteOptions(),
     rebalance: bool = False,
+    replaces: Sequence[tuple[int, int]] = (),
 ) -> str:
     """Write ``df`` partitioned by year and month; returns ``root``.
 
-    ``overwrite`` replaces only the months present in ``df``. Without ``rebalance`` the write is
-    narrow: input that is already laid out by month stays so. With it, rows are brought together
-    by month, and adaptive execution splits a month that is larger than the advised size.
-    ``options.files`` lowers the number of writing tasks without a shuffle.
+    ``overwrite`` replaces the months present in ``df``, and those of ``replaces`` also where ``df`` has no
+    row of them. Without ``rebalance`` the write is narrow: input that is already laid out by month stays so.
+    With it, rows are brought together by month, and adaptive execution splits a month that is larger
+    than the advised size. ``options.files`` lowers the number of writing tasks without a shuffle.
     """
+    spark = df.sparkSession
+    held = _files_by_month(spark, root, list(replaces))
     if rebalance:
         df = df.hint("rebalance", *MONTH_KEYS)
     if options.files is not None:
@@ -93,33 +116,96 @@ def write_layer(
         .partitionBy(*MONTH_KEYS)
         .parquet(root)
     )
+    # a month whose old files are still there got no row; it becomes empty
+    after = _files_by_month(spark, root, [key for key, files in held.items() if files])
+    nothing = spark.createDataFrame([], df.drop(*MONTH_KEYS).schema)
+    for (year, month), files in after.items():
+        if files & held[year, month]:
+            nothing.write.mode("overwrite").parquet(f"{root}/year={year}/month={month}")
     return root
 
 
+def _landed_path(root: str) -> str:
+    return f"{root.rstrip('/')}-landed"
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """What has been landed in a layer, and from which source: one row per source and month."""
+    path = _landed_path(root)
+    if not layer_exists(spark, path):
+        return spark.createDataFrame([], LANDED)
+    return spark.read.schema(LANDED).parquet(path)
+
+
+def _land(spark: SparkSession, trips: DataFrame, root: str, rebalance: bool) -> DataFrame:
+    """Append trips that have source, year and month, note them as landed, and return the notes."""
+    before = landed(spark, root).select("source").distinct()
+    write_layer(trips.drop("source"), root, WriteOptions(mode="append"), rebalance=rebalance)
+    counts = trips.groupBy("source", *MONTH_KEYS).agg(F.count(F.lit(1)).alias("rows"))
+    counts.write.mode("append").parquet(_landed_path(root))
+    new = F.broadcast(before.withColumnRenamed("source", "before"))  # one row per source file
+    return landed(spark, root).join(new, F.col("source").eqNullSafe(F.col("before")), "left_anti")
+
+
+def _conformed(raw: DataFrame, name: str) -> DataFrame:
+    """Bronze columns of ``raw``; values that do not fit their type become NULL and are told in the log."""
+    lost = lost_in_conforming(raw)
+    if lost:
+        row = raw.agg(*[F.count_if(condition).alias(column) for column, condition in lost.items()]).first()
+        counts = {column: n for column, n in row.asDict().items() if n}
+        if counts:
+            log.warning("%s: values that became NULL: %s", name, counts)
+    return conform(raw)
+
+
 def land_bronze(
     spark: SparkSession,
     raw: DataFrame,
     root: str,
     month: tuple[int, int] | None = None,
+    source: str | None = None,
 ) -> DataFrame:
-    """Append raw trips to bronze, leaving months that are already there as they are.
+    """Append raw trips to bronze and return the rows landed: source, year, month, rows.
 
-    The month of a row is that of its pickup, or ``month = (year, month)`` for a file that is
-    filed under one nominal month. Returns the months landed by this call. Only the months held
-    so far reach the driver, and the anti join against them is a broadcast of those few rows.
-    Rows are brought together by month only where they may belong to many.
+    A ``source`` is landed once: it is skipped, and the answer empty, where the layer has a note of it. No row
+    is left out because its month holds other rows. The month of a row is that of its pickup, or
+    ``month = (year, month)`` for a file that is filed under one nominal month, which then also is its
+    source unless another is named. Without either the rows are landed whenever they are given.
     """
-    trips = conform(raw)
+    if source is None:
+        source = f"frame-{uuid.uuid4().hex}" if month is None else f"{month[0]}-{month[1]:02d}"
+    if not landed(spark, root).where(F.col("source") == source).isEmpty():
+        return spark.createDataFrame([], LANDED)
+    trips = _conformed(raw, source)
     if month is None:
         trips = with_months(trips)
     else:
         trips = trips.withColumns({"year": F.lit(month[0]), "month": F.lit(month[1])})
-    known = [(row.year, row.month) for row in months_present(spark, root).collect()]
-    held = spark.createDataFrame(known, "held_year int, held_month int")
-    same_month = F.col("year").eqNullSafe(F.col("held_year")) & F.col("month").eqNullSafe(F.col("held_month"))
-    fresh = trips.join(F.broadcast(held), same_month, "left_anti")
-    write_layer(fresh, root, WriteOptions(mode="append"), rebalance=month is None)
-    return months_present(spark, root).join(F.broadcast(held), same_month, "left_anti")
+    return _land(spark, trips.withColumn("source", F.lit(source)), root, rebalance=month is None)
+
+
+def land_files(spark: SparkSession, path: str, root: str, months: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """Land the raw files under ``path`` that are not in bronze yet; one row per file and month of rows.
+
+    A file is known by its name. Each is conformed on its own, so files may differ in their columns and
+    types. ``months`` gives files that are filed under a nominal month, by name; rows of others go to the
+    month of their pickup. All new files go into one job.
+    """
+    known = {row.source for row in landed(spark, root).select("source").distinct().collect()}
+    files = {row.path.rsplit("/", 1)[-1]: row.path for row in listed_files(spark, path).select("path").collect()}
+    fresh = None
+    for name in sorted(set(files) - known):
+        trips = _conformed(spark.read.parquet(files[name]), name)
+        if months and name in months:
+            year, month = months[name]
+            trips = trips.withColumns({"year": F.lit(year), "month": F.lit(month)})
+        else:
+            trips = with_months(trips)
+        trips = trips.withColumn("source", F.lit(name))
+        fresh = trips if fresh is None else fresh.unionByName(trips, allowMissingColumns=True)
+    if fresh is None:
+        return spark.createDataFrame([], LANDED)
+    return _land(spark, fresh, root, rebalance=True)
 
 
 def scan_counts(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -62,30 +60,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def _checkpointing_to(spark: SparkSession, directory: str | None) -> Iterator[None]:
-    before = spark.sparkContext.getCheckpointDir()
-    if directory is None:
-        ensure_checkpoint_dir(spark)
-    else:
-        spark.sparkContext.setCheckpointDir(directory)
-    try:
-        yield
-    finally:
-        if directory is not None and before is not None:
-            spark.sparkContext.setCheckpointDir(before)
-
-
 def cut_lineage(df: DataFrame, directory: str | None = None, eager: bool = True) -> tuple[DataFrame, bool]:
-    """Checkpoint ``df``, in ``directory`` if given, and tell whether that was done.
+    """Checkpoint ``df``, or write it to ``directory`` and read it there, and tell whether that was done.
 
     Where Spark refuses (an unwritable folder, say) the answer is the input with its lineage and
     ``False``; the refusal is logged. Anything that is not Spark's refusal is raised. The folder the
-    session checkpointed to before stays its folder.
+    session checkpoints to stays as it is; what goes to ``directory`` is written at once.
     """
     try:
-        with _checkpointing_to(df.sparkSession, directory):
+        if directory is None:
+            ensure_checkpoint_dir(df.sparkSession)
             return df.checkpoint(eager=eager), True
+        path = f"{directory.rstrip('/')}/lineage-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path), True
     except (PySparkException, Py4JJavaError) as refusal:
         log.warning("lineage kept: %s", refusal)
         return df, False

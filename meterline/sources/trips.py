@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.schema import BRONZE_DDL, CRITICAL, ddl_columns
@@ -67,20 +67,35 @@ def with_months(trips: DataFrame, pickup: str = "tpep_pickup_datetime") -> DataF
     return trips.withColumns({"year": F.year(pickup), "month": F.month(pickup)})
 
 
-def conform(raw: DataFrame) -> DataFrame:
-    """Bronze schema of a raw trip frame.
-
-    Columns are matched without regard to case and cast to their bronze type; absent optional
-    columns become typed NULLs; columns of other names are kept behind them.
-    """
+def _present(raw: DataFrame) -> dict[str, str]:
     present = {name.lower(): name for name in raw.columns}
     absent = [name for name in CRITICAL if name.lower() not in present]
     if absent:
         raise ValueError(f"raw trips lack the columns {absent}")
-    wanted = ddl_columns(BRONZE_DDL)
+    return present
+
+
+def conform(raw: DataFrame) -> DataFrame:
+    """Bronze schema of a raw trip frame.
+
+    Columns are matched without regard to case and cast to their bronze type, values that do not fit it to
+    NULL; absent optional columns become typed NULLs; columns of other names are kept behind them.
+    """
+    present, wanted = _present(raw), ddl_columns(BRONZE_DDL)
     known = {name.lower() for name, _ in wanted}
     columns = [
-        (raw[present[name.lower()]] if name.lower() in present else F.lit(None)).cast(kind).alias(name)
+        (raw[present[name.lower()]].try_cast(kind) if name.lower() in present else F.lit(None).cast(kind)).alias(name)
         for name, kind in wanted
     ]
     return raw.select(*columns, *(name for name in raw.columns if name.lower() not in known))
+
+
+def lost_in_conforming(raw: DataFrame) -> dict[str, Column]:
+    """For each text column that :func:`conform` casts, whether a row's value becomes NULL in that."""
+    present, kinds = _present(raw), dict(raw.dtypes)
+    out = {}
+    for name, kind in ddl_columns(BRONZE_DDL):
+        held = present.get(name.lower())
+        if held is not None and kinds[held] == "string" and kind.lower() != "string":
+            out[name] = raw[held].isNotNull() & raw[held].try_cast(kind).isNull()
+    return out

@@ -16,6 +16,8 @@ from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, WriteO
 from meterline.sources import sinks
 from meterline.sources.layers import (
     land_bronze,
+    land_files,
+    landed,
     layer_exists,
     read_layer,
     read_parquet,
@@ -132,6 +134,21 @@ def s05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_counts(read_layer(spark, root))
 
 
+@entry(
+    "s05_month_emptied",
+    o.over_silver(
+        f"SELECT year, month, count(*) AS trip_count FROM silver WHERE NOT (year = {YEAR} AND month = {MONTH}) GROUP BY ALL"
+    ),
+)
+def s05_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month rebuilt under limits that no trip meets is left without rows, and no other month is touched."""
+    lake = empty_lake(spark)
+    land_bronze(spark, trips_view(spark, sf_dir), lake.layer("bronze"))
+    build_silver(spark, lake)
+    build_silver(spark, lake, YEAR, [MONTH], CleaningLimits(max_trip_distance=-1.0))
+    return month_counts(read_layer(spark, lake.layer("silver")))
+
+
 def registered(spark: SparkSession, sf_dir: str) -> list[str]:
     lake = stored_lake(spark, sf_dir)
     return create_tables(spark, {layer: lake.layer(layer) for layer in ("bronze", "silver", "gold")})
@@ -140,18 +157,18 @@ def registered(spark: SparkSession, sf_dir: str) -> list[str]:
 @entry(
     "s06_layer_tables",
     o.over_silver(
-        f"SELECT 'bronze' AS layer, count(*) AS trip_count FROM bronze WHERE year = {YEAR}"
-        f" UNION ALL SELECT 'silver', count(*) FROM silver WHERE year = {YEAR}"
-        f" UNION ALL SELECT 'gold', count(*) FROM silver WHERE year = {YEAR}"
+        "SELECT 'bronze' AS layer, year, count(*) AS trip_count FROM bronze GROUP BY ALL"
+        " UNION ALL SELECT 'silver', year, count(*) FROM silver GROUP BY ALL"
+        " UNION ALL SELECT 'gold', year, count(*) FROM silver GROUP BY ALL"
     ),
 )
 def s06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL over the three layer tables, pruned to one year."""
+    """SQL over the three layer tables."""
     names = registered(spark, sf_dir)
     refresh_partitions(spark, names)
     return spark.sql(
         " UNION ALL ".join(
-            f"SELECT '{layer}' AS layer, count(*) AS trip_count FROM trips.{layer}_trips WHERE year = {YEAR}"
+            f"SELECT '{layer}' AS layer, year, count(*) AS trip_count FROM trips.{layer}_trips GROUP BY year"
             for layer in ("bronze", "silver", "gold")
         )
     )
@@ -229,21 +246,33 @@ def s11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry(
     "s13_land_bronze",
     o.over_bronze(
-        "SELECT year, month, count(*) AS trip_count, year >= 1998 AS landed_now FROM bronze"
-        " WHERE year >= 1998 OR trip_distance < 10 GROUP BY ALL"
+        "SELECT year, month, count(*) AS trip_count, count(*) AS landed FROM bronze GROUP BY ALL"
     ),
 )
 def s13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing twice: months that are there stay as they are, even where the source has more."""
+    """Two sources that share months, the first of them offered twice; beside each count what was noted."""
     root, raw = empty_lake(spark).layer("bronze"), trips_view(spark, sf_dir)
-    first = raw.where((F.year("tpep_pickup_datetime") < YEAR) & (F.col("trip_distance") < 10))
-    land_bronze(spark, first, root)
-    landed = land_bronze(spark, raw, root).withColumn("landed_now", F.lit(True))
-    return (
-        month_counts(read_layer(spark, root))
-        .join(F.broadcast(landed), ["year", "month"], "left")
-        .fillna({"landed_now": False})
-    )
+    early = (F.year("tpep_pickup_datetime") < YEAR) & (F.col("trip_distance") < 10)
+    for name, part in (("first", raw.where(early)), ("first", raw.where(early)), ("second", raw.where(~early))):
+        land_bronze(spark, part, root, source=name)
+    notes = landed(spark, root).groupBy("year", "month").agg(F.sum("rows").alias("landed"))
+    return month_counts(read_layer(spark, root)).join(notes, ["year", "month"])
+
+
+@entry(
+    "s13_land_stray_months",
+    o.over_bronze("SELECT year, month, count(*) AS trip_count, round(sum(fare_amount), 6) AS fares FROM bronze GROUP BY ALL"),
+)
+def s13_stray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by ship month, whose pickups may lie in another month, landed one after the other, and again."""
+    root, raw = empty_lake(spark).layer("bronze"), scratch_path(spark, "raw")
+    trips = trips_view(spark, sf_dir)
+    nominal = F.month(F.date_add("tpep_pickup_datetime", 3)) % 3
+    for part in range(3):
+        sinks.write_as(trips.where(nominal == part), raw, mode="append")
+        land_files(spark, raw, root)
+    land_files(spark, raw, root)
+    return month_counts(read_layer(spark, root), F.round(F.sum("fare_amount"), 6).alias("fares"))
 
 
 @entry(
@@ -365,12 +394,12 @@ def c11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.clean(trips_view(spark, sf_dir), TIGHT)
 
 
-@entry("c12_silver_stage", o.over_silver(f"SELECT {o.SILVER_LIST}, year, month FROM silver WHERE year = {YEAR}"))
+@entry("c12_silver_stage", o.over_silver(f"SELECT {o.SILVER_LIST}, year, month FROM silver"))
 def c12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored bronze to stored silver, for one year."""
+    """Stored bronze to stored silver."""
     lake = empty_lake(spark)
     land_bronze(spark, trips_view(spark, sf_dir), lake.layer("bronze"))
-    build_silver(spark, lake, YEAR)
+    build_silver(spark, lake)
     return read_layer(spark, lake.layer("silver"))
 
 
@@ -503,12 +532,12 @@ def f28(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steady(full_gold(spark, sf_dir).select(*GOLD_COLUMNS))
 
 
-@entry("f29_gold_stage", o.over_gold(f"SELECT {o.GOLD_LIST}, year, month FROM gold_wide WHERE year = {YEAR}"))
+@entry("f29_gold_stage", o.over_gold(f"SELECT {o.GOLD_LIST}, year, month FROM gold_wide"))
 def f29(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored silver to stored gold, for one year."""
+    """Stored silver to stored gold."""
     lake = empty_lake(spark)
     write_layer(silver(spark, sf_dir), lake.layer("silver"), rebalance=True)
-    build_gold(spark, lake, YEAR)
+    build_gold(spark, lake)
     return steady(read_layer(spark, lake.layer("gold")))
 
 

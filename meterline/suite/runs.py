@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,27 @@ from meterline.operators import entity as e
 from meterline.operators import features as f
 from meterline.operators import partitions as p
 from meterline.operators.clean import clean
+from meterline.operators.marts import DAY_KEYS, HOUR_KEYS, MART_TABLES
 from meterline.plans.stages import Run, parse_months, run_months, run_silver_months, run_stages
 from meterline.settings import JoinBounds, QualityLimits
-from meterline.sources.layers import land_bronze, read_layer, write_layer
+from meterline.sources.layers import land_bronze, months_present, read_layer, write_layer
 from meterline.sources.scratch import cut_lineage, scratch_path
 from meterline.sources.sinks import write_as
 from meterline.sources.trips import trips_view, with_months
 from meterline.suite import oracle as o
-from meterline.suite.frames import YEAR, Entry, bronze, empty_lake, gold, silver, stored_lake
+from meterline.suite.business import DAILY_SQL, HOURLY_SQL, PICKUP_SQL, RECENT_SQL
+from meterline.suite.frames import (
+    MONTH,
+    YEAR,
+    Entry,
+    bronze,
+    empty_lake,
+    gold,
+    rounded,
+    silver,
+    single,
+    stored_lake,
+)
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -72,32 +86,55 @@ def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(*paths).groupBy("PULocationID").agg(F.sum("n").alias("trip_count"))
 
 
-LOG_SQL = (
-    "SELECT 'year=' || year || '/month=' || month AS partition_value, true AS success"
-    " FROM bronze GROUP BY year, month"
-)
+KEPT = "trip_distance >= 10 AND NOT (month = 2)"
 
 
-@entry("p03_process_partitioned", o.over_bronze(LOG_SQL))
+@entry(
+    "p03_process_partitioned",
+    o.over_bronze(
+        "SELECT 'year=' || year || '/month=' || month AS partition_value, true AS success,"
+        f" count(*) FILTER (WHERE {KEPT}) = 0 AS empty, count(*) FILTER (WHERE {KEPT}) AS trip_count"
+        " FROM bronze GROUP BY year, month"
+    ),
+)
 def p03_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for a row-wise transform, in one job; the run log."""
+    """A row-wise transform that empties some months, in one job; its log beside what was written."""
+    base = scratch_path(spark, "months")
     log = p.process_partitioned(
-        bronze(spark, sf_dir), ["year", "month"], clean, scratch_path(spark, "months"), rebalance=True
+        bronze(spark, sf_dir), ["year", "month"], lambda df: df.where(KEPT), base, rebalance=True
     )
-    return log.select("partition_value", "success")
+    value = F.format_string("year=%d/month=%d", "year", "month")
+    written = spark.read.parquet(base).groupBy(value.alias("partition_value")).agg(F.count("*").alias("trip_count"))
+    log = log.join(written, "partition_value", "left").fillna(0, ["trip_count"])
+    return log.select("partition_value", "success", "empty", "trip_count")
 
 
 @entry(
     "p04_process_by_month",
-    o.over_silver(f"SELECT month, count(*) AS trip_count FROM silver WHERE year = {YEAR} GROUP BY month"),
+    o.over_silver("SELECT year, month, count(*) AS trip_count FROM silver GROUP BY year, month"),
 )
 def p04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder YYYY/MM per month of a year."""
+    """A folder YYYY/MM per month of each year."""
     base = scratch_path(spark, "monthly")
     stored = read_layer(spark, stored_lake(spark, sf_dir).layer("bronze"))
-    log = p.process_by_month(stored, clean, base, row_wise=False, year=YEAR)
+    log = p.process_by_month(stored, clean, base, row_wise=False)
     paths = [row.output_path for row in log.where("success").collect()]
-    return spark.read.parquet(*paths).groupBy("month").agg(F.count("*").alias("trip_count"))
+    return month_counts(spark.read.parquet(*paths))
+
+
+@entry(
+    "p04_process_by_month_row_wise",
+    o.over_silver("SELECT year, month, count(*) AS trip_count FROM silver GROUP BY year, month"),
+)
+def p04_row_wise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "monthly")
+    log = p.process_by_month(read_layer(spark, stored_lake(spark, sf_dir).layer("bronze")), clean, base)
+    assert log.where("NOT success").isEmpty()
+    return month_counts(spark.read.parquet(base))
+
+
+def month_counts(df: DataFrame) -> DataFrame:
+    return df.groupBy("year", "month").agg(F.count("*").alias("trip_count"))
 
 
 @entry("p05_batches", o.over_silver("SELECT year, count(*) AS trip_count FROM silver GROUP BY year"))
@@ -146,17 +183,18 @@ def p07(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry(
     "p08_months_run",
     o.over_bronze(
-        f"SELECT CAST({YEAR} AS INT) AS year, CAST(n AS INT) AS month,"
-        f" CASE WHEN n IN (SELECT month FROM bronze WHERE year = {YEAR} AND month <= 6) THEN 'built'"
-        " ELSE 'skipped' END AS status FROM range(1, 13) t(n)"
+        "SELECT CAST(y AS INT) AS year, CAST(n AS INT) AS month,"
+        " CASE WHEN (y, n) IN (SELECT (year, month) FROM bronze) THEN 'built' ELSE 'skipped' END AS status"
+        " FROM (SELECT DISTINCT year AS y FROM bronze), range(1, 13) t(n)"
     ),
 )
 def p08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All months of a year asked for, of which the second half is not in bronze."""
+    """All months of all years asked for; the first and last year do not have them all."""
     lake = empty_lake(spark)
-    half = trips_view(spark, sf_dir).where(F.month("tpep_pickup_datetime") <= 6)
-    land_bronze(spark, half, lake.layer("bronze"))
-    return run_silver_months(spark, lake, YEAR, parse_months("all")).drop("error")
+    land_bronze(spark, trips_view(spark, sf_dir), lake.layer("bronze"))
+    years = sorted({row.year for row in months_present(spark, lake.layer("bronze")).collect()})
+    logs = [run_silver_months(spark, lake, year, parse_months("all")) for year in years]
+    return reduce(DataFrame.union, logs).drop("error")
 
 
 @entry(
@@ -183,12 +221,9 @@ def p08_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry("p09_repartition", o.over_silver("SELECT year, count(*) AS trip_count FROM silver GROUP BY year"))
 def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up by shuffle, then down by merging; the rows stay the same."""
+    """To a number of partitions, then to the advised size by year; the rows stay the same."""
     stored = read_layer(spark, stored_lake(spark, sf_dir).layer("silver"))
-    wide = p.repartition_if_needed(stored, 64, force=True)
-    narrow = p.repartition_if_needed(wide, 4)
-    assert narrow.rdd.getNumPartitions() == 4
-    return narrow.groupBy("year").agg(F.count("*").alias("trip_count"))
+    return p.rebalanced(p.rebalanced(stored, 64), None, "year").groupBy("year").agg(F.count("*").alias("trip_count"))
 
 
 @entry("p10_checkpoint", o.over_silver(f"SELECT {o.SILVER_LIST} FROM silver"))
@@ -196,21 +231,58 @@ def p10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(clean(trips_view(spark, sf_dir)))[0]
 
 
-@entry(
-    "p12_stage_run",
-    o.over_bronze(
-        "SELECT CAST(1 AS INT) AS step, 'ingest' AS stage, count(*) > 0 AS success FROM bronze"
-        " UNION ALL SELECT 2, 'check_bronze', count(*) > 0 FROM bronze"
-        " UNION ALL SELECT 3, 'transform', count(*) > 0 FROM bronze"
-        " UNION ALL SELECT 4, 'check_gold', count(*) > 0 FROM bronze"
-        " UNION ALL SELECT 5, 'export', count(*) > 0 FROM bronze"
-    ),
+MARTS_AFTER_RUN = o.over_features(
+    f"""
+SELECT 'daily' AS mart, concat_ws('-', pickup_year, pickup_month, pickup_day_of_month) AS key, trip_count AS trips,
+  avg_duration_min AS a, avg_distance AS b, avg_fare AS c, total_revenue AS d FROM ({DAILY_SQL})
+UNION ALL SELECT 'hourly', concat_ws('-', pickup_hour, is_weekend, is_rush_hour), trip_count,
+  avg_duration_min, avg_fare_per_mile, NULL, NULL FROM ({HOURLY_SQL})
+UNION ALL SELECT 'pickup', PULocationID, pickup_count, avg_distance_from_zone, avg_fare_from_zone, NULL, NULL
+  FROM ({PICKUP_SQL})
+UNION ALL SELECT 'recent', strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), passenger_count, trip_duration_min,
+  trip_distance, fare_amount, NULL FROM ({RECENT_SQL})""",
+    f"{o.DAILY}, {o.HOURLY}, {o.PICKUP}",
 )
+
+
+def mart_contents(spark: SparkSession, target: str) -> DataFrame:
+    """All four marts below each other."""
+
+    def read(name: str) -> DataFrame:
+        frame = spark.read.parquet(f"{target}/{MART_TABLES[name]}")
+        return rounded(single(frame, *[c for c in frame.columns if c.startswith("avg_")]), *{"total_revenue"} & {*frame.columns})
+
+    def rows(name: str, key, *columns: str) -> DataFrame:
+        values = [F.lit(None).cast("double") if c is None else F.col(c) for c in columns[1:]]
+        named = [value.alias(letter) for value, letter in zip(values, "abcd")]
+        return read(name).select(F.lit(name).alias("mart"), key.alias("key"), F.col(columns[0]).alias("trips"), *named)
+
+    def joined(*names: str):
+        return F.concat_ws("-", *[F.col(name).cast("string") for name in names])
+
+    daily = rows("daily", joined(*DAY_KEYS), "trip_count", "avg_duration_min", "avg_distance", "avg_fare", "total_revenue")
+    hourly = rows("hourly", joined(*HOUR_KEYS), "trip_count", "avg_duration_min", "avg_fare_per_mile", None, None)
+    pickup = rows(
+        "pickup", F.col("PULocationID"), "pickup_count", "avg_distance_from_zone", "avg_fare_from_zone", None, None
+    )
+    time = F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss")
+    recent = rows("recent", time, "passenger_count", "trip_duration_min", "trip_distance", "fare_amount", None)
+    return daily.union(hourly).union(pickup).union(recent)
+
+
+@entry("p12_stage_run", MARTS_AFTER_RUN)
 def p12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files landed, checked, transformed, checked and exported."""
+    """Everything landed, checked, transformed, checked and exported; then a run of one month, as a rebuild.
+
+    Returned are the contents of the marts that the second run leaves.
+    """
     raw = write_as(trips_view(spark, sf_dir), scratch_path(spark, "raw"))
-    run = Run(empty_lake(spark), raw=raw, mart_target=scratch_path(spark, "marts"), quality=QualityLimits())
-    return run_stages(spark, run).select("step", "stage", "success")
+    lake, target = empty_lake(spark), scratch_path(spark, "marts")
+    first = run_stages(spark, Run(lake, raw=raw, mart_target=target, quality=QualityLimits(), reports=f"{target}-reports"))
+    assert first.where("NOT success").isEmpty(), first.collect()
+    second = run_stages(spark, Run(lake, YEAR, (MONTH,), raw=raw, mart_target=target))
+    assert second.where("NOT success").isEmpty(), second.collect()
+    return mart_contents(spark, target)
 
 
 # --- entity features -----------------------------------------------------------------------------
@@ -259,20 +331,21 @@ def newest_sql(source: str, condition: str, keys: tuple[str, ...] = PAIR) -> str
 @entry(
     "k01_prepare_entities",
     o.over_features(
-        "SELECT PULocationID, DOLocationID, tpep_pickup_datetime, location_pair, created_at, true AS has_id"
-        " FROM (SELECT *, route_id AS location_pair, TIMESTAMP '2002-01-01 00:00:00' AS created_at FROM gold_base)"
+        "SELECT location_pair, count(*) AS trips, count(DISTINCT l_orderkey * 10 + l_linenumber) AS ids,"
+        " min(created_at) AS created_at, max(tpep_pickup_datetime) AS newest FROM (SELECT *, route_id AS location_pair,"
+        " TIMESTAMP '2002-01-01 00:00:00' AS created_at FROM gold_base) GROUP BY location_pair"
     ),
 )
 def k01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The id itself is a hash without counterpart in SQL."""
-    prepared = e.prepare_entities(gold(spark, sf_dir), CREATED_AT)
-    return prepared.select(
-        "PULocationID",
-        "DOLocationID",
-        "tpep_pickup_datetime",
-        "location_pair",
-        "created_at",
-        F.col("trip_id").isNotNull().alias("has_id"),
+    """Ids are hashes without counterpart in SQL, but there must be as many as there are trips."""
+    trips = with_months(trips_view(spark, sf_dir, keep=("l_orderkey", "l_linenumber")))
+    rows = clean(trips, keep=("l_orderkey", "l_linenumber"))
+    prepared = e.prepare_entities(rows, CREATED_AT, ["l_orderkey", "l_linenumber"])
+    return prepared.groupBy("location_pair").agg(
+        F.count("*").alias("trips"),
+        F.countDistinct("trip_id").alias("ids"),
+        F.min("created_at").alias("created_at"),
+        F.max("tpep_pickup_datetime").alias("newest"),
     )
 
 

@@ -59,26 +59,48 @@ def test_month_selection_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
 
 
-def test_landing_keeps_the_months_that_are_there(spark, tmp_path):
+def test_a_source_is_landed_once_and_no_month_keeps_rows_out(spark, tmp_path):
     root = str(tmp_path / "bronze")
-    first = layers.land_bronze(spark, january_and_february(spark).where("month(tpep_pickup_datetime) = 1").limit(1), root)
-    assert months_of(first) == {(2024, 1): 1}
-    second = layers.land_bronze(spark, january_and_february(spark), root)
-    assert months_of(second) == {(2024, 2): 1}
-    assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 1, (2024, 2): 1}
-    assert layers.land_bronze(spark, january_and_february(spark), root).isEmpty()
-    assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 1, (2024, 2): 1}
+    january = january_and_february(spark).where("month(tpep_pickup_datetime) = 1")
+    first = layers.land_bronze(spark, january.limit(1), root, source="a")
+    assert [(r.source, r.year, r.month, r.rows) for r in first.collect()] == [("a", 2024, 1, 1)]
+    second = layers.land_bronze(spark, january_and_february(spark), root, source="b")
+    assert {(r.month, r.rows) for r in second.collect()} == {(1, 2), (2, 1)}
+    assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 3, (2024, 2): 1}
+    assert layers.land_bronze(spark, january_and_february(spark), root, source="b").isEmpty()
+    assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 3, (2024, 2): 1}
 
 
 def test_landing_under_a_nominal_month_and_without_a_pickup(spark, tmp_path):
     root = str(tmp_path / "bronze")
     stray = trips(spark, {"tpep_pickup_datetime": None}, {})
-    layers.land_bronze(spark, stray, root, month=(2025, 3))
-    assert months_of(layers.read_layer(spark, root)) == {(2025, 3): 2}
-    other = str(tmp_path / "other")
     for _ in range(2):
+        layers.land_bronze(spark, stray, root, month=(2025, 3))
+        assert months_of(layers.read_layer(spark, root)) == {(2025, 3): 2}
+    other = str(tmp_path / "other")
+    for times in (1, 2):
         layers.land_bronze(spark, stray, other)
-        assert months_of(layers.read_layer(spark, other)) == {(2024, 1): 1, (None, None): 1}
+        assert months_of(layers.read_layer(spark, other)) == {(2024, 1): times, (None, None): times}
+
+
+def test_files_that_differ_are_conformed_one_by_one(spark, tmp_path, caplog):
+    raw, root = tmp_path / "raw", str(tmp_path / "bronze")
+    good = trips(spark, {"passenger_count": 3})
+    good.drop("cbd_congestion_fee").coalesce(1).write.parquet(str(raw))
+    text = good.withColumn("passenger_count", F.lit("many")).withColumn("unknown", F.lit(1))
+    text.coalesce(1).write.mode("append").parquet(str(raw))
+    assert layers.land_files(spark, str(raw), root).agg(F.sum("rows")).first()[0] == 2
+    assert sorted(r.passenger_count or 0 for r in layers.read_layer(spark, root).collect()) == [0, 3]
+    assert "passenger_count" in caplog.text
+    assert layers.land_files(spark, str(raw), root).isEmpty()
+
+
+def test_a_replaced_month_without_rows_becomes_empty(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    df = with_months(january_and_february(spark))
+    layers.write_layer(df, root)
+    layers.write_layer(df.where("month = 2"), root, replaces=[(2024, 1), (2024, 2), (2024, 3)])
+    assert months_of(layers.read_layer(spark, root)) == {(2024, 2): 1}
 
 
 def test_missing_and_empty_layers(spark, tmp_path):
@@ -147,14 +169,14 @@ def test_scratch_follows_the_session(spark, tmp_path):
 
 
 def test_lineage_is_kept_where_spark_refuses_a_checkpoint(spark, tmp_path, caplog):
+    scratch.ensure_checkpoint_dir(spark)
     folder = spark.sparkContext.getCheckpointDir()
     bad = spark.range(3).selectExpr("raise_error('no') AS x")
     same, done = scratch.cut_lineage(bad)
     assert same is bad and not done and "lineage kept" in caplog.text
     elsewhere, done = scratch.cut_lineage(spark.range(3), str(tmp_path / "elsewhere"), eager=False)
     assert done and elsewhere.count() == 3
-    if folder is not None:
-        assert spark.sparkContext.getCheckpointDir() == folder
+    assert spark.sparkContext.getCheckpointDir() == folder
 
 
 def test_only_sparks_refusals_are_caught(spark, monkeypatch):
