@@ -6,14 +6,13 @@
 3. ``BANDS`` bands of ``BAND_ROWS`` coordinates put nodes into buckets: two texts of similarity 0.8 miss
    each other in all of them once in 150,000 times, more similar ones hardly ever.
 4. Inside buckets candidates are compared exactly, by their sets of shingles. A bucket of up to
-   ``SMALL`` nodes compares all of them. In a larger one every node is compared with leaders, first one
-   that all its buckets share, then random members of the leading class; what is still apart is
-   compared pair by pair where it is little, and dealt anew by a second band where it is much. Pairs
-   already known to be of one class are not compared again. No step gathers a bucket in one task.
+   ``SMALL`` nodes compares all of them. In a larger one every node is compared with leaders: one that all
+   its buckets share and, where that does not take it in, ``LEADERS - 1`` random members of the leading
+   class and the first of those left. Nodes known to be of one class are not compared again. Comparisons
+   grow with the number of nodes and never with the square of a bucket, and no step gathers a bucket in
+   one task. The price: of a text like some members of a large bucket, but like none of the leaders it
+   meets in any of its buckets, the link is lost.
 5. Links are joined to classes by alternating stars.
-
-The signature also estimates a candidate pair's similarity. Below ``HOPELESS``, which is five standard
-deviations under the limit, its texts are not fetched.
 """
 
 from __future__ import annotations
@@ -37,10 +36,8 @@ SIMILAR = 0.8
 BAND_ROWS = 5
 BANDS = 30
 COORDINATES = BAND_ROWS * BANDS
-HOPELESS = 0.63
 SMALL = 8
-LEADER_ROUNDS = 3
-REST = 64
+LEADERS = 4
 
 
 def _word_digest(listed: list[str]) -> bytes:
@@ -61,7 +58,7 @@ def weighted_shingles(texts: list[list[str]], n: int = SHINGLE):
 
 
 def sketch(df: DataFrame) -> DataFrame:
-    """(doc_id, text) to doc_id, digest of the words, and 16 bits of each coordinate."""
+    """(doc_id, text_key, text) to the first two, digest of the words, and 16 bits of each coordinate."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [words(text) for text in batch["text"].to_pylist()]
@@ -69,38 +66,28 @@ def sketch(df: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
+                batch["text_key"],
                 pa.array([_word_digest(ws) for ws in texts], pa.binary()),
                 pa.array([row.tobytes() for row in drawn], pa.binary()),
             ],
-            ["doc_id", "digest", "sketch"],
+            ["doc_id", "text_key", "digest", "sketch"],
         )
 
-    return over_batches(df.select("doc_id", "text"), run, "doc_id long, digest binary, sketch binary")
+    return over_batches(df, run, "doc_id long, text_key long, digest binary, sketch binary")
 
 
-def shingle_sets(df: DataFrame) -> DataFrame:
-    """(doc_id, text) to doc_id, digest and the sorted set of shingles, 32 bits each."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(node, text) to node and the sorted set of shingles, 32 bits each."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [words(text) for text in batch["text"].to_pylist()]
-        value, _, text = weighted_shingles(texts)
+        listed = [words(text) for text in batch["text"].to_pylist()]
+        value, _, text = weighted_shingles(listed)
         short = (value >> np.uint64(32)).astype("<u4")
-        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        ends = np.searchsorted(text, np.arange(len(listed) + 1))
         sets = [short[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-        return pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array([_word_digest(ws) for ws in texts], pa.binary()), pa.array(sets, pa.binary())],
-            ["doc_id", "digest", "shingles"],
-        )
-
-    return over_batches(df.select("doc_id", "text"), run, "doc_id long, digest binary, shingles binary")
-
+        return pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.binary())], ["node", "shingles"])
 
-@F.pandas_udf(DoubleType())
-def agreement(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Share of coordinates in which two sketches agree."""
-    return pd.Series(
-        [float((np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")).mean()) for a, b in zip(left, right)], dtype=float
-    )
+    return over_batches(texts.select("node", "text"), run, "node long, shingles binary")
 
 
 @F.pandas_udf(DoubleType())
@@ -117,7 +104,10 @@ def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
 def make_nodes(sketches: DataFrame) -> DataFrame:
     """One row per word sequence: node, digest, sketch, least id and number of rows."""
     grouped = sketches.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch")
+        F.min("doc_id").alias("doc_id"),
+        F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("text_key"),
+        F.count(F.lit(1)).alias("copies"),
+        F.any_value("sketch").alias("sketch"),
     )
     return stored(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -146,44 +136,42 @@ def _all_pairs(members: DataFrame) -> DataFrame:
 
 def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
     """Each member outside the leading class of its bucket with a leader of that class: the least
-    node at first, one drawn for the bucket in later turns."""
+    node at first, one drawn for the bucket in later turns. A node whose buckets have the same leading
+    class is compared once a turn."""
     order = F.col("node") if turn == 0 else F.xxhash64("bucket", "node", F.lit(turn))
     leaders = members.groupBy("bucket").agg(
         F.min(F.struct(F.col("label"), order.alias("order"), F.col("node"))).alias("lead"), F.max("label").alias("top")
     )
     leaders = leaders.where("top > lead.label").select(
-        "bucket", F.col("lead.label").alias("lead_label"), F.col("lead.node").alias("a")
-    )
-    return members.join(leaders, "bucket").where("label <> lead_label").select(
-        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
+        "bucket", F.col("lead.label").alias("lead_label"), F.col("lead.node").alias("leader")
     )
+    met = members.join(leaders, "bucket").where("label <> lead_label")
+    met = met.groupBy("node", "lead_label").agg(F.min("leader").alias("leader"))
+    return met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
 
 
-class _Links:
-    """Verified links and the classes they make so far."""
+def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members with the class each is of so far."""
+    joined = members.join(stars.select(F.col("a").alias("node"), F.col("b").alias("least")), "node", "left")
+    return joined.withColumn("label", F.coalesce("least", "node")).drop("least")
 
-    def __init__(self, nodes: DataFrame, sets: DataFrame):
-        self.nodes, self.sets, self.stars = nodes.select("node", "sketch"), sets, None
 
-    def labelled(self, members: DataFrame) -> DataFrame:
-        if self.stars is None:
-            return members.withColumn("label", F.col("node"))
-        stars = self.stars.select(F.col("a").alias("node"), F.col("b").alias("least"))
-        joined = members.join(stars, "node", "left")
-        return joined.withColumn("label", F.coalesce("least", "node")).drop("least")
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs whose sets of shingles are alike."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    compared = pairs.distinct().join(left, "a").join(right, "b")
+    return stored(compared.where(jaccard("left", "right") >= SIMILAR).select("a", "b"), "links")
 
-    def _both(self, pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        left = table.select(F.col("node").alias("a"), F.col(column).alias("left"))
-        right = table.select(F.col("node").alias("b"), F.col(column).alias("right"))
-        return pairs.join(left, "a").join(right, "b")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Compare pairs exactly and join those that are alike to the classes."""
-        likely = self._both(pairs.distinct(), self.nodes, "sketch").where(agreement("left", "right") >= HOPELESS)
-        likely = stored(likely.select("a", "b"), "likely-pairs")
-        compared = self._both(likely, self.sets, "shingles").where(jaccard("left", "right") >= SIMILAR)
-        edges = compared.select("a", "b")
-        self.stars = components(edges if self.stars is None else edges.unionByName(self.stars))
+def _sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Shingle sets of the nodes in shared buckets; a node's rows have equal sets, any of them will do."""
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", F.col("doc_id").alias("node_id"), F.col("text_key").alias("node_key")
+    )
+    same = docs["doc_id"].eqNullSafe(wanted["node_id"]) & (docs["text_key"] == wanted["node_key"])
+    # the same join at every size: what is wanted grows with the corpus
+    return stored(shingle_sets(docs.join(wanted.hint("merge"), same)), "shingle-sets")
 
 
 def link_buckets(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
@@ -192,47 +180,40 @@ def link_buckets(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
     members = stored(_shared(buckets), "members")
     if members.isEmpty():
         return None
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "doc_id")
-    texts = docs.join(wanted.select("doc_id").distinct(), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    found = shingle_sets(texts).join(wanted.select("node", "digest"), "digest")
-    sets = stored(found.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "shingle-sets")
-    links = _Links(nodes, sets)
-    small = links.labelled(members.where(F.col("size") <= SMALL))
-    large = members.where(F.col("size") > SMALL).select("bucket", "node")
-    links.verify(_all_pairs(small).unionByName(_leader_pairs(links.labelled(large), 0)))
-    while not large.isEmpty():
-        for turn in range(1, LEADER_ROUNDS):
-            links.verify(_leader_pairs(links.labelled(large), turn))
-        # those that the leading class of their bucket has not taken in
-        labelled = links.labelled(large)
-        leading = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last"))
-        apart = labelled.join(leading.where("last > first"), "bucket").where("label > first").select("bucket", "node")
-        rest = stored(_shared(apart), "members-apart")
-        links.verify(_all_pairs(links.labelled(rest.where(F.col("size") <= REST))))
-        crowded = rest.where(F.col("size") > REST).select("bucket", "node")
-        if crowded.isEmpty():
-            break
-        again = buckets.withColumnRenamed("bucket", "second").join(crowded, "node").where("second <> bucket")
-        again = again.select(F.xxhash64("bucket", "second").alias("bucket"), "node")
-        large = stored(_shared(again).select("bucket", "node"), "members")
-        links.verify(_leader_pairs(links.labelled(large), 0))
-    return links.stars
+    sets = _sets_of(members, nodes, docs)
+    alone = members.withColumn("label", F.col("node"))
+    large = alone.where(F.col("size") > SMALL)
+    pairs = _all_pairs(alone.where(F.col("size") <= SMALL)).unionByName(_leader_pairs(large, 0))
+    stars = components(_verified(pairs, sets))
+    # those that the leading class of a larger bucket has not taken in get a second round
+    large = stored(_labelled(large.select("bucket", "node"), stars), "members")
+    leading = large.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last"))
+    leading = leading.where("last > first")
+    if leading.isEmpty():
+        return stars
+    apart = large.join(leading, "bucket").where("label > first").select("bucket", "node", "label")
+    rest = stored(_shared(apart), "members-apart")
+    pairs = _all_pairs(rest.where(F.col("size") <= SMALL)).unionByName(_leader_pairs(rest, 0))
+    for turn in range(1, LEADERS):
+        pairs = pairs.unionByName(_leader_pairs(large, turn))
+    links = _verified(pairs, sets)
+    return stars if links.isEmpty() else components(links.unionByName(stars))
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
-    """(doc_id, text) to doc_id, class_id, class_size, kept: one row per row of ``df``.
+    """(doc_id, text) to doc_id, text_key (a hash of the text), class_id, class_size, kept: one row per row.
 
     ``class_id`` is the least id of the class and its row is the one kept. Texts with the same words in the
     same order are of one class, so null, empty and wordless texts are one. A text of fewer than five
     words is a single shingle. A null id gets a negative number made from the words, for its class only;
-    repeated rows are copies, of which those with the class's id are all marked kept. An empty table gives
-    no rows; other columns are not read.
+    rows that repeat id and text of the one kept are all marked. An empty table gives no rows; other
+    columns are not read.
     """
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     sketches = stored(sketch(docs), "sketches")
     nodes = make_nodes(sketches)
     made_up = -(F.pmod(F.xxhash64("digest"), F.lit(2**61)) + 1)
-    named = nodes.select("node", "digest", "copies", F.coalesce("doc_id", made_up).alias("least_id"))
+    named = nodes.select("node", "digest", "copies", "text_key", F.coalesce("doc_id", made_up).alias("least_id"))
     stars = link_buckets(nodes, docs)
     if stars is not None:
         named = named.join(stars.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
@@ -240,20 +221,33 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     else:
         named = named.withColumn("class", F.col("node"))
     classes = named.groupBy("class").agg(
-        F.min(F.struct("least_id", "digest")).alias("first"), F.sum("copies").alias("class_size")
+        F.min(F.struct("least_id", "text_key")).alias("first"), F.sum("copies").alias("class_size")
     )
     of_digest = named.select("digest", "class").join(classes, "class")
-    return sketches.select("doc_id", "digest").join(of_digest, "digest").select(
+    is_first = F.coalesce("doc_id", made_up) == F.col("first.least_id")
+    return sketches.drop("sketch").join(of_digest, "digest").select(
         "doc_id",
+        "text_key",
         F.col("first.least_id").alias("class_id"),
         "class_size",
-        (
-            F.coalesce("doc_id", made_up).eqNullSafe(F.col("first.least_id")) & (F.col("digest") == F.col("first.digest"))
-        ).alias("kept"),
-        "digest",
+        (is_first & (F.col("text_key") == F.col("first.text_key"))).alias("kept"),
     )
 
 
+def without_near_duplicates(df: DataFrame) -> DataFrame:
+    """One row of ``df`` for each class, columns unchanged."""
+    kept = near_duplicates(df).where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    kept = stored(kept.withColumnsRenamed({"doc_id": "kept_id", "text_key": "kept_key"}), "kept")
+    rows = df.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    repeated = kept.where("times > 1")
+    if repeated.isEmpty():
+        return rows.join(kept, same, "left_semi").select("row.*")
+    single = rows.join(kept.where("times = 1"), same, "left_semi")
+    first = rows.join(repeated, same, "left_semi").dropDuplicates(["id", "key"])
+    return single.unionByName(first).select("row.*")
+
+
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
     bound_batches(spark)
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("digest")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")
