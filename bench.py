@@ -25,6 +25,7 @@ from meterline.settings import FeatureGroups, tune  # noqa: E402
 from meterline.sources.layers import land_bronze, read_layer  # noqa: E402
 from meterline.sources.scratch import scratch_path  # noqa: E402
 from meterline.sources.trips import trips_view  # noqa: E402
+from meterline.suite.runs import ENTRIES  # noqa: E402
 
 YEAR, MONTH = 1998, 1
 
@@ -99,6 +100,9 @@ def main() -> None:
         "q11_duration_by_day_name": lambda: reports.duration_by_day_name(gold(), YEAR),
         "q12_daily_view": lambda: reports.daily_view(timed_silver()),
     }
+    # newest row per entity, its increment, and lookups by broadcast and by shuffle
+    for name in ("k03_materialise", "k04_materialise_increment", "k05_lookup", "k05_lookup_shuffled"):
+        queries[name] = lambda name=name: ENTRIES[name].run(spark, sf_dir)
     for name, query in queries.items():
         run(query())
         timed(name, lambda query=query: run(query()))

@@ -163,7 +163,7 @@ def test_a_wanted_hot_key_and_null_keys_are_spread(spark):
     latest = spark.range(1000).selectExpr(
         "id AS k", "timestamp_ntz '2025-01-01' AS tpep_pickup_datetime", "cast(id * 2 as int) AS v"
     )
-    wanted = spark.range(90_000).selectExpr("CASE id % 9 WHEN 6 THEN id % 900 + 100 WHEN 7 THEN NULL WHEN 8 THEN NULL ELSE 5 END AS k", "id")
+    wanted = spark.range(0, 90_000, 1, 32).selectExpr("CASE id % 9 WHEN 6 THEN id % 900 + 100 WHEN 7 THEN NULL WHEN 8 THEN NULL ELSE 5 END AS k", "id")
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
