@@ -10,8 +10,8 @@ chosen by content, one position per string is enough, about one in 137 bytes.
    position start next to each other; together they span its *context*.
 2. A suffix bucket is a rank. In most buckets there is one context, once: nothing repeats. A context
    found twice or more is repeated as a whole, and settles all of its strings (the long ties) by rank.
-3. Only buckets with different contexts are looked into. There the strings are compared one by one,
-   each distinct context once, whatever number of copies it has.
+3. Only buckets with different contexts are looked into, each distinct context once, whatever number of
+   copies it has. Strings are compared ``SLOT`` at a time, and one by one where that does not tell.
 4. Covered bytes are cut out of each text.
 
 Each bucket is merged by Spark's aggregation, partly before the shuffle, so a passage in a third of all
@@ -21,6 +21,8 @@ is itself one of 2 ** 64. Texts are moved compressed. Long texts are taken in ov
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -32,6 +34,7 @@ from meterline.sources.scratch import stored
 
 LENGTH = 400
 GRAM = 128
+SLOT = 16
 PIECE = 1 << 22
 TOGETHER = 1 << 19
 BASE = 0xD6E8FEB86659FD93
@@ -88,9 +91,10 @@ def lowest(values: np.ndarray, width: int) -> np.ndarray:
 def sample(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     """Contexts of texts that follow each other in ``data``; ``begins`` has their starts and the end.
 
-    Returns for each context the first string's start, the number of strings, rank, and hash.
+    Returns for each context the first string's start, the number of strings, how far the sample position
+    lies behind that start, rank, and hash.
     """
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
     if len(data) < LENGTH:
         return none
     hashes = Hashed(data)
@@ -113,7 +117,7 @@ def sample(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     strings = np.flatnonzero(last) - start + 1
     shape = (strings * LENGTH + at[start] - start).astype(np.uint64)
     context = mixed(hashes.stretch(start, strings + LENGTH - 1) ^ mixed(shape))
-    return start, strings, gram[at[start]], context
+    return start, strings, at[start] - start, gram[at[start]], context
 
 
 def pieces(texts: list[bytes]):
@@ -137,19 +141,19 @@ def _laid_out(group) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text) to the contexts of each text: start, strings, rank, context."""
+    """(doc_id, text_key, text) to the contexts of each text: start, strings, behind, rank, context."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [text or b"" for text in batch["text"].cast(pa.binary()).to_pylist()]
-        found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2]
+        found = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2]
         for group in pieces(texts):
             data, begins = _laid_out(group)
-            start, strings, rank, context = sample(data, begins)
+            start, strings, behind, rank, context = sample(data, begins)
             piece = np.searchsorted(begins, start, side="right") - 1
             number = np.array([n for n, _, _ in group], dtype=np.int64)[piece]
             offset = np.array([o for _, o, _ in group], dtype=np.int64)[piece] - begins[piece]
-            found.append([number, start + offset, strings, rank, context])
-        number, start, strings, rank, context = (np.concatenate(column) for column in zip(*found))
+            found.append([number, start + offset, strings, behind, rank, context])
+        number, start, strings, behind, rank, context = (np.concatenate(column) for column in zip(*found))
         rows = pa.array(number)
         return pa.RecordBatch.from_arrays(
             [
@@ -157,20 +161,22 @@ def contexts(docs: DataFrame) -> DataFrame:
                 batch["text_key"].take(rows),
                 pa.array(start.astype(np.int32)),
                 pa.array(strings.astype(np.int32)),
+                pa.array(behind.astype(np.int32)),
                 pa.array(rank.astype(np.int64)),
                 pa.array(context.astype(np.int64)),
             ],
-            ["doc_id", "text_key", "start", "strings", "rank", "context"],
+            ["doc_id", "text_key", "start", "strings", "behind", "rank", "context"],
         )
 
-    return over_batches(docs, run, "doc_id long, text_key long, start int, strings int, rank long, context long")
+    schema = "doc_id long, text_key long, start int, strings int, behind int, rank long, context long"
+    return over_batches(docs, run, schema)
 
 
 def packed(docs: DataFrame) -> DataFrame:
     """The text compressed, for joins that move it."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=6).compress
         data = [pack(text or b"") for text in batch["text"].cast(pa.binary()).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["text_key"], pa.array(data, pa.binary())], ["doc_id", "text_key", "packed"]
@@ -194,58 +200,184 @@ def _by_text(rows: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _strings(texts: DataFrame) -> DataFrame:
-    """Every string of the listed contexts: rank, its hash, and how often its context was found."""
+def _cut_out(texts: DataFrame) -> DataFrame:
+    """The bytes of the listed contexts, one row each."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        listed = [batch[name].to_pylist() for name in ("start", "strings", "behind", "rank", "times")]
+        rows, out = [], []
+        for row, (data, *lists) in enumerate(zip(batch["packed"].to_pylist(), *listed)):
+            text = _unpack(data)
+            for start, strings, *rest in zip(*lists):
+                rows.append(row)
+                out.append((start, strings, *rest, text[start : start + strings + LENGTH - 1]))
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+        columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
+        of_text = [batch[name].take(pa.array(rows, pa.int64())) for name in ("doc_id", "text_key")]
+        names = ["doc_id", "text_key", "start", "strings", "behind", "rank", "times", "bytes"]
+        return pa.RecordBatch.from_arrays([*of_text, *columns], names)
+
+    schema = "doc_id long, text_key long, start int, strings int, behind int, rank long, times int, bytes binary"
+    return over_batches(texts, run, schema)
+
+
+def _slots(cut_out: DataFrame) -> DataFrame:
+    """``SLOT`` neighbouring strings of a context at a time, counted from the sample position.
+
+    What all of them share is their core, what they span together their hull, if the context has them all. If
+    the hull is repeated, so are all of them; if not even the core is, none is.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]]
-        columns = [batch[name].to_pylist() for name in ("packed", "start", "strings", "rank", "times")]
-        for row, (data, starts, counts, ranks, times) in enumerate(zip(*columns)):
-            text = np.frombuffer(_unpack(data), dtype=np.uint8)
-            for start, count, rank, often in zip(starts, counts, ranks, times):
-                hashes = Hashed(text[start : start + count + LENGTH - 1])
-                fill = [np.full(count, value, np.int64) for value in (row, rank, often)]
-                own = np.arange(count)
-                found.append([fill[0], own + start, fill[1], fill[2], hashes.stretch(own, LENGTH)])
-        row, start, rank, times, string = (np.concatenate(column) for column in zip(*found))
+        found = [[np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, bool)]]
+        columns = [batch[name].to_pylist() for name in ("bytes", "strings", "behind")]
+        for row, (data, strings, behind) in enumerate(zip(*columns)):
+            hashes = Hashed(np.frombuffer(data, dtype=np.uint8))
+            slot = np.arange((behind - strings + 1) // SLOT, behind // SLOT + 1)
+            core = hashes.stretch(behind - SLOT * slot, LENGTH - SLOT + 1)
+            full = (SLOT * slot > behind - strings) & (SLOT * slot + SLOT - 1 <= behind)
+            first = np.where(full, behind - SLOT * slot - SLOT + 1, 0)
+            hull = hashes.stretch(first, np.where(full, LENGTH + SLOT - 1, 0))
+            shape = mixed((slot + 1).astype(np.uint64))
+            found.append([np.full(len(slot), row), slot, mixed(core ^ shape), mixed(hull ^ shape), full])
+        row, slot, core, hull, full = (np.concatenate(column) for column in zip(*found))
         rows = pa.array(row)
         return pa.RecordBatch.from_arrays(
             [
-                batch["doc_id"].take(rows),
-                batch["text_key"].take(rows),
-                pa.array(start.astype(np.int32)),
-                pa.array(rank),
-                pa.array(string.astype(np.int64)),
+                *[batch[name].take(rows) for name in ("number", "rank", "times")],
+                pa.array(slot.astype(np.int32)),
+                pa.array(core.astype(np.int64)),
+                pa.array(hull.astype(np.int64), mask=~full),
+            ],
+            ["number", "rank", "times", "slot", "core", "hull"],
+        )
+
+    return over_batches(cut_out, run, "number long, rank long, times int, slot int, core long, hull long")
+
+
+def _strings(cut_out: DataFrame) -> DataFrame:
+    """Every string of the listed slots of each context: its place there, hash, and how often it counts."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)]]
+        columns = [batch[name].to_pylist() for name in ("bytes", "strings", "behind", "slot", "counted")]
+        for row, (data, strings, behind, slots, counted) in enumerate(zip(*columns)):
+            hashes = Hashed(np.frombuffer(data, dtype=np.uint8))
+            place = (behind - SLOT * np.array(slots)[:, None] - np.arange(SLOT)).reshape(-1)
+            times = np.repeat(counted, SLOT)
+            there = (place >= 0) & (place < strings)
+            place, times = place[there], times[there]
+            found.append([np.full(len(place), row), place, times, hashes.stretch(place, LENGTH)])
+        row, place, times, string = (np.concatenate(column) for column in zip(*found))
+        rows = pa.array(row)
+        return pa.RecordBatch.from_arrays(
+            [
+                *[batch[name].take(rows) for name in ("number", "rank")],
+                pa.array(place.astype(np.int32)),
                 pa.array(times.astype(np.int32)),
+                pa.array(string.astype(np.int64)),
             ],
-            ["doc_id", "text_key", "start", "rank", "string", "times"],
+            ["number", "rank", "place", "counted", "string"],
         )
 
-    return over_batches(texts, run, "doc_id long, text_key long, start int, rank long, string long, times int")
+    return over_batches(cut_out, run, "number long, rank long, place int, counted int, string long")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end) that together cover the repeated bytes; spans may overlap."""
+def _telling(docs: DataFrame) -> DataFrame:
+    """Contexts of buckets with more than one occurrence: how often each occurs (2 stands for more), and
+    whether its bucket has other contexts."""
     found = stored(contexts(docs), "contexts")
     kinds = found.groupBy("rank", "context").agg(F.count(F.lit(1)).alias("times"))
     buckets = kinds.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("total"))
     telling = kinds.join(buckets.where("total > 1"), "rank").select(
         "rank", "context", F.least("times", F.lit(2)).cast("int").alias("times"), (F.col("kinds") > 1).alias("mixed")
     )
-    flagged = stored(found.join(telling, ["rank", "context"]), "telling-contexts")
-    whole = flagged.where("times > 1").select(
-        "doc_id", "text_key", "start", (F.col("start") + F.col("strings") + LENGTH - 1).alias("end")
-    )
-    open_ones = flagged.where("mixed")
-    once = open_ones.where("times = 1").unionByName(open_ones.where("times > 1").dropDuplicates(["rank", "context"]))
-    lists = _by_text(once, "start", "strings", "rank", "times")
+    return stored(found.join(telling, ["rank", "context"]), "telling-contexts")
+
+
+def _mixed_contexts(docs: DataFrame, telling: DataFrame) -> DataFrame:
+    """Bytes of the contexts that meet others in their bucket, each distinct one once."""
+    several = telling.where("mixed")
+    once = several.where("times = 1").unionByName(several.where("times > 1").dropDuplicates(["rank", "context"]))
+    lists = _by_text(once, "start", "strings", "behind", "rank", "times")
     texts = packed(docs)
-    strings = stored(_strings(texts.join(lists, _same_text(texts, lists)).drop("other_id", "other_key")), "strings")
-    again = strings.groupBy("rank", "string").agg(F.sum("times").alias("all_times")).where("all_times > 1")
-    single = strings.where("times = 1").join(again, ["rank", "string"], "left_semi").select(
-        "doc_id", "text_key", "start", (F.col("start") + LENGTH).alias("end")
+    cut_out = _cut_out(texts.join(lists, _same_text(texts, lists)).drop("other_id", "other_key"))
+    return stored(cut_out.withColumn("number", F.monotonically_increasing_id()), "mixed-contexts")
+
+
+def _judged_slots(cut_out: DataFrame) -> DataFrame:
+    """Slots with a repeated core: whether the hull is repeated too, and which slot speaks for its hull."""
+    slots = stored(_slots(cut_out.select("number", "rank", "times", "bytes", "strings", "behind")), "slots")
+    cores = slots.groupBy("rank", "core").agg(F.sum("times").alias("often")).where("often > 1")
+    hulls = slots.where("hull IS NOT NULL").groupBy("rank", "hull").agg(
+        F.sum("times").alias("hull_often"), F.min("number").alias("speaker")
+    )
+    judged = slots.join(cores, ["rank", "core"]).join(hulls.where("hull_often > 1"), ["rank", "hull"], "left")
+    return stored(
+        judged.select(
+            "number",
+            "slot",
+            "rank",
+            "core",
+            "times",
+            F.col("speaker").isNotNull().alias("whole"),
+            F.coalesce(F.col("speaker") == F.col("number"), F.lit(False)).alias("speaks"),
+        ),
+        "judged-slots",
+    )
+
+
+def _single_strings(cut_out: DataFrame, judged: DataFrame) -> DataFrame:
+    """(number, place) of repeated strings in slots that are not repeated as a whole.
+
+    Such a string may also lie in slots that are; one of these speaks for all with the same hull.
+    """
+    torn = judged.where("NOT whole")
+    speakers = judged.where("speaks").join(torn.select("rank", "core").distinct(), ["rank", "core"], "left_semi")
+    wanted = torn.select("number", "slot", F.col("times").alias("counted")).unionByName(
+        speakers.select("number", "slot", F.lit(2).alias("counted"))
+    )
+    lists = wanted.groupBy("number").agg(F.collect_list("slot").alias("slot"), F.collect_list("counted").alias("counted"))
+    strings = stored(_strings(cut_out.join(lists, "number")), "strings")
+    again = strings.groupBy("rank", "string").agg(F.sum("counted").alias("often")).where("often > 1")
+    single = strings.where("counted = 1").join(again, ["rank", "string"], "left_semi")
+    return stored(single.select("number", "place"), "repeated-strings")
+
+
+def _release(docs: DataFrame) -> None:
+    """Let Spark remove the shuffle files of finished phases.
+
+    It does so once nothing refers to them, which it learns when the driver's memory is next collected.
+    """
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, start, end) that together cover the repeated bytes; spans may overlap.
+
+    Each phase ends in a table; what it shuffled is then no longer needed.
+    """
+    telling = _telling(docs)
+    _release(docs)
+    cut_out = _mixed_contexts(docs, telling)
+    _release(docs)
+    judged = _judged_slots(cut_out)
+    _release(docs)
+    single = _single_strings(cut_out, judged)
+    _release(docs)
+    last = F.col("start") + F.col("strings") + LENGTH - 1
+    spans = telling.where("times > 1").select("doc_id", "text_key", "start", last.alias("end"))
+    places = cut_out.where("times = 1").select("number", "doc_id", "text_key", "start", "behind")
+    first = F.col("start") + F.col("behind") - SLOT * F.col("slot") - (SLOT - 1)
+    of_slots = judged.where("whole").join(places, "number").select(
+        "doc_id", "text_key", first.alias("start"), (first + LENGTH + SLOT - 1).alias("end")
+    )
+    begin = F.col("start") + F.col("place")
+    of_strings = single.join(places, "number").select(
+        "doc_id", "text_key", begin.alias("start"), (begin + LENGTH).alias("end")
     )
-    return whole.unionByName(single)
+    return spans.unionByName(of_slots).unionByName(of_strings)
 
 
 def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
