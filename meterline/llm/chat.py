@@ -93,20 +93,19 @@ def depths(nodes: DataFrame) -> DataFrame:
 
     def met(frame: DataFrame, other: DataFrame) -> DataFrame:
         same = F.col("conv_id").eqNullSafe(F.col("above_conv")) & (F.col("up") == F.col("above_id"))
-        return frame.join(other, same, "left")
+        return frame.join(other.hint("shuffle_hash"), same, "left")
 
     linked = met(nodes.select("conv_id", "id", F.col("parent").alias("up")), above(nodes))
     reach = linked.select("conv_id", "id", F.col("above_id").alias("up"), F.col("above_id").isNotNull().cast("long").alias("depth"))
     reach = stored(reach, "reach")
     longest, covered = reach.count(), 1
     while covered <= longest and not reach.where("up IS NOT NULL").isEmpty():
+        # events that have reached the top are done; the others go on from where they point to
         further = above(reach, F.col("up").alias("above_up"), F.col("depth").alias("above_depth"))
-        reach = stored(
-            met(reach, further).select(
-                "conv_id", "id", F.col("above_up").alias("up"), (F.col("depth") + F.coalesce("above_depth", F.lit(0))).alias("depth")
-            ),
-            "reach",
+        moved = met(reach.where("up IS NOT NULL"), further).select(
+            "conv_id", "id", F.col("above_up").alias("up"), (F.col("depth") + F.coalesce("above_depth", F.lit(0))).alias("depth")
         )
+        reach = stored(reach.where("up IS NULL").unionByName(moved), "reach")
         covered *= 2
     return reach.select("conv_id", "id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
@@ -154,10 +153,10 @@ def format_chat(messages: DataFrame, schemas: Schemas = REPLY) -> DataFrame:
     same = F.col("conv_id").eqNullSafe(F.col("other_conv")) & (F.col("id") == F.col("other_id"))
     out = rows
     for frame in named:
-        out = out.join(frame, same, "left").drop("other_conv", "other_id")
+        out = out.join(frame.hint("shuffle_hash"), same, "left").drop("other_conv", "other_id")
     parents = nodes.select(F.col("conv_id").alias("other_conv"), F.col("id").alias("linked_id"), F.col("kind").alias("linked_kind"))
     on_parent = F.col("conv_id").eqNullSafe(F.col("other_conv")) & (F.col("parent") == F.col("linked_id"))
-    out = out.join(parents, on_parent, "left").drop("other_conv")
+    out = out.join(parents.hint("shuffle_hash"), on_parent, "left").drop("other_conv")
 
     is_call, is_result = F.col("kind") == CALL, F.col("kind") == TOOL_RESULT
     problems = F.concat(
