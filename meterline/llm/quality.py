@@ -34,7 +34,7 @@ RATE = 0.5
 REJECTED = 0.5
 ROUNDS = 200
 FAULTY_AT_FIRST = np.array([0.05, 0.5, 0.95])
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 # --- fixed values: frequent function words of the languages served -----------------------------
 FUNCTION_WORDS = frozenset(

@@ -12,7 +12,7 @@ import xxhash
 from meterline.llm.batches import mixed, worker_memory
 
 WORD = re.compile(r"\w+")
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
