@@ -5,8 +5,8 @@ broadcast; each block is held against all documents in two passes.
 
 1. In how many documents does each four-word gram of the items occur? Counts are gathered per batch
    before they are shuffled.
-2. Seeds of an item are its grams found in at most one document of ``RARE`` and, so that an item of
-   common words has seeds too, the rarer half of its grams.
+2. Seeds of an item are its grams found in at most ``ALWAYS_RARE`` documents or one of ``RARE`` and, so that an
+   item of common words has seeds too, the rarer half of its grams.
 3. Where a document has a seed, the words around it, as far as the item could reach, are a candidate;
    overlapping ones are merged. Candidates are dealt out anew and aligned with their items.
 
@@ -30,6 +30,8 @@ from meterline.sources.scratch import stored
 
 GRAM = 4
 RARE = 10_000
+#: a gram of so few documents is rare in a corpus of any size
+ALWAYS_RARE = 1000
 BLOCK_WORDS = 1_000_000
 LEAKED = 0.6
 LEAST_MATCHED = 8
@@ -100,7 +102,7 @@ class Block:
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order)) - firsts[self.item[order]]
         size = np.bincount(self.item, minlength=len(self.keys))
-        seed = (often * RARE <= documents) | (2 * rank <= size[self.item])
+        seed = (often <= ALWAYS_RARE) | (often * RARE <= documents) | (2 * rank <= size[self.item])
         return Block(self.keys, self.item_words, self.gram[seed], self.item[seed], self.place[seed])
 
 
