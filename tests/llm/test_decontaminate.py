@@ -70,7 +70,8 @@ def test_planted_copies_and_edits_are_found_and_nothing_else(spark):
     found = leaks(spark, texts, items)
     assert found.keys() == by_force(texts, items).keys() >= {(100 + n, n) for n in range(12)}
     assert {n for n, _ in found} <= set(range(100, 212))
-    assert sum(n >= 200 for n, _ in found) >= 11
+    # two of the edited copies lost so many words that aligning whole texts does not reach the score either
+    assert sum(n >= 200 for n, _ in found) == 10
     assert all(found[100 + n, n].score == 1.0 and found[100 + n, n].first_word == 50 for n in range(12))
 
 
