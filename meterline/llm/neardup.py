@@ -1,8 +1,9 @@
 """Near duplicates: five-word shingles, a Jaccard similarity of 0.8 or more, DartMinHash banding.
 
 1. Texts with the same words in the same order are one *node*, so copies are compared once.
-2. A node's shingles are a weighted set (a shingle weighs 1, and a little more where it recurs), of which
-   DartMinHash takes ``COORDINATES`` coordinates in time linear in the text.
+2. A node's shingles are a set in which all weigh the same, as in the comparison, so that the similarity
+   that draws candidates is the one that is checked. DartMinHash takes ``COORDINATES`` coordinates of it
+   in time linear in the text.
 3. ``BANDS`` bands of ``BAND_ROWS`` coordinates put nodes into buckets: two texts of similarity 0.8 miss
    each other in all of them once in 150,000 times, more similar ones hardly ever.
 4. Inside buckets candidates are compared exactly, by their sets of shingles. A bucket of up to
@@ -45,7 +46,10 @@ def _word_digest(listed: list[str]) -> bytes:
 
 
 def weighted_shingles(texts: list[list[str]], n: int = SHINGLE):
-    """Distinct shingles of each text (hash, weight, text number), ordered by text and hash."""
+    """Distinct shingles of each text (hash, weight, text number), ordered by text and hash.
+
+    A shingle weighs 1 however often it recurs: two texts have one similarity, that of their sets.
+    """
     flat, offsets = hashed(texts)
     value, text, _ = grams(flat, offsets, n)
     order = np.lexsort((value, text))
@@ -53,8 +57,7 @@ def weighted_shingles(texts: list[list[str]], n: int = SHINGLE):
     new = np.ones(len(value), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(value)))
-    return value[first], 1 + np.log2(count) / 4, text[first]
+    return value[first], np.ones(len(first)), text[first]
 
 
 def sketch(df: DataFrame) -> DataFrame:

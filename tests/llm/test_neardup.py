@@ -63,6 +63,18 @@ def test_a_large_group_and_chains(spark):
     assert classes(df) == classes_by_force(texts)
 
 
+def test_a_passage_and_its_repetitions(spark):
+    """Repeated shingles count once: each passage is alike to the same passage over and over."""
+    texts = {}
+    for n in range(12):
+        for k, times in enumerate((1, 16, 256)):
+            texts[3 * n + k] = " ".join([prose(2000 + n, 200)] * times)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    expected = classes_by_force(texts)
+    assert set(expected.values()) == {3 * n for n in range(12)}
+    assert classes(df) == expected
+
+
 def test_comparisons_grow_with_the_number_of_nodes(spark):
     """Half of the words are those of all: the group shares buckets, but few of its texts are alike."""
     base = prose(5, 200)
