@@ -9,10 +9,11 @@
 4. Inside buckets candidates are compared exactly, by their sets of shingles. A bucket of up to
    ``SMALL`` nodes compares all of them. In a larger one every node is compared with leaders: one that all
    its buckets share and, where that does not take it in, ``LEADERS - 1`` random members of the leading
-   class and the first of those left. Nodes known to be of one class are not compared again. Comparisons
-   grow with the number of nodes and never with the square of a bucket, and no step gathers a bucket in
-   one task. The price: of a text like some members of a large bucket, but like none of the leaders it
-   meets in any of its buckets, the link is lost.
+   class and the first of those left. Nodes known to be of one class are not compared again.
+   Leaders only save work. What larger buckets still hold of several classes is joined exactly: two sets
+   of similarity ``SIMILAR`` share one of their rarest shingles (prefix filter), are of like size, and
+   have enough shingles left behind the first they share; all pairs that this does not rule out are
+   compared. Shingles that many nodes have among their rarest are dealt out to several tasks.
 5. Links are joined to classes by alternating stars.
 """
 
@@ -39,6 +40,11 @@ BANDS = 30
 COORDINATES = BAND_ROWS * BANDS
 SMALL = 8
 LEADERS = 4
+#: nodes of one shingle that a task pairs with the others
+SPLIT = 500
+#: shingles are counted by their first bits; counts only order them, so those that share a slot do no harm
+SLOT_BITS = 20
+ROUNDING = 1e-6
 
 
 def _word_digest(listed: list[str]) -> bytes:
@@ -177,6 +183,77 @@ def _sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return stored(shingle_sets(docs.join(wanted.hint("merge"), same)), "shingle-sets")
 
 
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return shingles >> np.uint32(32 - SLOT_BITS)
+
+
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each slot occur in ``sets``."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        flat = np.frombuffer(b"".join(batch["shingles"].to_pylist()), "<u4")
+        slot, times = np.unique(_slot(flat), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(times)], ["slot", "times"])
+
+    counted = over_batches(sets.select("shingles"), run, "slot int, times long").groupBy("slot").agg(F.sum("times").alias("times"))
+    table, out = counted.toArrow(), np.zeros(1 << SLOT_BITS, dtype=np.int64)
+    out[table["slot"].to_numpy()] = table["times"].to_numpy()
+    return out
+
+
+def _prefixes(sets: DataFrame, often: np.ndarray) -> DataFrame:
+    """(node, label, shingles) to node, label, size of the set, and each of its rarest shingles with its
+    place from the rarest on: so many that a set of similarity ``SIMILAR`` shares one of them."""
+    held = sets.sparkSession.sparkContext.broadcast(often)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, rarest = [], []
+        for packed in batch["shingles"].to_pylist():
+            shingles = np.frombuffer(packed, "<u4")
+            order = np.lexsort((shingles, held.value[_slot(shingles)]))
+            sizes.append(len(shingles))
+            rarest.append(shingles[order[: int(len(shingles) * (1 - SIMILAR) + ROUNDING) + 1]].view("<i4"))
+        listed = pa.array(rarest, pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [batch["node"], batch["label"], pa.array(sizes, pa.int32()), listed], ["node", "label", "size", "rarest"]
+        )
+
+    found = over_batches(sets.select("node", "label", "shingles"), run, "node long, label long, size int, rarest array<int>")
+    return found.select("node", "label", "size", F.posexplode("rarest").alias("place", "shingle"))
+
+
+def _filtered_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of nodes (node, label) of different classes that may be alike; none that is alike is missing.
+
+    Alike sets of sizes m and n have at least SIMILAR / (1 + SIMILAR) * (m + n) shingles in common, none of
+    which stands before the first they share.
+    """
+    open_sets = sets.join(labelled, "node")
+    prefixes = stored(_prefixes(open_sets, _slot_counts(open_sets)), "prefixes")
+    shared = prefixes.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("times"), F.min("label").alias("first"), F.max("label").alias("last")
+    )
+    shared = shared.where("first < last").select("shingle", F.ceil(F.col("times") / SPLIT).alias("parts"))
+    met = prefixes.join(shared, "shingle")
+    one = met.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
+    left = F.col("size") - F.col("place")
+    # the smaller of two sets has one of fewer shingles in common with the other
+    other = met.where(left * (1 + SIMILAR) + ROUNDING >= 2 * SIMILAR * F.col("size")).select(
+        "shingle",
+        F.col("node").alias("b"),
+        F.col("label").alias("other_label"),
+        F.col("size").alias("other_size"),
+        left.alias("other_left"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+    )
+    pairs = one.withColumn("left", left).join(other, ["shingle", "part"])
+    smaller = (F.col("other_size") < F.col("size")) | (F.col("other_size") == F.col("size")) & (F.col("b") < F.col("node"))
+    enough = F.least("left", "other_left") * (1 + SIMILAR) + ROUNDING >= SIMILAR * (F.col("size") + F.col("other_size"))
+    like = F.col("other_size") + ROUNDING >= SIMILAR * F.col("size")
+    pairs = pairs.where((F.col("label") != F.col("other_label")) & smaller & like & enough)
+    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+
+
 def link_buckets(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Stars (a, b) of the classes of several nodes; None where no bucket has two."""
     buckets = _buckets(nodes)
@@ -200,6 +277,15 @@ def link_buckets(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
     for turn in range(1, LEADERS):
         pairs = pairs.unionByName(_leader_pairs(large, turn))
     links = _verified(pairs, sets)
+    if not links.isEmpty():
+        stars = components(links.unionByName(stars))
+    # and all that larger buckets still hold of several classes is compared, unless it cannot be alike
+    large = _labelled(large.select("bucket", "node"), stars)
+    several = large.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("last > first")
+    apart = stored(large.join(several, "bucket").select("node", "label").distinct(), "nodes-apart")
+    if apart.isEmpty():
+        return stars
+    links = _verified(_filtered_pairs(apart, sets), sets)
     return stars if links.isEmpty() else components(links.unionByName(stars))
 
 

@@ -92,6 +92,36 @@ def test_comparisons_grow_with_the_number_of_nodes(spark):
     assert sum(found[n] == expected[n] for n in texts) > 0.9 * len(texts)
 
 
+def test_many_classes_in_crowded_buckets(spark):
+    """Pairs of similarity 0.81, while texts of different pairs have 0.78 and meet in the same buckets."""
+    base, texts = prose(5, 172)[:-1], {}
+    for n in range(240):
+        texts[n] = f"{base} {prose(7000 + n % 120, 4)[:-1]} {prose(8000 + n, 20)}"
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    expected = classes_by_force(texts)
+    assert len(set(expected.values())) == 120
+    assert classes(df) == expected
+
+
+def test_filtered_pairs_hold_all_that_are_alike(spark, monkeypatch):
+    """Whatever the sizes of sets, and with shingles that are dealt out to several tasks."""
+    monkeypatch.setattr(neardup, "SPLIT", 7)
+    draw, sets = random.Random(4), {}
+    for n in range(150):
+        size = draw.choice([1, 2, 4, 5, 9, 10, 30, 40])
+        sets[n] = set(range(size)) ^ set(draw.sample(range(60), draw.randrange(3)))
+    sets = {n: {x * 70_000_001 % 2**32 for x in found} for n, found in sets.items() if found}
+    rows = [(n, bytearray(np.array(sorted(found), "<u4").tobytes())) for n, found in sets.items()]
+    frame = spark.createDataFrame(rows, "node long, shingles binary")
+    labelled = frame.select("node", (F.col("node") % 50).alias("label"))
+    pairs = {(row.a, row.b) for row in neardup._filtered_pairs(labelled, frame).collect()}
+    alike = {
+        (a, b) for a in sets for b in sets
+        if a < b and a % 50 != b % 50 and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+    }
+    assert alike <= pairs and len(alike) > 100
+
+
 def test_signatures_agree_as_often_as_weighted_sets_do():
     rng = np.random.default_rng(2)
     elements = rng.integers(0, 2**63, 400).astype(np.uint64)
