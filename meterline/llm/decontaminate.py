@@ -1,14 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare words find candidates, Smith-Waterman alignment scores them.
 
 The benchmark is the query set. It is taken in blocks of ``BLOCK_WORDS`` words, which bounds what is
 broadcast; each block is held against all documents in two passes.
 
-1. In how many documents does each four-word gram of the items occur? Counts are gathered per batch
-   before they are shuffled.
-2. Seeds of an item are its grams found in at most ``ALWAYS_RARE`` documents or one of ``RARE`` and, so that an
-   item of common words has seeds too, the rarer half of its grams.
-3. Where a document has a seed, the words around it, as far as the item could reach, are a candidate;
-   overlapping ones are merged. Candidates are dealt out anew and aligned with their items.
+1. In how many documents does each word of the items occur? Counts are gathered per batch before they
+   are shuffled.
+2. A copy that reaches ``LEAKED`` matches at least that share of the item's words, within a span of words
+   that the score bounds too. So of any words of the item, all but a known number are matched: of its rarest
+   ones, the *seeds*, at least ``Block.least`` stand in the span. Counts choose which words are seeds; they
+   drop none, so an item of common words, or one copied into every document, costs more but loses nothing.
+3. Where so many seeds stand near each other, the words around them are a candidate, unless too few of
+   them are words of the item; overlapping ones are merged. Candidates are dealt out anew and aligned with
+   their items. No copy that the alignment accepts is missed, however it was edited.
 
 The score is that of the best local alignment of words over that of a whole, unchanged copy: 1 for a
 copy, less 1.5 words for a changed word. A quarter of changed words, spread evenly, still reaches
@@ -25,18 +28,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.batches import bound_batches, over_batches
-from meterline.llm.shingles import grams, hashed, words
+from meterline.llm.shingles import hashed, words
 from meterline.sources.scratch import stored
 
-GRAM = 4
-RARE = 10_000
-#: a gram of so few documents is rare in a corpus of any size
-ALWAYS_RARE = 1000
 BLOCK_WORDS = 1_000_000
 LEAKED = 0.6
 LEAST_MATCHED = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 BITS = 22
+#: one seed more, of which one more has to stand near the others, for so many words of an item
+SEEDS_MORE = 8
+ROUNDING = 1e-6
+
+
+def least_words(length: int) -> int:
+    """How many words of an item are matched in any copy that reaches ``LEAKED``, if nothing else costs."""
+    return max(1, int(np.ceil(LEAKED * length - ROUNDING)))
+
+
+def longest_span(length: int) -> int:
+    """Over how many words such a copy may extend: every word it has beside matches costs one."""
+    return int(length + MATCH * length * (1 - LEAKED) + ROUNDING)
 
 
 def _best_cell(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -70,40 +82,50 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int, int]:
 
 @dataclass
 class Block:
-    """Items of one block: their words, and their grams with the places these have in items."""
+    """Items of one block: their words, and the seeds (word, item), sorted by word."""
 
     keys: np.ndarray
     item_words: list[np.ndarray]
-    gram: np.ndarray
+    word: np.ndarray
     item: np.ndarray
-    place: np.ndarray
 
     @classmethod
     def of(cls, rows) -> Block:
+        """All words of items are seeds."""
         item_words = [np.frombuffer(row.words, "<u8") for row in rows]
-        offsets = np.concatenate(([0], np.cumsum([len(ws) for ws in item_words]))).astype(np.int64)
-        flat = np.concatenate(item_words) if item_words else np.zeros(0, np.uint64)
-        gram, item, place = grams(flat, offsets, GRAM)
-        order = np.argsort(gram, kind="stable")
-        return cls(np.array([row.item for row in rows], np.int64), item_words, gram[order], item[order], place[order])
+        word = np.concatenate(item_words) if item_words else np.zeros(0, np.uint64)
+        item = np.repeat(np.arange(len(item_words)), [len(ws) for ws in item_words])
+        order = np.argsort(word, kind="stable")
+        return cls(np.array([row.item for row in rows], np.int64), item_words, word[order], item[order])
 
     def parts(self) -> tuple:
         """Plain arrays, as workers without this package can read."""
-        return self.keys, self.item_words, self.gram, self.item, self.place
+        return self.keys, self.item_words, self.word, self.item
 
     def distinct(self) -> np.ndarray:
-        return np.unique(self.gram)
+        return np.unique(self.word)
 
-    def seeded(self, frequency: dict[int, int], documents: int) -> Block:
-        """Only the seeds."""
-        often = np.array([frequency.get(int(g.astype(np.int64)), 0) for g in self.gram], dtype=np.int64)
-        order = np.lexsort((self.gram, often, self.item))
+    @staticmethod
+    def least(length: int) -> int:
+        """How many seeds stand in any copy."""
+        return min(least_words(length), 1 + length // SEEDS_MORE)
+
+    def seeded(self, frequency: dict[int, int]) -> Block:
+        """Only the rarest words of each item, as many as make sure of ``least`` in any copy."""
+        often = np.array([frequency.get(int(w.astype(np.int64)), 0) for w in self.word], dtype=np.int64)
+        order = np.lexsort((self.word, often, self.item))
         firsts = np.searchsorted(self.item[order], np.arange(len(self.keys)))
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order)) - firsts[self.item[order]]
-        size = np.bincount(self.item, minlength=len(self.keys))
-        seed = (often <= ALWAYS_RARE) | (often * RARE <= documents) | (2 * rank <= size[self.item])
-        return Block(self.keys, self.item_words, self.gram[seed], self.item[seed], self.place[seed])
+        lengths = [len(ws) for ws in self.item_words]
+        wanted = np.array([n - least_words(n) + self.least(n) for n in lengths], dtype=np.int64)
+        seed = rank < wanted[self.item]
+        # a word that an item has several times is one seed of it
+        pairs = np.lexsort((self.item[seed], self.word[seed]))
+        word, item = self.word[seed][pairs], self.item[seed][pairs]
+        new = np.ones(len(word), dtype=bool)
+        new[1:] = (word[1:] != word[:-1]) | (item[1:] != item[:-1])
+        return Block(self.keys, self.item_words, word[new], item[new])
 
 
 class Lookup:
@@ -137,60 +159,74 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return stored(numbered, "items")
 
 
-def gram_frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(gram, documents) of the wanted grams over all documents."""
+def word_frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(word, documents) of the wanted words over all documents."""
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        value, text, _ = grams(*hashed([words(text) for text in batch["text"].to_pylist()]), GRAM)
+        value, offsets = hashed([words(text) for text in batch["text"].to_pylist()])
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         at, which = Lookup(held.value).find(value)
         pairs = np.unique(np.stack([text[at], which], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
         found, count = np.unique(pairs[:, 1], return_counts=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(held.value[found].astype(np.int64)), pa.array(count.astype(np.int64))], ["gram", "documents"]
+            [pa.array(held.value[found].astype(np.int64)), pa.array(count.astype(np.int64))], ["word", "documents"]
         )
 
-    counted = over_batches(docs.select("text"), run, "gram long, documents long")
-    return counted.groupBy("gram").agg(F.sum("documents").alias("documents"))
+    counted = over_batches(docs.select("text"), run, "word long, documents long")
+    return counted.groupBy("word").agg(F.sum("documents").alias("documents"))
 
 
-def _windows(places: np.ndarray, length: int, size: int) -> list[tuple[int, int]]:
-    """Where an item of ``length`` words may lie around the places it would begin at; merged."""
-    slack = max(8, length // 4)
+def _windows(begins: np.ndarray, ends: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Spans of words of a text of ``size`` words, merged; both ends ascend."""
     spans: list[list[int]] = []
-    for begin in np.unique(places):
-        a, b = max(0, int(begin) - slack), min(size, int(begin) + length + slack)
+    for a, b in zip(np.maximum(begins, 0).tolist(), np.minimum(ends, size).tolist()):
         if spans and a <= spans[-1][1]:
-            spans[-1][1] = max(b, spans[-1][1])
+            spans[-1][1] = b
         else:
             spans.append([a, b])
     return [(a, b) for a, b in spans]
 
 
+def _holds_enough(window: np.ndarray, item: np.ndarray) -> bool:
+    """Whether some span of the window has as many of the item's words as a copy has."""
+    total = np.concatenate(([0], np.cumsum(np.isin(window, item))))
+    span = min(len(window), longest_span(len(item)))
+    return int((total[span:] - total[: len(total) - span]).max()) >= least_words(len(item))
+
+
 def candidates(docs: DataFrame, block: Block) -> DataFrame:
-    """(doc_id, text_key, item number, first word, words) for each place that shares a seed with an item."""
+    """(doc_id, text_key, item number, first word, words) for each place that may be a copy of an item."""
     held = docs.sparkSession.sparkContext.broadcast(block.parts())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         held_block = Block(*held.value)
         flat, offsets = hashed([words(text) for text in batch["text"].to_pylist()])
-        value, text, start = grams(flat, offsets, GRAM)
-        at, which = Lookup(held_block.gram).find(value)
-        ends = np.searchsorted(held_block.gram, value[at], side="right")
-        times = ends - which
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        at, which = Lookup(held_block.word).find(flat)
+        times = np.searchsorted(held_block.word, flat[at], side="right") - which
         hit = np.repeat(at, times)
-        posting = np.repeat(which - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        owner, item = text[hit], held_block.item[posting]
-        begin = start[hit] - held_block.place[posting]
-        order = np.lexsort((begin, item, owner))
-        owner, item, begin = owner[order], item[order], begin[order]
+        item = held_block.item[np.repeat(which - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+        order = np.lexsort((item, text[hit]))  # stable: words of a text stay in their order
+        item, owner, place = item[order], text[hit][order], hit[order] - offsets[text[hit][order]]
+        lengths = [len(ws) for ws in held_block.item_words]
+        least, span = (np.array([of(n) for n in lengths], np.int64)[item] for of in (Block.least, longest_span))
+        last = np.arange(len(item)) + least - 1  # the seed with which there are enough
+        inside = np.flatnonzero(last < len(item))
+        until = last[inside]
+        inside = inside[
+            (item[until] == item[inside]) & (owner[until] == owner[inside]) & (place[until] - place[inside] < span[inside])
+        ]
+        owner, item, begin, end = owner[inside], item[inside], place[last[inside]] - span[inside] + 1, place[inside] + span[inside]
         cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(item) != 0)) + 1
         out = []
         for places in np.split(np.arange(len(owner)), cuts) if len(owner) else []:
             row, number = int(owner[places[0]]), int(item[places[0]])
             a0, size = int(offsets[row]), int(offsets[row + 1] - offsets[row])
-            for a, b in _windows(begin[places], len(held_block.item_words[number]), size):
-                out.append((row, number, a, flat[a0 + a : a0 + b].astype("<u8").tobytes()))
+            for a, b in _windows(begin[places], end[places], size):
+                window = flat[a0 + a : a0 + b]
+                if _holds_enough(window, held_block.item_words[number]):
+                    out.append((row, number, a, window.astype("<u8").tobytes()))
         rows = pa.array([row for row, *_ in out], pa.int64())
         return pa.RecordBatch.from_arrays(
             [
@@ -248,14 +284,13 @@ def find_leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark_items(benchmark)
     total = items.agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK_WORDS))
-    documents = docs.count() if total else 0
     leaks = None
     for number in range(blocks):
         block = Block.of(items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).collect())
-        if not len(block.gram):
+        if not len(block.word):
             continue
-        often = {row.gram: row.documents for row in gram_frequencies(docs, block.distinct()).collect()}
-        block = block.seeded(often, documents)
+        often = {row.word: row.documents for row in word_frequencies(docs, block.distinct()).collect()}
+        block = block.seeded(often)
         found = aligned(candidates(docs, block).repartition(F.xxhash64("doc_id", "number", "first")), block)
         leaks = found if leaks is None else leaks.unionByName(found)
     if leaks is None:

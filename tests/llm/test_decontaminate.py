@@ -96,6 +96,29 @@ def test_items_of_common_grams_only(spark):
     assert leaks(spark, texts, {1: item}).keys() == {(n, 1) for n in texts}
 
 
+def regularly(text, every, insert):
+    """Every n-th word replaced, or an extra word after every n-th."""
+    out = []
+    for k, word in enumerate(text.split()):
+        at_turn = k % every == every - 1
+        out += [word, f"extra{k}"] if insert and at_turn else [f"other{k}"] if at_turn else [word]
+    return " ".join(out)
+
+
+def test_regular_edits_are_found(spark):
+    """No four words in a row are left, in some no three, and the alignment still accepts most."""
+    items = {n: prose(500 + n, 15 + 5 * n) for n in range(9)}
+    texts = {n: prose(n, 300) for n in range(10)}
+    kinds = [(2, True), (3, True), (4, True), (1, True), (3, False), (4, False), (5, False)]
+    for n, item in items.items():
+        for k, kind in enumerate(kinds):
+            texts[100 * (k + 1) + n] = f"{prose(200 + n, 50)} {regularly(item, *kind)} {prose(300 + n, 50)}"
+    expected = by_force(texts, items)
+    for k in (0, 1, 2, 5, 6):
+        assert sum(n // 100 == k + 1 for n, _ in expected) >= 8
+    assert leaks(spark, texts, items).keys() == expected.keys()
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     text = odd_documents.where("doc_id = 7").first().text
     items = spark.createDataFrame(
