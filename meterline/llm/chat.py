@@ -3,11 +3,13 @@
 Only DataFrame operations are used. A message becomes one event, or one per tool call in it:
 
 - a tool call: an assistant's text that is a JSON object with ``tool_calls``, a list of objects with
-  ``id``, ``name``, ``arguments`` and, where a call needs the result of another, ``after``;
+  ``id``, ``name``, ``arguments`` and, where a call needs the result of another, ``after``. ``content``
+  beside them is a reply, numbered before the calls;
 - a tool result: a tool's text that is a JSON object with ``tool_call_id`` and ``content``;
 - a request: a user's text, which calls for a reply. It is a call of ``reply`` with the identifier
   ``turn-N``, after the message before it;
-- a reply: any other text of an assistant, the result of the request in the turn before;
+- a reply: any other text of an assistant, the result of the request in the turn before. Of an object whose
+  list of calls is empty it is the ``content``, or the whole text where there is none;
 - a note: everything else.
 
 Calls and results meet in hash joins on (conversation, identifier), never a conversation in one task, so a
@@ -26,7 +28,7 @@ from meterline.sources.scratch import stored
 #: arguments of each tool and their types, as schema_of_variant names them
 Schemas = dict[str, dict[str, str]]
 REPLY: Schemas = {"reply": {"prompt": "STRING", "turn": "BIGINT"}}
-CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string,after:string>>>"
+CALLS = "struct<content:string,tool_calls:array<struct<id:string,name:string,arguments:string,after:string>>>"
 RESULT = "struct<tool_call_id:string,content:string>"
 CALL, TOOL_RESULT, NOTE = "call", "result", "note"
 KEYS = ["conv_id", "id"]
@@ -41,13 +43,17 @@ def events(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) to conv_id, turn, number, role, kind, id, parent, tool, arguments, content."""
     text = F.coalesce("text", F.lit(""))
     object_like = F.trim(text).startswith("{")
-    calls = F.when((F.col("role") == "assistant") & object_like, F.from_json(text, CALLS)["tool_calls"])
+    parsed = F.when((F.col("role") == "assistant") & object_like, F.from_json(text, CALLS))
+    # nothing is said beside calls where the content is empty
+    said = F.when(parsed["tool_calls"].isNotNull() & (parsed["content"] != ""), parsed["content"])
+    calls = F.when(F.size(parsed["tool_calls"]) > 0, parsed["tool_calls"])
     result = F.when((F.col("role") == "tool") & object_like, F.from_json(text, RESULT))
     base = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"),
-        text.alias("content"),
+        F.coalesce(said, text).alias("content"),
+        said.isNotNull().alias("says"),
         calls.alias("calls"),
         result.alias("result"),
     )
@@ -55,7 +61,7 @@ def events(messages: DataFrame) -> DataFrame:
     own = F.concat(F.lit("turn-"), F.col("turn").cast("string"))
     before = F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string"))
     asks, replies = F.col("role") == "user", F.col("role") == "assistant"
-    plain = base.where(F.col("calls").isNull()).select(
+    plain = base.where(F.col("calls").isNull() | F.col("says")).select(
         "conv_id",
         "turn",
         F.lit(0).alias("number"),
@@ -68,12 +74,12 @@ def events(messages: DataFrame) -> DataFrame:
         F.when(is_tool, F.col("result.content")).when(~asks | asks.isNull(), F.col("content")).alias("content"),
     )
     tool_calls = base.where(F.col("calls").isNotNull()).select(
-        "conv_id", "turn", "role", F.posexplode("calls").alias("number", "call")
+        "conv_id", "turn", "role", "says", F.posexplode("calls").alias("number", "call")
     )
     made = tool_calls.select(
         "conv_id",
         "turn",
-        "number",
+        (F.col("number") + F.col("says").cast("int")).alias("number"),
         "role",
         F.lit(CALL).alias("kind"),
         "call.id",

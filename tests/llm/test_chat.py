@@ -44,6 +44,26 @@ def test_calls_meet_their_results_in_any_order(spark):
     )
 
 
+def test_content_beside_calls_and_empty_calls(spark):
+    good = {"a": 1, "b": 2}
+    both = json.dumps({"content": "I add.", **json.loads(call(("c1", "add", good, None), ("c2", "add", good, None)))})
+    df = messages(
+        spark,
+        (1, 0, "user", "hello"), (1, 1, "assistant", '{"content":"Hello","tool_calls":[]}'),
+        (2, 0, "user", "add"), (2, 1, "assistant", both), (2, 2, "tool", result("c1", "3")), (2, 3, "tool", result("c2", "3")),
+        (3, 0, "assistant", '{"content":"","tool_calls":[]}'), (3, 1, "assistant", '{"content":null,"tool_calls":null}'),
+    )
+    found = formatted(df)
+    assert len(found) == 10
+    assert found[1, "turn-0"].valid and found[1, "turn-1"].linked_id == "turn-0"
+    assert json.loads(found[1, "turn-1"].json)["content"] == "Hello"
+    assert json.loads(found[2, "turn-1"].json)["content"] == "I add." and found[2, "turn-1"].kind == "result"
+    assert [found[2, key].number for key in ("turn-1", "c1", "c2")] == [0, 1, 2]
+    assert all(row.valid for key, row in found.items() if key[0] < 3)
+    assert json.loads(found[3, "turn-0"].json)["content"] == '{"content":"","tool_calls":[]}'
+    assert json.loads(found[3, "turn-1"].json)["content"] == '{"content":null,"tool_calls":null}'
+
+
 def test_arguments_are_checked(spark):
     df = messages(
         spark,
