@@ -119,6 +119,20 @@ def test_regular_edits_are_found(spark):
     assert leaks(spark, texts, items).keys() == expected.keys()
 
 
+def test_edited_copies_of_an_item_in_many_documents(spark):
+    """All words of the item are common, and each edited copy has four in a row at one place only."""
+    item = prose(7, 30)
+    texts = {n: f"{prose(n, 5)} {item} {prose(n + 5000, 5)}" for n in range(1100)}
+    for first in range(27):
+        ws = item.split()
+        for k in [*range(first - 1, -1, -4), *range(first + 4, 30, 4)]:
+            ws[k] = f"other{k}"
+        texts[2000 + first] = f"{prose(first + 9000, 20)} {' '.join(ws)} {prose(first + 9500, 20)}"
+    expected = by_force(texts, {1: item}).keys()
+    assert len(expected) > 1115
+    assert leaks(spark, texts, {1: item}).keys() == expected
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     text = odd_documents.where("doc_id = 7").first().text
     items = spark.createDataFrame(
