@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.zones import route_of
+from meterline.operators.lookup import attach_rows
 from meterline.settings import JoinBounds
 from meterline.sources.scratch import checkpointed
 
@@ -144,24 +143,22 @@ def lookup_features(
 ) -> DataFrame:
     """Feature values of each wanted key; an unknown or expired key, or one with a NULL, gives NULLs.
 
-    Each key is looked up once, however often it is wanted. What is found is written down and counted: up to
-    the bound it is broadcast to the wanted rows, beyond it joined by shuffle, where adaptive execution
-    splits a key that is wanted very often. Rows with a NULL in their key take no part in that join.
+    Each key is looked up once, however often it is wanted: ``wanted`` is counted by key, which combines in each
+    task, and the counts find the keys in ``latest``. What is found is written down and counted: up to
+    the bound it is broadcast to the wanted rows. Beyond it the keys wanted most often, of which there is a
+    bounded number, are broadcast, and the others are joined by shuffle; see :func:`lookup.attach_rows`.
     It is an error if ``latest`` has two rows of a key that is wanted.
     """
     keys = list(keys)
     current = F.current_timestamp() if now is None else F.lit(now)
     oldest = current.cast("timestamp_ntz") - F.expr(f"INTERVAL {ttl_days} DAYS")
     alive = latest.where(F.col(EVENT_TIME) >= oldest).select(*keys, *features)
-    complete = reduce(and_, [F.col(key).isNotNull() for key in keys])
-    asked = wanted.where(complete).select(*keys).distinct()
+    times = wanted.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
+    asked = times.dropna(subset=keys).select(*keys)
     found = checkpointed(alive.join(asked, keys, "left_semi"))
     rows, distinct = found.count(), found.select(*keys).distinct().count()
     if rows > distinct:
         raise ValueError(f"{rows - distinct} more rows than keys; take the newest row of each key first")
     if rows <= bounds.broadcast_rows:
         return wanted.join(F.broadcast(found), keys, "left")
-    without = wanted.where(~complete)
-    for name in features:
-        without = without.withColumn(name, F.lit(None).cast(found.schema[name].dataType))
-    return wanted.where(complete).join(found, keys, "left").unionByName(without)
+    return attach_rows(wanted, found, keys, checkpointed(times), bounds)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.settings import JoinBounds
@@ -15,6 +15,47 @@ def broadcast_if_small(table: DataFrame, rows: int, bounds: JoinBounds = JoinBou
     return F.broadcast(table) if rows <= bounds.broadcast_rows else table
 
 
+def _zero(value: Column) -> Column:
+    """A zero that depends on the row: a literal would be folded out of the join keys."""
+    return F.pmod(F.hash(value), F.lit(1)).cast("int")
+
+
+def attach_rows(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    times: DataFrame,
+    bounds: JoinBounds = JoinBounds(),
+) -> DataFrame:
+    """Left join of ``rows`` to ``table``, which has one row per key, without gathering a heavy key in one task.
+
+    ``times`` has the key columns and ``times``, how many of ``rows`` ask for the key (one row per key).
+    Keys that more than ``total / hot_keys`` rows ask for are heavy hitters; there can be no more than
+    ``hot_keys`` of them. They and what the table has for them are broadcast. Rows of a heavy key, and rows with
+    a NULL in their key, get a salt that matches nothing and spreads them over the shuffle that joins the others.
+    """
+    keys = list(keys)
+    values = [name for name in table.columns if name not in keys]
+    total = times.agg(F.sum("times")).first()[0] or 0
+    complete = times.dropna(subset=keys)
+    hot = complete.where(F.col("times") > total / bounds.hot_keys).select(*keys)
+    held = table.select(*keys, F.struct(F.lit(True).alias("there"), *values).alias("_row"))
+    found_hot = hot.join(held.join(F.broadcast(hot), keys, "left_semi"), keys, "left")
+    found_hot = found_hot.select(*keys, F.struct(F.lit(True).alias("asked"), F.col("_row")).alias("_hot"))
+    cold = held.withColumnRenamed("_row", "_cold").withColumn("_salt", _zero(F.col(keys[0])))
+    settled = F.col("_hot").isNotNull()
+    for key in keys:
+        settled = settled | F.col(key).isNull()
+    spread = F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(bounds.salts)).cast("int")
+    joined = (
+        rows.join(F.broadcast(found_hot), keys, "left")
+        .withColumn("_salt", F.when(settled, spread).otherwise(0))
+        .join(cold, [*keys, "_salt"], "left")
+    )
+    found = F.coalesce("_hot._row", "_cold")
+    return joined.select(*rows.columns, *[found[name].alias(name) for name in values])
+
+
 def attach_counts(
     trips: DataFrame,
     counts: DataFrame,

@@ -164,22 +164,30 @@ def test_a_wanted_hot_key_and_null_keys_are_spread(spark):
         "id AS k", "timestamp_ntz '2025-01-01' AS tpep_pickup_datetime", "cast(id * 2 as int) AS v"
     )
     wanted = spark.range(0, 90_000, 1, 32).selectExpr("CASE id % 9 WHEN 6 THEN id % 900 + 100 WHEN 7 THEN NULL WHEN 8 THEN NULL ELSE 5 END AS k", "id")
-    settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
-    }
     with without_automatic_broadcast(spark):
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
         try:
-            found = e.lookup_features(wanted, latest, ("v",), ["k"], "2025-02-01", bounds=JoinBounds(broadcast_rows=0))
+            found = e.lookup_features(wanted, latest, ("v",), ["k"], "2025-02-01", bounds=JoinBounds(0, hot_keys=100))
             sizes = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
-            assert found.where("k = 5 AND v = 10").count() == 60_000
+            assert found.columns == ["k", "id", "v"] and found.where("k = 5 AND v = 10").count() == 60_000
             assert found.where("v IS NULL").count() == 20_000
+            assert found.where("k <> 5 AND v = 2 * k").count() == 10_000
         finally:
-            for key in settings:
-                spark.conf.unset(key)
-    assert sum(sizes) == 90_000 and max(sizes) < 0.5 * sum(sizes)
+            spark.conf.unset("spark.sql.adaptive.enabled")
+    # eight partitions, evenly filled without any adaptive setting
+    assert sum(sizes) == 90_000 and max(sizes) < 0.2 * sum(sizes)
+
+
+def test_a_hot_key_that_is_not_held_is_spread_too(spark):
+    latest = spark.range(100).selectExpr("id AS k", "timestamp_ntz '2025-01-01' AS tpep_pickup_datetime", "cast(id as int) AS v")
+    wanted = spark.range(0, 40_000, 1, 8).selectExpr("IF(id % 4 = 0, id % 50, 777) AS k")
+    with without_automatic_broadcast(spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = e.lookup_features(wanted, latest, ("v",), ["k"], "2025-02-01", bounds=JoinBounds(0, hot_keys=10))
+        sizes = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert found.where("v IS NULL").count() == 30_000 and found.where("v = k").count() == 10_000
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 0.3 * sum(sizes)
 
 
 def test_no_operator_leaves_the_jvm(spark, sf_dir, layers):
