@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterline.llm import align, chat, decontaminate, exact, mixing, neardup, pii, quality, sharding, suffixes, tokens
+from meterline.llm import align, chat, decontaminate, exact, mixing, neardup, pii, quality, sharding, simhash, suffixes, tokens
 from meterline.suite.frames import Entry
 
 ENTRIES = {
@@ -17,4 +17,5 @@ ENTRIES = {
     "op9_chat": Entry(chat.op9_chat, chat.OP9_SQL),
     "op10_suffixes": Entry(suffixes.op10_suffixes),
     "op11_token_alignment": Entry(align.op11_token_alignment),
+    "op12_simhash": Entry(simhash.op12_simhash),
 }
