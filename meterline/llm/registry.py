@@ -18,4 +18,5 @@ ENTRIES = {
     "op10_suffixes": Entry(suffixes.op10_suffixes),
     "op11_token_alignment": Entry(align.op11_token_alignment),
     "op12_simhash": Entry(simhash.op12_simhash),
+    "op13_collocations": Entry(phrases.op13_collocations, phrases.OP13_SQL),
 }
