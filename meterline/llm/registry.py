@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from meterline.llm import align, chat, decontaminate, exact, mixing, neardup, pii, quality, sharding, simhash, suffixes, tokens
+from meterline.llm import (
+    align,
+    chat,
+    decontaminate,
+    exact,
+    mixing,
+    neardup,
+    phrases,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    tokens,
+)
 from meterline.suite.frames import Entry
 
 ENTRIES = {
