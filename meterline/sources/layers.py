@@ -5,17 +5,27 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from meterline.schema import MONTH_KEYS
 from meterline.settings import WriteOptions
+from meterline.sources import journal
 from meterline.sources.trips import conform, lost_in_conforming, with_months
 
 log = logging.getLogger(__name__)
 LANDED = "source string, year int, month int, rows long"
+#: as stored: also the landing a note is of, and a file's size and time
+LANDED_NOTES = f"{LANDED}, landing string, bytes long, modified timestamp"
+#: column of the landing in bronze files; reads of a layer leave it out
+LANDING = "_landing"
+#: kinds of entries in a layer's journal
+LAND, REPLACE = "land", "replace"
 
 
 def read_parquet(spark: SparkSession, paths: Sequence[str], merge: bool = True) -> DataFrame:
@@ -51,7 +61,7 @@ def read_layer(
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(root).where(months_wanted(year, months))
-    return read_parquet(spark, [root], merge).where(months_wanted(year, months))
+    return read_parquet(spark, [root], merge).drop(LANDING).where(months_wanted(year, months))
 
 
 def layer_exists(spark: SparkSession, root: str) -> bool:
@@ -65,9 +75,13 @@ def layer_exists(spark: SparkSession, root: str) -> bool:
         raise
 
 
-def listed_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of the data files under ``root``, with its partition columns. Only folders are listed."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+def listed_files(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
+    """Paths of the data files under ``root``, with its partition columns. Only folders are listed.
+
+    ``recursive`` looks into folders of any name and depth, and gives no partition columns.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return files.option("recursiveFileLookup", recursive).load(root)
 
 
 def months_present(spark: SparkSession, root: str) -> DataFrame:
@@ -81,12 +95,31 @@ def _files_by_month(spark: SparkSession, root: str, months: Sequence[tuple[int,
     """Files of some months of a layer."""
     found: dict[tuple[int, int], set[str]] = {key: set() for key in months}
     if months and layer_exists(spark, root):
-        asked = spark.createDataFrame(months, "year int, month int")
-        for row in listed_files(spark, root).join(F.broadcast(asked), list(MONTH_KEYS)).select(*MONTH_KEYS, "path").collect():
+        for row in listed_files(spark, root).where(in_months(months)).select(*MONTH_KEYS, "path").collect():
             found[row.year, row.month].add(row.path)
     return found
 
 
+def in_months(months: Iterable[journal.Month]) -> Column:
+    """Condition on the partition columns; it prunes folders. A month may be NULL."""
+    by_year: dict[int | None, list[int | None]] = {}
+    for year, month in months:
+        by_year.setdefault(year, []).append(month)
+    out = F.lit(False)
+    for year, listed in by_year.items():
+        named = [month for month in listed if month is not None]
+        inside = F.col("month").isin(*named) if named else F.lit(False)
+        if None in listed:
+            inside = inside | F.col("month").isNull()
+        out = out | ((F.col("year").isNull() if year is None else F.col("year") == year) & inside)
+    return out
+
+
+def _folder(root: str, year: int | None, month: int | None) -> str:
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return f"{root}/year={none if year is None else year}/month={none if month is None else month}"
+
+
 def write_layer(
     df: DataFrame,
     root: str,
@@ -121,41 +154,112 @@ def write_layer(
     nothing = spark.createDataFrame([], df.drop(*MONTH_KEYS).schema)
     for (year, month), files in after.items():
         if files & held[year, month]:
-            nothing.write.mode("overwrite").parquet(f"{root}/year={year}/month={month}")
+            nothing.write.mode("overwrite").parquet(_folder(root, year, month))
     return root
 
 
+# --- landing ----------------------------------------------------------------------------------------
+
+
 def _landed_path(root: str) -> str:
     return f"{root.rstrip('/')}-landed"
 
 
-def landed(spark: SparkSession, root: str) -> DataFrame:
-    """What has been landed in a layer, and from which source: one row per source and month."""
+def _landed_notes(spark: SparkSession, root: str) -> DataFrame:
     path = _landed_path(root)
     if not layer_exists(spark, path):
-        return spark.createDataFrame([], LANDED)
-    return spark.read.schema(LANDED).parquet(path)
+        return spark.createDataFrame([], LANDED_NOTES)
+    return spark.read.schema(LANDED_NOTES).parquet(path)
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """What has been landed in a layer, and from which source: one row per source and month.
+
+    Notes of a landing count once it is done; those that name no landing are of before there were any.
+    """
+    done = journal.names(spark, root, LAND, journal.DONE).withColumnRenamed("entry", "landing")
+    held = _landed_notes(spark, root)
+    whole = held.join(done, "landing", "left_semi").unionByName(held.where("landing IS NULL").select("landing", *[c for c in held.columns if c != "landing"]))
+    return whole.select(*[name for name in held.columns if name not in ("landing", "bytes", "modified")])
+
+
+def _copied(spark: SparkSession, root: str, entry: journal.Entry) -> None:
+    """Replace the months of an entry by its staged rows; the same however often it is done."""
+    staged = read_parquet(spark, [entry.staged])
+    write_layer(staged, root, replaces=entry.months)
+    journal.end(spark, root, entry.name, REPLACE)
+
 
+def repair(spark: SparkSession, root: str) -> list[str]:
+    """Finish what a landing that died has left; returns the landings made void.
 
-def _land(spark: SparkSession, trips: DataFrame, root: str, rebalance: bool) -> DataFrame:
-    """Append trips that have source, year and month, note them as landed, and return the notes."""
-    before = landed(spark, root).select("source").distinct()
-    write_layer(trips.drop("source"), root, WriteOptions(mode="append"), rebalance=rebalance)
-    counts = trips.groupBy("source", *MONTH_KEYS).agg(F.count(F.lit(1)).alias("rows"))
-    counts.write.mode("append").parquet(_landed_path(root))
-    new = F.broadcast(before.withColumnRenamed("source", "before"))  # one row per source file
-    return landed(spark, root).join(new, F.col("source").eqNullSafe(F.col("before")), "left_anti")
+    What it wrote is taken out of the months it had announced: their other rows are staged beside the layer,
+    that is noted, and the months are replaced by them. Dying here, too, is repaired the same way. The sources
+    of such a landing count as not landed. Nothing is read where all landings are done.
+    """
+    for entry in journal.unfinished(spark, root, REPLACE):
+        _copied(spark, root, entry)
+    open_ = journal.unfinished(spark, root, LAND)
+    if not open_:
+        return []
+    names = [entry.name for entry in open_]
+    months = sorted({month for entry in open_ for month in entry.months}, key=str)
+    if layer_exists(spark, root):
+        held = read_parquet(spark, [root]).where(in_months(months))
+        if LANDING in held.columns:
+            touched = held.where(F.col(LANDING).isin(*names)).select(*MONTH_KEYS).distinct().collect()
+            if touched:
+                left = [(row.year, row.month) for row in touched]
+                staged = f"{root.rstrip('/')}-staged/{uuid.uuid4().hex}"
+                good = held.where(in_months(left)).where(~F.coalesce(F.col(LANDING).isin(*names), F.lit(False)))
+                good.write.partitionBy(*MONTH_KEYS).parquet(staged) if not good.isEmpty() else good.write.parquet(staged)
+                journal.begin(spark, root, REPLACE, left, staged)
+                for entry in journal.unfinished(spark, root, REPLACE):
+                    _copied(spark, root, entry)
+    for name in names:
+        log.warning("%s: landing %s died; what it left is gone", root, name)
+        journal.end(spark, root, name, LAND, journal.VOID)
+    return names
+
+
+def _land(
+    spark: SparkSession, trips: DataFrame, root: str, rebalance: bool, files: DataFrame | None = None, written: DataFrame | None = None
+) -> DataFrame:
+    """Append trips that have source, year and month, note them as landed, and return the notes.
 
+    ``written`` is what is written, where that differs from ``trips`` in being watched.
 
-def _conformed(raw: DataFrame, name: str) -> DataFrame:
-    """Bronze columns of ``raw``; values that do not fit their type become NULL and are told in the log."""
-    lost = lost_in_conforming(raw)
-    if lost:
-        row = raw.agg(*[F.count_if(condition).alias(column) for column, condition in lost.items()]).first()
-        counts = {column: n for column, n in row.asDict().items() if n}
-        if counts:
-            log.warning("%s: values that became NULL: %s", name, counts)
-    return conform(raw)
+    1. What each source has for each month is counted (of the raw rows only their pickup time is read),
+       and noted with the name of the landing.
+    2. The landing is noted as begun, with its months. 3. The rows are written, each with the landing's name.
+    4. The landing is noted as done. Dying in between leaves an unfinished entry; see :func:`repair`.
+    """
+    name = uuid.uuid4().hex
+    counts = trips.groupBy("source", *MONTH_KEYS).agg(F.count(F.lit(1)).alias("rows")).withColumn("landing", F.lit(name))
+    if files is not None:
+        counts = counts.join(files.select("source", "bytes", "modified"), "source", "left")
+    counts.coalesce(1).write.mode("append").parquet(_landed_path(root))
+    own = _landed_notes(spark, root).where(F.col("landing") == name).select("source", *MONTH_KEYS, "rows")
+    months = [(row.year, row.month) for row in own.select(*MONTH_KEYS).distinct().collect()]
+    journal.begin(spark, root, LAND, months, name=name)
+    written = trips if written is None else written
+    write_layer(written.drop("source").withColumn(LANDING, F.lit(name)), root, WriteOptions(mode="append"), rebalance=rebalance)
+    journal.end(spark, root, name, LAND)
+    return own
+
+
+def _watched(raw: DataFrame, lost: dict[str, Column]) -> tuple[DataFrame, Observation | None]:
+    """``raw`` with a count of the values that conforming makes NULL, taken by the job that writes it."""
+    if not lost:
+        return raw, None
+    watch = Observation()
+    return raw.observe(watch, *[F.count_if(condition).alias(column) for column, condition in lost.items()]), watch
+
+
+def _tell(name: str, watch: Observation | None) -> None:
+    counts = {column: n for column, n in watch.get.items() if n} if watch is not None else {}
+    if counts:
+        log.warning("%s: values that became NULL: %s", name, counts)
 
 
 def land_bronze(
@@ -171,41 +275,112 @@ def land_bronze(
     is left out because its month holds other rows. The month of a row is that of its pickup, or
     ``month = (year, month)`` for a file that is filed under one nominal month, which then also is its
     source unless another is named. Without either the rows are landed whenever they are given.
+    What a landing that died has left is taken out first, so a retry stores every row once.
     """
+    repair(spark, root)
     if source is None:
         source = f"frame-{uuid.uuid4().hex}" if month is None else f"{month[0]}-{month[1]:02d}"
     if not landed(spark, root).where(F.col("source") == source).isEmpty():
         return spark.createDataFrame([], LANDED)
-    trips = _conformed(raw, source)
-    if month is None:
-        trips = with_months(trips)
-    else:
-        trips = trips.withColumns({"year": F.lit(month[0]), "month": F.lit(month[1])})
-    return _land(spark, trips.withColumn("source", F.lit(source)), root, rebalance=month is None)
+    watched, watch = _watched(raw, lost_in_conforming(raw))
+
+    def placed(raw: DataFrame) -> DataFrame:
+        trips = conform(raw)
+        if month is None:
+            trips = with_months(trips)
+        else:
+            trips = trips.withColumns({"year": F.lit(month[0]), "month": F.lit(month[1])})
+        return trips.withColumn("source", F.lit(source))
+
+    notes = _land(spark, placed(raw), root, rebalance=month is None, written=placed(watched))
+    _tell(source, watch)
+    return notes
+
+
+def _merged(one: StructType, other: StructType) -> StructType | None:
+    """Both schemas in one, names without regard to case; None where they give a column two types."""
+    fields = {field.name.lower(): field for field in one.fields}
+    for field in other.fields:
+        held = fields.setdefault(field.name.lower(), field)
+        if held.dataType != field.dataType:
+            return None
+    return StructType([StructField(field.name, field.dataType) for field in fields.values()])
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files grouped so that one schema reads all of a group, each column as the files store it.
+
+    The footers of many files are read and merged by one job. Where types differ the files, in order of their paths,
+    are halved, so the number of jobs goes with how often the schema changes along the paths; groups
+    that agree are then put together.
+    """
+    groups: list[tuple[StructType, list[str]]] = []
+    todo = [sorted(paths)]
+    while todo:
+        some = todo.pop()
+        try:
+            schema = read_parquet(spark, some).schema
+        except (PySparkException, Py4JJavaError) as error:
+            if len(some) == 1 or "CANNOT_MERGE" not in str(error):
+                raise
+            todo += [some[: len(some) // 2], some[len(some) // 2 :]]
+            continue
+        for number, (held, files) in enumerate(groups):
+            both = _merged(held, schema)
+            if both is not None:
+                groups[number] = both, files + some
+                break
+        else:
+            groups.append((schema, some))
+    return groups
 
 
 def land_files(spark: SparkSession, path: str, root: str, months: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Land the raw files under ``path`` that are not in bronze yet; one row per file and month of rows.
 
-    A file is known by its name. Each is conformed on its own, so files may differ in their columns and
-    types. ``months`` gives files that are filed under a nominal month, by name; rows of others go to the
-    month of their pickup. All new files go into one job.
+    Folders of any name and depth are looked into; it is an error where there is no file. A file is known by its full
+    path, so files of one name in two folders are two sources; one that was landed and has another size or
+    time since is left alone, and told in the log. Files are conformed in groups of one schema, so they may
+    differ in their columns and types while plan and jobs grow with the number of schemas. ``months`` gives
+    files that are filed under a nominal month, by name or by path; rows of others go to the month of their
+    pickup. All new files go into one job. A retry stores every row once; see :func:`repair`.
     """
-    known = {row.source for row in landed(spark, root).select("source").distinct().collect()}
-    files = {row.path.rsplit("/", 1)[-1]: row.path for row in listed_files(spark, path).select("path").collect()}
-    fresh = None
-    for name in sorted(set(files) - known):
-        trips = _conformed(spark.read.parquet(files[name]), name)
-        if months and name in months:
-            year, month = months[name]
-            trips = trips.withColumns({"year": F.lit(year), "month": F.lit(month)})
-        else:
-            trips = with_months(trips)
-        trips = trips.withColumn("source", F.lit(name))
-        fresh = trips if fresh is None else fresh.unionByName(trips, allowMissingColumns=True)
-    if fresh is None:
+    repair(spark, root)
+    listed = listed_files(spark, path, recursive=True).select(
+        F.col("_metadata.file_path").alias("source"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    )
+    done = landed(spark, root).select("source").distinct()
+    before = _landed_notes(spark, root).where("bytes IS NOT NULL").select("source", F.col("bytes").alias("b"), F.col("modified").alias("m")).distinct()
+    changed = listed.join(done, "source", "left_semi").join(before, "source").where("bytes <> b OR modified <> m")
+    for row in changed.select("source").distinct().limit(20).collect():
+        log.warning("%s: changed since it was landed, left alone", row.source)
+    fresh = [row.path for row in listed.join(done, "source", "left_anti").select("path").collect()]
+    if not fresh:
+        if listed.isEmpty():
+            raise ValueError(f"no raw files under {path}")
         return spark.createDataFrame([], LANDED)
-    return _land(spark, fresh, root, rebalance=True)
+    groups = []
+    for schema, files in schema_groups(spark, fresh):
+        raw = spark.read.schema(schema).parquet(*files).withColumn("source", F.col("_metadata.file_path"))
+        watched, watch = _watched(raw, lost_in_conforming(raw))
+        groups.append((files, conform(raw), conform(watched), watch))
+
+    def placed(frames: Iterable[DataFrame]) -> DataFrame:
+        trips = with_months(reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames))
+        if not months:
+            return trips
+        name = F.element_at(F.split("source", "/"), -1)
+        named = spark.createDataFrame([(file, *month) for file, month in months.items()], "given string, y int, m int")
+        trips = trips.join(F.broadcast(named), (F.col("given") == F.col("source")) | (F.col("given") == name), "left")
+        nominal = {key: F.when(F.col("given").isNull(), F.col(key)).otherwise(F.col(own)) for key, own in (("year", "y"), ("month", "m"))}
+        return trips.withColumns(nominal).drop("given", "y", "m")
+
+    notes = _land(
+        spark, placed(raw for _, raw, _, _ in groups), root, rebalance=True, files=listed, written=placed(watched for _, _, watched, _ in groups)
+    )
+    for files, _, _, watch in groups:
+        _tell(files[0] if len(files) == 1 else f"{files[0]} and {len(files) - 1} more", watch)
+    return notes
 
 
 def scan_counts(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:

@@ -95,6 +95,108 @@ def test_files_that_differ_are_conformed_one_by_one(spark, tmp_path, caplog):
     assert layers.land_files(spark, str(raw), root).isEmpty()
 
 
+class Stopped(Exception):
+    """The driver is gone."""
+
+
+@pytest.mark.parametrize("step", ["begin", "write", "end"])
+def test_a_landing_that_dies_is_repeated(spark, tmp_path, monkeypatch, step):
+    """Stopped before the data, between data and notes, or in the repair: every row is there once."""
+    raw, root = tmp_path / "raw", str(tmp_path / "bronze")
+    january_and_february(spark).coalesce(1).write.parquet(str(raw / "a"))
+    layers.land_files(spark, str(raw), root)
+    january_and_february(spark, VendorID=2).coalesce(1).write.parquet(str(raw / "b"))
+    owner, name = {"begin": (layers.journal, "begin"), "write": (layers, "write_layer"), "end": (layers.journal, "end")}[step]
+    real = getattr(owner, name)
+
+    def stop(*args, **kwargs):
+        if step == "write":
+            real(*args, **kwargs)
+        raise Stopped
+
+    def die(*args, **kwargs):
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, name, stop)
+        with pytest.raises(Stopped):
+            layers.land_files(spark, str(raw), root)
+    assert layers.landed(spark, root).agg(F.sum("rows")).first()[0] == 3
+    if step == "write":
+        assert sum(months_of(layers.read_layer(spark, root)).values()) == 6
+        # and the repair dies too, before its copy is noted as done
+        with monkeypatch.context() as patch:
+            patch.setattr(layers.journal, "end", die)
+            with pytest.raises(Stopped):
+                layers.land_files(spark, str(raw), root)
+    landed = layers.land_files(spark, str(raw), root)
+    assert landed.agg(F.sum("rows")).first()[0] == 3
+    assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 4, (2024, 2): 2}
+    assert layers.read_layer(spark, root).where("VendorID = 2").count() == 3
+    assert layers.landed(spark, root).agg(F.sum("rows")).first()[0] == 6
+    assert layers.land_files(spark, str(raw), root).isEmpty()
+    assert layers.LANDING not in layers.read_layer(spark, root).columns
+
+
+def test_a_repair_that_leaves_a_month_empty(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    stray = trips(spark, {"tpep_pickup_datetime": None}, {})
+    with monkeypatch.context() as patch:
+        patch.setattr(layers.journal, "end", lambda *a, **k: (_ for _ in ()).throw(Stopped()))
+        with pytest.raises(Stopped):
+            layers.land_bronze(spark, stray, root, source="a")
+    assert len(layers.repair(spark, root)) == 1 and layers.repair(spark, root) == []
+    assert layers.read_layer(spark, root).isEmpty()
+    for _ in range(2):
+        layers.land_bronze(spark, stray, root, source="a")
+        assert months_of(layers.read_layer(spark, root)) == {(2024, 1): 1, (None, None): 1}
+
+
+def test_raw_files_in_folders_of_any_name(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "bronze")
+    for n, folder in enumerate(("2024/01", "2024/02", "kind=a/deep", "kind=b/deep")):
+        trips(spark, *[{"VendorID": n}] * (n + 1)).coalesce(1).write.parquet(str(tmp_path / f"made{n}"))
+        (file,) = (tmp_path / f"made{n}").glob("*.parquet")
+        target = raw / folder / "trips.parquet"
+        target.parent.mkdir(parents=True)
+        target.write_bytes(file.read_bytes())
+    landed = layers.land_files(spark, str(raw), root, {"trips.parquet": (2031, 5)}).collect()
+    assert sorted(row.rows for row in landed) == [1, 2, 3, 4] and len({row.source for row in landed}) == 4
+    assert months_of(layers.read_layer(spark, root)) == {(2031, 5): 10}
+    assert layers.land_files(spark, str(raw), root).isEmpty()
+    (tmp_path / "nothing").mkdir()
+    with pytest.raises(ValueError, match="no raw files"):
+        layers.land_files(spark, str(tmp_path / "nothing"), root)
+
+
+def test_plan_and_jobs_grow_with_schemas(spark, tmp_path, caplog):
+    """Forty files of two schemas: two branches, and the lost values are counted by the job that writes."""
+    raw, root = tmp_path / "raw", str(tmp_path / "bronze")
+    whole = trips(spark, *[{"passenger_count": n % 5} for n in range(200)])
+    whole.repartition(20).write.parquet(str(raw / "new"))
+    text = whole.withColumn("passenger_count", F.when(F.col("passenger_count") == 4, "many").otherwise(F.col("passenger_count").cast("string")))
+    text.repartition(20).write.parquet(str(raw / "old"))
+    paths = [row.path for row in layers.listed_files(spark, str(raw), recursive=True).select("path").collect()]
+    groups = layers.schema_groups(spark, paths)
+    assert sorted(len(files) for _, files in groups) == [20, 20] and len(paths) == 40
+    assert layers.land_files(spark, str(raw), root).agg(F.sum("rows")).first()[0] == 400
+    assert layers.read_layer(spark, root).where("passenger_count IS NULL").count() == 40
+    assert caplog.text.count("'passenger_count': 40") == 1
+
+
+def test_a_changed_file_is_told_and_left_alone(spark, tmp_path, caplog):
+    raw, root = tmp_path / "raw", str(tmp_path / "bronze")
+    trips(spark, {}).coalesce(1).write.parquet(str(raw))
+    layers.land_files(spark, str(raw), root)
+    trips(spark, {}, {}, {}).coalesce(1).write.parquet(str(tmp_path / "other"))
+    (file,), (other,) = raw.glob("*.parquet"), (tmp_path / "other").glob("*.parquet")
+    file.write_bytes(other.read_bytes())
+    for crc in raw.glob(".*.crc"):
+        crc.write_bytes((tmp_path / "other" / f".{other.name}.crc").read_bytes())
+    assert layers.land_files(spark, str(raw), root).isEmpty() and "changed since" in caplog.text
+    assert layers.read_layer(spark, root).count() == 1
+
+
 def test_a_replaced_month_without_rows_becomes_empty(spark, tmp_path):
     root = str(tmp_path / "silver")
     df = with_months(january_and_february(spark))
