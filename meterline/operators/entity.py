@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,23 +94,33 @@ def _inside(start: str | datetime | None, end: str | datetime | None) -> Column:
     return inside
 
 
-def latest_rows(view: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(key).isNotNull() for key in keys])
+
+
+def _row(columns: Sequence[str], keys: Sequence[str]) -> Column:
+    """A row without its keys, in the order that says which is newer."""
+    return F.struct(EVENT_TIME, CREATED, *[name for name in columns if name not in (*keys, EVENT_TIME, CREATED)])
+
+
+def latest_rows(view: DataFrame, keys: Sequence[str] = ENTITY_KEYS, bounds: JoinBounds = JoinBounds()) -> DataFrame:
     """The newest row per entity, by event time, then created time, then the row itself.
 
-    The newest event time per entity is a hash aggregate that combines in each task, so an entity with a
-    third of all rows is as cheap as any. A hash join keeps the rows of that time; only these, one per
-    entity and its ties, are then ordered as whole rows.
+    The newest event time per entity is a hash aggregate over keys and time alone, which combines in each task,
+    so an entity with a third of all rows is as cheap as any. It is written down and counted. Up to the
+    bound it is broadcast, and the view is filtered where it lies: no row but an entity's newest moves. With
+    more entities a hash join on keys and time keeps those rows. Only they, one per entity and its
+    ties, are then ordered as whole rows. The view is computed twice, the first time in a few columns.
     """
     keys = list(keys)
     newest = view.groupBy(*keys).agg(F.max(EVENT_TIME).alias("_newest"))
-    newest = newest.withColumnsRenamed({key: f"_{key}" for key in keys})
+    newest = checkpointed(newest.withColumnsRenamed({key: f"_{key}" for key in keys}))
     same = F.col(EVENT_TIME).eqNullSafe(F.col("_newest"))
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    last = view.join(newest.hint("shuffle_hash"), same, "left_semi")
-    others = [name for name in view.columns if name not in (*keys, EVENT_TIME, CREATED)]
-    row = F.struct(EVENT_TIME, CREATED, *others)
-    return last.groupBy(*keys).agg(F.max(row).alias("_row")).select(*keys, "_row.*").select(*view.columns)
+    held = F.broadcast(newest) if newest.count() <= bounds.broadcast_rows else newest.hint("shuffle_hash")
+    last = view.join(held, same, "left_semi")
+    return last.groupBy(*keys).agg(F.max(_row(view.columns, keys)).alias("_row")).select(*keys, "_row.*").select(*view.columns)
 
 
 def materialise(
@@ -116,9 +128,20 @@ def materialise(
     start: str | datetime | None = FIRST_EVENT,
     end: str | datetime | None = None,
     keys: Sequence[str] = ENTITY_KEYS,
+    bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame:
     """Newest row per entity among events in ``[start, end]``, both inclusive."""
-    return latest_rows(view.where(_inside(start, end)), keys)
+    return latest_rows(view.where(_inside(start, end)), keys, bounds)
+
+
+def store_state(latest: DataFrame, table: str, path: str, keys: Sequence[str] = ENTITY_KEYS, buckets: int = 200) -> DataFrame:
+    """Write one row per entity as a table in buckets of its keys, and read it.
+
+    Rows that already lie by bucket, as those of :func:`materialise_increment` over such a table do, are
+    not shuffled: every task writes the buckets it holds.
+    """
+    latest.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(table)
+    return latest.sparkSession.table(table)
 
 
 def materialise_increment(
@@ -127,9 +150,25 @@ def materialise_increment(
     start: str | datetime,
     end: str | datetime,
     keys: Sequence[str] = ENTITY_KEYS,
+    bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame:
-    """Earlier state brought forward by the events in ``[start, end]``."""
-    return latest_rows(state.unionByName(view.where(_inside(start, end))), keys)
+    """Earlier state, which has one row per entity, brought forward by the events in ``[start, end]``.
+
+    The increment is brought to one row per entity, and those to the state. A state in buckets of its keys
+    (:func:`store_state`) is read, joined and written where it lies, so only the increment is shuffled.
+    Entities with a NULL in their keys are brought forward apart, as no join on equality meets them.
+    """
+    keys, columns = list(keys), view.columns
+    state = state.select(*columns)
+    fresh = checkpointed(materialise(view, start, end, keys, bounds))
+    old = state.where(_complete(keys)).select(*keys, _row(columns, keys).alias("_old"))
+    new = fresh.where(_complete(keys)).select(*keys, _row(columns, keys).alias("_new"))
+    kept = old.join(new.hint("shuffle_hash"), keys, "left").select(*keys, F.greatest("_old", "_new").alias("_row"))
+    added = fresh.where(_complete(keys)).join(old.select(*keys), keys, "left_anti")
+    apart = state.where(~_complete(keys)).unionByName(fresh.where(~_complete(keys)))
+    of_null = apart.groupBy(*keys).agg(F.max(_row(columns, keys)).alias("_row"))
+    merged = kept.unionByName(of_null).select(*keys, "_row.*").select(*columns)
+    return merged.unionByName(added.select(*columns))
 
 
 def lookup_features(

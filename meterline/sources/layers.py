@@ -28,11 +28,50 @@ LANDING = "_landing"
 LAND, REPLACE = "land", "replace"
 
 
+#: from narrow to wide
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+FLOATS = ("float", "double")
+
+
+def _conflicting(error: Exception) -> bool:
+    return "CANNOT_MERGE" in str(error)
+
+
 def read_parquet(spark: SparkSession, paths: Sequence[str], merge: bool = True) -> DataFrame:
-    """All files under ``paths`` as one frame; columns that only some files have become NULL."""
+    """All files under ``paths`` as one frame; columns that only some files have become NULL.
+
+    Where files differ in a column's type, merging widens it: integers to the wider one, integers and fractions to
+    double, anything else to text. Files are then read in groups of one schema, each with its own types.
+    """
     if not paths:
         raise ValueError("no files to read")
-    return spark.read.option("mergeSchema", merge).parquet(*paths)
+    try:
+        return spark.read.option("mergeSchema", merge).parquet(*paths)
+    except (PySparkException, Py4JJavaError) as error:
+        if not merge or not _conflicting(error):
+            raise
+    parts = [part for path in paths for part in _read_by_schema(spark, path)]
+    kinds: dict[str, str] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds[name] = _wider(kinds.get(name, kind), kind)
+    cast = [part.select(*[F.col(name).cast(kinds[name]).alias(name) for name in part.columns]) for part in parts]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), cast)
+
+
+def _wider(one: str, other: str) -> str:
+    if one == other:
+        return one
+    if one in INTEGERS and other in INTEGERS:
+        return max(one, other, key=INTEGERS.index)
+    return "double" if {one, other} <= {*INTEGERS, *FLOATS} else "string"
+
+
+def _read_by_schema(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The files under ``path``, one frame for each schema, with the partition columns of their folders."""
+    files = [row.path for row in listed_files(spark, path, recursive=True).select("path").collect()]
+    base = spark.read.option("basePath", path)
+    return [base.schema(schema).parquet(*some) for schema, some in schema_groups(spark, files, path)]
 
 
 def months_wanted(year: int | None, months: Iterable[int] | None):
@@ -307,21 +346,24 @@ def _merged(one: StructType, other: StructType) -> StructType | None:
     return StructType([StructField(field.name, field.dataType) for field in fields.values()])
 
 
-def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+def schema_groups(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> list[tuple[StructType, list[str]]]:
     """Files grouped so that one schema reads all of a group, each column as the files store it.
 
     The footers of many files are read and merged by one job. Where types differ the files, in order of their paths,
     are halved, so the number of jobs goes with how often the schema changes along the paths; groups
-    that agree are then put together.
+    that agree are then put together. Under ``base`` folders are partitions, which are columns too.
     """
+    reader = spark.read.option("mergeSchema", True)
+    if base is not None:
+        reader = reader.option("basePath", base)
     groups: list[tuple[StructType, list[str]]] = []
     todo = [sorted(paths)]
     while todo:
         some = todo.pop()
         try:
-            schema = read_parquet(spark, some).schema
+            schema = reader.parquet(*some).schema
         except (PySparkException, Py4JJavaError) as error:
-            if len(some) == 1 or "CANNOT_MERGE" not in str(error):
+            if len(some) == 1 or not _conflicting(error):
                 raise
             todo += [some[: len(some) // 2], some[len(some) // 2 :]]
             continue

@@ -18,6 +18,7 @@ from meterline.sources.layers import (
     land_bronze,
     land_files,
     landed,
+    listed_files,
     layer_exists,
     read_layer,
     read_parquet,
@@ -275,6 +276,51 @@ def s13_stray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_counts(read_layer(spark, root), F.round(F.sum("fare_amount"), 6).alias("fares"))
 
 
+MONTHS_AND_FARES = o.over_bronze("SELECT year, month, count(*) AS trip_count, round(sum(fare_amount), 6) AS fares FROM bronze GROUP BY ALL")
+
+
+@entry("s13_land_nested", MONTHS_AND_FARES)
+def s13_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files under plain YYYY/MM folders, in two schemas, landed in two runs."""
+    root, raw = empty_lake(spark).layer("bronze"), scratch_path(spark, "raw")
+    trips = trips_view(spark, sf_dir)
+    for part, folder in enumerate(("1996/01", "1996/02", "1997/01")):
+        some = trips.where(F.pmod(F.hash("tpep_pickup_datetime", "fare_amount"), F.lit(3)) == part)
+        if part == 1:
+            some = some.withColumn("passenger_count", F.col("passenger_count").cast("double")).withColumnRenamed("extra", "EXTRA")
+        sinks.write_as(some, f"{raw}/{folder}", mode="append")
+        if part:
+            land_files(spark, raw, root)
+    return month_counts(read_layer(spark, root), F.round(F.sum("fare_amount"), 6).alias("fares"))
+
+
+@entry("s13_land_same_names", MONTHS_AND_FARES)
+def s13_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the same names in partition folders: each is a source of its own."""
+    root, raw = empty_lake(spark).layer("bronze"), scratch_path(spark, "raw")
+    trips = trips_view(spark, sf_dir).withColumn("part", F.pmod(F.hash("tpep_pickup_datetime"), F.lit(4)))
+    # a task writes its rows of every folder under one file name
+    trips.coalesce(1).write.partitionBy("part").parquet(raw)
+    names = [row.path.rsplit("/", 1)[-1] for row in listed_files(spark, raw, recursive=True).select("path").collect()]
+    assert len(names) > len(set(names))
+    land_files(spark, raw, root)
+    return month_counts(read_layer(spark, root), F.round(F.sum("fare_amount"), 6).alias("fares"))
+
+
+@entry(
+    "s03_drifting_types",
+    o.over_bronze("SELECT year, count(*) AS trip_count, sum(CAST(passenger_count AS DOUBLE)) AS passengers FROM bronze GROUP BY ALL"),
+)
+def s03_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer whose halves differ in the type of passenger_count, read with merged schemas."""
+    root, trips = scratch_path(spark, "drifting"), bronze(spark, sf_dir)
+    early = F.col("year") < YEAR
+    write_layer(trips.where(early).withColumn("passenger_count", F.col("passenger_count").cast("int")), root, rebalance=True)
+    write_layer(trips.where(~early).withColumn("passenger_count", F.col("passenger_count").cast("double")), root, rebalance=True)
+    merged = read_layer(spark, root, merge=True)
+    return merged.groupBy("year").agg(F.count("*").alias("trip_count"), F.sum("passenger_count").alias("passengers"))
+
+
 @entry(
     "s14_empty_guard",
     o.over_silver(

@@ -385,6 +385,24 @@ def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.materialise_increment(state, view, "1999-01-01 00:00:00", "2000-06-30 00:00:00", PAIR)
 
 
+@entry("k04_increment_in_buckets", o.over_features(newest_sql("entity", IN_STEPS), VIEW))
+def k04_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state lies in buckets of its keys, and so does what replaces it."""
+    view = e.feature_view(entities(spark, sf_dir))
+    first = e.materialise(view, "1996-06-01 00:00:00", "1997-12-31 00:00:00", PAIR)
+    name = scratch_path(spark, "entity_state").rsplit("/", 1)[-1].replace("-", "_")
+    state = e.store_state(first, f"{name}_1", scratch_path(spark, "state"), PAIR, buckets=32)
+    merged = e.materialise_increment(state, view, "1999-01-01 00:00:00", "2000-06-30 00:00:00", PAIR)
+    return e.store_state(merged, f"{name}_2", scratch_path(spark, "state"), PAIR, buckets=32)
+
+
+@entry("k03_materialise_shuffled", o.over_features(newest_sql("entity", "tpep_pickup_datetime >= TIMESTAMP '1996-06-01'"), VIEW))
+def k03_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With more entities than may be broadcast."""
+    view = e.feature_view(entities(spark, sf_dir))
+    return e.materialise(view, start="1996-06-01 00:00:00", keys=PAIR, bounds=JoinBounds(broadcast_rows=0))
+
+
 def lookup_query(bounds: JoinBounds = JoinBounds()):
     """Each part's route asked for: known, unknown and expired ones."""
 
