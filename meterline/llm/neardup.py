@@ -11,8 +11,10 @@
    its buckets share and, where that does not take it in, ``LEADERS - 1`` random members of the leading
    class and the first of those left. Nodes known to be of one class are not compared again.
    Leaders only save work. What larger buckets still hold of several classes is joined exactly: two sets
-   of similarity ``SIMILAR`` share one of their rarest shingles (prefix filter), are of like size, and
-   have enough shingles left behind the first they share; all pairs that this does not rule out are
+   of similarity ``SIMILAR`` share one of their rarest shingles (prefix filter), are of like size,
+   have enough shingles left behind the first they share, and differ in few shingles. Of the last a
+   parity sketch tells: each of its bits says whether an even or odd number of the set's shingles fall there, so two
+   sketches differ in no more bits than the sets do in shingles. All pairs that this does not rule out are
    compared. Shingles that many nodes have among their rarest are dealt out to several tasks.
 5. Links are joined to classes by alternating stars.
 """
@@ -44,6 +46,8 @@ LEADERS = 4
 SPLIT = 500
 #: shingles are counted by their first bits; counts only order them, so those that share a slot do no harm
 SLOT_BITS = 20
+#: bits of a set's parity sketch, in words of 64
+PARITY_WORDS = 16
 ROUNDING = 1e-6
 
 
@@ -180,7 +184,9 @@ def _sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     )
     same = docs["doc_id"].eqNullSafe(wanted["node_id"]) & (docs["text_key"] == wanted["node_key"])
     # the same join at every size: what is wanted grows with the corpus
-    return stored(shingle_sets(docs.join(wanted.hint("merge"), same)), "shingle-sets")
+    sets = stored(shingle_sets(docs.join(wanted.hint("merge"), same)), "shingle-sets")
+    # one set for each node, also where its row is there several times
+    return stored(sets.dropDuplicates(["node"]), "shingle-sets") if sets.count() > wanted.count() else sets
 
 
 def _slot(shingles: np.ndarray) -> np.ndarray:
@@ -201,32 +207,40 @@ def _slot_counts(sets: DataFrame) -> np.ndarray:
     return out
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Sketch of a set: for each of its bits, whether an odd number of shingles fall there."""
+    odd = np.bincount(shingles % np.uint32(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(bool)).view("<i8")
+
+
 def _prefixes(sets: DataFrame, often: np.ndarray) -> DataFrame:
-    """(node, label, shingles) to node, label, size of the set, and each of its rarest shingles with its
-    place from the rarest on: so many that a set of similarity ``SIMILAR`` shares one of them."""
+    """(node, label, shingles) to node, label, size and parity sketch of the set, and each of its rarest shingles
+    with its place from the rarest on: so many that a set of similarity ``SIMILAR`` shares one of them."""
     held = sets.sparkSession.sparkContext.broadcast(often)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, rarest = [], []
+        sizes, rarest, sketches = [], [], []
         for packed in batch["shingles"].to_pylist():
             shingles = np.frombuffer(packed, "<u4")
             order = np.lexsort((shingles, held.value[_slot(shingles)]))
             sizes.append(len(shingles))
+            sketches.append(parity(shingles))
             rarest.append(shingles[order[: int(len(shingles) * (1 - SIMILAR) + ROUNDING) + 1]].view("<i4"))
-        listed = pa.array(rarest, pa.list_(pa.int32()))
+        listed, odd = pa.array(rarest, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [batch["node"], batch["label"], pa.array(sizes, pa.int32()), listed], ["node", "label", "size", "rarest"]
+            [batch["node"], batch["label"], pa.array(sizes, pa.int32()), odd, listed], ["node", "label", "size", "odd", "rarest"]
         )
 
-    found = over_batches(sets.select("node", "label", "shingles"), run, "node long, label long, size int, rarest array<int>")
-    return found.select("node", "label", "size", F.posexplode("rarest").alias("place", "shingle"))
+    schema = "node long, label long, size int, odd array<long>, rarest array<int>"
+    found = over_batches(sets.select("node", "label", "shingles"), run, schema)
+    return found.select("node", "label", "size", "odd", F.posexplode("rarest").alias("place", "shingle"))
 
 
 def _filtered_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     """All pairs of nodes (node, label) of different classes that may be alike; none that is alike is missing.
 
     Alike sets of sizes m and n have at least SIMILAR / (1 + SIMILAR) * (m + n) shingles in common, none of
-    which stands before the first they share.
+    which stands before the first they share, and (1 - SIMILAR) / (1 + SIMILAR) * (m + n) at most that only one has.
     """
     open_sets = sets.join(labelled, "node")
     prefixes = stored(_prefixes(open_sets, _slot_counts(open_sets)), "prefixes")
@@ -243,6 +257,7 @@ def _filtered_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("node").alias("b"),
         F.col("label").alias("other_label"),
         F.col("size").alias("other_size"),
+        F.col("odd").alias("other_odd"),
         left.alias("other_left"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
     )
@@ -250,7 +265,9 @@ def _filtered_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     smaller = (F.col("other_size") < F.col("size")) | (F.col("other_size") == F.col("size")) & (F.col("b") < F.col("node"))
     enough = F.least("left", "other_left") * (1 + SIMILAR) + ROUNDING >= SIMILAR * (F.col("size") + F.col("other_size"))
     like = F.col("other_size") + ROUNDING >= SIMILAR * F.col("size")
-    pairs = pairs.where((F.col("label") != F.col("other_label")) & smaller & like & enough)
+    differ = sum(F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("other_odd")[k])) for k in range(PARITY_WORDS))
+    few = differ * (1 + SIMILAR) <= (1 - SIMILAR) * (F.col("size") + F.col("other_size")) + ROUNDING
+    pairs = pairs.where((F.col("label") != F.col("other_label")) & smaller & like & enough & few)
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
 
 
