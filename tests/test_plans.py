@@ -175,7 +175,7 @@ def test_an_increment_leaves_the_state_in_place(spark, sf_dir, tmp_path):
     first = e.materialise(view, "1995-01-01", "1997-12-31", keys)
     with without_automatic_broadcast(spark):
         state = e.store_state(first, "entity_state_1", str(tmp_path / "state1"), keys, buckets=16)
-        merged = e.materialise_increment(state, view, "1998-01-01", "1999-06-30", keys)
+        merged = e.materialise_increment(state, view, "1997-12-31", "1999-06-30", keys)
         lines = plan(merged).splitlines()
         exchanges = [n for n, line in enumerate(lines) if "Exchange" in line]
         below = [next(line for line in lines[n:] if "Scan" in line) for n in exchanges]
