@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.schema import MONTH_KEYS
+
 # --- fixed values: mart keys, columns and table names ---------------------------------------------
 DAY_KEYS = ("pickup_year", "pickup_month", "pickup_day_of_month")
 HOUR_KEYS = ("pickup_hour", "is_weekend", "is_rush_hour")
@@ -56,8 +60,11 @@ def pickup_stats(gold: DataFrame) -> DataFrame:
 
 def recent_trips(gold: DataFrame, n: int = 1000) -> DataFrame:
     """The ``n`` newest trips; ties are settled by the other columns, so the result is stable."""
-    ties = [F.col(name).desc_nulls_last() for name in RECENT_COLUMNS]
-    return gold.select(*RECENT_COLUMNS).orderBy(*ties).limit(n)
+    return gold.select(*RECENT_COLUMNS).orderBy(*_newest_first()).limit(n)
+
+
+def _newest_first() -> list[Column]:
+    return [F.col(name).desc_nulls_last() for name in RECENT_COLUMNS]
 
 
 def daily_totals(silver: DataFrame) -> DataFrame:
@@ -95,13 +102,20 @@ def largest_pickups(gold: DataFrame, n: int = 1000) -> DataFrame:
     return recent_trips(gold.where(F.col("tpep_pickup_datetime").isNotNull()), n)
 
 
-def trip_grain(gold: DataFrame) -> DataFrame:
-    """Sums and counts per day, hour and pickup zone.
+def recent_by_month(gold: DataFrame, n: int = 1000) -> DataFrame:
+    """The trips of each month among which :func:`recent_trips` finds its own, whatever other months hold."""
+    newest = Window.partitionBy(*MONTH_KEYS).orderBy(*_newest_first())
+    rows = gold.select(*dict.fromkeys([*RECENT_COLUMNS, *MONTH_KEYS])).withColumn("_place", F.row_number().over(newest))
+    return rows.where(F.col("_place") <= n).drop("_place")
+
+
+def trip_grain(gold: DataFrame, also_by: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts per day, hour and pickup zone, and per ``also_by``.
 
     The grain holds days x 24 x zones rows whatever the number of trips, and the three grouped
     marts follow from it, so exporting them reads gold once.
     """
-    grain = gold.groupBy(*DAY_KEYS, *HOUR_KEYS, "PULocationID")
+    grain = gold.groupBy(*DAY_KEYS, *HOUR_KEYS, "PULocationID", *also_by)
     measures = ("trip_duration_min", "trip_distance", "fare_amount", "fare_per_mile")
     sums = [F.sum(name).alias(f"sum_{name}") for name in measures]
     counts = [F.count(name).alias(f"n_{name}") for name in measures]

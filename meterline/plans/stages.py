@@ -14,7 +14,9 @@ from meterline.operators.features import add_features
 from meterline.operators.quality import WatchedWrite, duplicate_report, validate, verdict
 from meterline.schema import LAYERS, MONTH_KEYS, rules_for, stored_ddl
 from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, QualityLimits, WriteOptions, tuned
+from meterline.sources import journal
 from meterline.sources.layers import (
+    in_months,
     land_files,
     layer_exists,
     months_present,
@@ -25,6 +27,8 @@ from meterline.sources.layers import (
 from meterline.sources.scratch import checkpointed
 from meterline.sources.sinks import write_mart, write_report
 
+#: kinds of entries in a layer's journal: months being replaced, and months that stored marts do not have yet
+REBUILD, MARTS = "rebuild", "marts"
 MONTH_LOG = "year int, month int, status string, error string"
 STAGE_LOG = "step int, stage string, success boolean, output string, error string"
 
@@ -56,14 +60,14 @@ def _store(
     """
     root = lake.layer(layer)
     if quality is None:
-        write_layer(df, root, options, replaces=months)
+        _publish(df, root, months, options)
         return None
     if quality.fail_on_error:
         report = validate(df, rules_for(layer), quality, layer)
-        write_layer(df, root, options, replaces=months)
+        _publish(df, root, months, options)
         return report
     watched = WatchedWrite(df, rules_for(layer), quality, layer)
-    write_layer(watched.df, root, options, replaces=months)
+    _publish(watched.df, root, months, options)
     report = watched.report()
     if quality.duplicates:
         held = df.sparkSession.createDataFrame(list(months), "year int, month int")
@@ -72,6 +76,25 @@ def _store(
     return report
 
 
+def _publish(df: DataFrame, root: str, months: Sequence[tuple[int, int]], options: WriteOptions) -> None:
+    """Replace months of a layer, having noted which; the notes are closed when all of them are replaced.
+
+    Rebuilds that died before that are among ``months`` (see :func:`_unfinished`), so they are closed too.
+    """
+    spark = df.sparkSession
+    before = journal.unfinished(spark, root, REBUILD)
+    name = journal.begin(spark, root, REBUILD, months)
+    write_layer(df, root, options, replaces=months)
+    for entry in before:
+        journal.end(spark, root, entry.name, REBUILD)
+    journal.end(spark, root, name, REBUILD)
+
+
+def _unfinished(spark: SparkSession, root: str, kind: str) -> set[tuple[int, int]]:
+    """Months of what was begun for a layer by a driver that died, or is still to do."""
+    return {month for entry in journal.unfinished(spark, root, kind) for month in entry.months}
+
+
 def _months_held(
     spark: SparkSession, source: str, year: int | None, months: Iterable[int] | None
 ) -> list[tuple[int, int]]:
@@ -103,13 +126,14 @@ def build_silver(
 ) -> DataFrame | None:
     """Bronze to silver for the months asked for; narrow from scan to write.
 
-    Every such month that bronze holds is replaced, also where no trip of it is clean. Returns the validation report where ``quality`` is given.
+    Every such month that bronze holds is replaced, also where no trip of it is clean, and with them the months of
+    a rebuild that died before it had replaced all of its own. Returns the validation report where ``quality`` is given.
     """
-    months = list(months or ())
-    held = _months_held(spark, lake.layer("bronze"), year, months)
+    held = _months_held(spark, lake.layer("bronze"), year, list(months or ()))
+    held = sorted({*held, *_unfinished(spark, lake.layer("silver"), REBUILD)})
     with tuned(spark):
-        silver = silver_frame(spark, lake.layer("bronze"), year, months, limits)
-        return _store(silver, "silver", lake, held, quality, options)
+        bronze = read_layer(spark, lake.layer("bronze"), schema=stored_ddl("bronze")).where(in_months(held))
+        return _store(clean(bronze, limits), "silver", lake, held, quality, options)
 
 
 def gold_frame(
@@ -135,11 +159,17 @@ def build_gold(
     options: WriteOptions = WriteOptions(),
     bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame | None:
-    """Silver to gold for the months asked for; the counts are per month unless scoped otherwise."""
-    months = list(months or ())
-    held = _months_held(spark, lake.layer("silver"), year, months)
+    """Silver to gold for the months asked for; the counts are per month unless scoped otherwise.
+
+    Months of a rebuild that died are replaced with them, as in :func:`build_silver`. That stored marts lack what is
+    new in these months is noted before they change.
+    """
+    held = _months_held(spark, lake.layer("silver"), year, list(months or ()))
+    held = sorted({*held, *_unfinished(spark, lake.layer("gold"), REBUILD)})
     with tuned(spark):
-        gold = gold_frame(spark, lake.layer("silver"), year, months, groups, scope, bounds)
+        silver = read_layer(spark, lake.layer("silver"), schema=stored_ddl("silver")).where(in_months(held))
+        gold = add_features(silver, groups, scope, bounds)
+        journal.begin(spark, lake.layer("gold"), MARTS, held)
         return _store(gold, "gold", lake, held, quality, options)
 
 
@@ -257,6 +287,43 @@ def export_marts(
     }
 
 
+def _marts_path(lake: Lake, name: str) -> str:
+    return f"{lake.root.rstrip('/')}/marts-{name}"
+
+
+def refresh_marts(spark: SparkSession, lake: Lake, recent: int = 1000) -> list[tuple[int, int]]:
+    """Bring the stored parts of the marts up to date with gold; returns the months that were computed.
+
+    The parts are sums and counts per day, hour and zone, and the newest trips, of each month. Only months that
+    :func:`build_gold` has replaced since are read; all of them where nothing is stored yet.
+    """
+    gold_root, grain_root, recent_root = lake.layer("gold"), _marts_path(lake, "grain"), _marts_path(lake, f"recent-{recent}")
+    entries = journal.unfinished(spark, gold_root, MARTS)
+    months = sorted({month for entry in entries for month in entry.months})
+    if not (layer_exists(spark, grain_root) and layer_exists(spark, recent_root)):
+        months = sorted((row.year, row.month) for row in months_present(spark, gold_root).dropna().collect())
+    if months:
+        changed = read_layer(spark, gold_root, schema=stored_ddl("gold")).where(in_months(months))
+        write_layer(marts.trip_grain(changed, MONTH_KEYS), grain_root, rebalance=True, replaces=months)
+        write_layer(marts.recent_by_month(changed, recent), recent_root, rebalance=True, replaces=months)
+    for entry in entries:
+        journal.end(spark, gold_root, entry.name, MARTS)
+    return months
+
+
+def export_stored_marts(
+    spark: SparkSession, lake: Lake, target: str, recent: int = 1000, properties: dict[str, str] | None = None
+) -> dict[str, str]:
+    """:func:`export_marts` from the stored parts, after a refresh of those that gold has left behind."""
+    refresh_marts(spark, lake, recent)
+    grain = checkpointed(read_layer(spark, _marts_path(lake, "grain")))
+    if grain.isEmpty():
+        return {}
+    newest = marts.recent_trips(read_layer(spark, _marts_path(lake, f"recent-{recent}")), recent)
+    frames = {**marts.marts_from_grain(grain), "recent": newest}
+    return {name: write_mart(frame, marts.MART_TABLES[name], target, properties) for name, frame in frames.items()}
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run of the stages should do.
@@ -302,8 +369,7 @@ def run_stages(spark: SparkSession, run: Run) -> DataFrame:
         return " ".join(build_layers(spark, lake, run.year, run.months))
 
     def export() -> str:
-        gold = read_layer(spark, lake.layer("gold"))
-        return " ".join(export_marts(gold, run.mart_target).values())
+        return " ".join(export_stored_marts(spark, lake, run.mart_target).values())
 
     steps: list[tuple[str, Callable[[], str]]] = []
     if run.ingest:

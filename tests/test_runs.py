@@ -1,3 +1,5 @@
+import re
+import time
 from datetime import datetime
 
 import pytest
@@ -5,9 +7,13 @@ from pyspark.sql import functions as F
 
 from meterline.operators import entity as e
 from meterline.operators import partitions as p
+from meterline.operators import marts
+from meterline.plans import stages
 from meterline.plans import stages as s
-from meterline.settings import JoinBounds, QualityLimits
-from meterline.sources.layers import land_bronze, read_layer, write_layer
+from meterline.plans.stages import Lake
+from meterline.settings import CleaningLimits, JoinBounds, QualityLimits
+from meterline.sources import layers
+from meterline.sources.layers import land_bronze, months_present, read_layer, write_layer
 from meterline.sources.trips import trips_view, with_months
 from meterline.suite.frames import gold
 
@@ -297,3 +303,81 @@ def test_prepared_ids_are_stable(spark, sf_dir):
 def test_feature_view_types(spark):
     assert len(e.FEATURES) == 15
     assert sum(kind == "float" for _, kind in e.FEATURES) == 11
+
+
+class Stopped(Exception):
+    """The driver is gone."""
+
+
+def test_a_rebuild_that_dies_before_it_empties_a_month_is_finished(spark, sf_dir, monkeypatch, tmp_path):
+    """It stops between the overwrite and the emptying; the next rebuild, of another month, does the rest."""
+    lake = Lake(str(tmp_path / "lake"))
+    land_bronze(spark, trips_view(spark, sf_dir).where("year(tpep_pickup_datetime) = 1998"), lake.layer("bronze"))
+    stages.build_silver(spark, lake)
+    held = {row.month for row in months_present(spark, lake.layer("silver")).collect()}
+    assert {1, 2, 3} <= held
+    real = layers._files_by_month
+
+    def die_after_writing(spark, root, months, calls=[]):  # noqa: B006
+        calls.append(months)
+        if len(calls) == 2:
+            raise Stopped
+        return real(spark, root, months)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "_files_by_month", die_after_writing)
+        with pytest.raises(Stopped):
+            stages.build_silver(spark, lake, 1998, [1, 2], CleaningLimits(max_trip_distance=-1.0))
+    assert not read_layer(spark, lake.layer("silver"), 1998, [1]).isEmpty()
+    before = read_layer(spark, lake.layer("silver"), 1998, [4]).count()
+    stages.build_silver(spark, lake, 1998, [3], CleaningLimits(max_trip_distance=-1.0))
+    for month in (1, 2, 3):
+        assert read_layer(spark, lake.layer("silver"), 1998, [month]).isEmpty()
+    assert read_layer(spark, lake.layer("silver"), 1998, [4]).count() == before
+    assert stages._unfinished(spark, lake.layer("silver"), stages.REBUILD) == set()
+
+
+def test_stored_marts_read_only_months_rebuilt(spark, sf_dir, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"))
+    land_bronze(spark, trips_view(spark, sf_dir).where("year(tpep_pickup_datetime) = 1998"), lake.layer("bronze"))
+    stages.build_layers(spark, lake)
+    first = stages.refresh_marts(spark, lake, 50)
+    assert {month for _, month in first} == set(range(1, 13)) and stages.refresh_marts(spark, lake, 50) == []
+    stages.build_silver(spark, lake, 1998, [5], CleaningLimits(max_trip_distance=3.0))
+    stages.build_gold(spark, lake, 1998, [5])
+    plans, write = [], stages.write_layer
+    monkeypatch.setattr(stages, "write_layer", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a, **k))
+    target = str(tmp_path / "marts")
+    stages.export_stored_marts(spark, lake, target, 50)
+    assert len(plans) == 2
+    for text in plans:
+        scan = next(line for line in text.splitlines() if "FileScan" in line)
+        assert re.search(r"PartitionFilters: \[[^]]*year#?\d* = 1998[^]]*month#?\d* = 5", scan)
+    gold = read_layer(spark, lake.layer("gold"))
+    whole = {**marts.marts_from_grain(marts.trip_grain(gold)), "recent": marts.recent_trips(gold, 50)}
+    for name, expected in whole.items():
+        found = spark.read.parquet(f"{target}/{marts.MART_TABLES[name]}")
+        columns = [F.col(c).cast("float").alias(c) if t == "double" else F.col(c) for c, t in expected.dtypes]
+        assert found.select(*columns).exceptAll(expected.select(*columns)).isEmpty() and found.count() == expected.count()
+
+
+def test_no_more_values_are_drawn_than_slots(spark, tmp_path, monkeypatch):
+    drawn, done, ahead, pools = [], [], [], set()
+
+    def values(df, column):
+        for value in range(12):
+            drawn.append(value)
+            ahead.append(len(drawn) - len(done))
+            yield value
+
+    def work(df, column, value, transform, path, *rest):
+        pools.add(df.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        time.sleep(0.05)
+        done.append(value)
+        return p._log_row(value, path)
+
+    monkeypatch.setattr(p, "partition_values", values)
+    monkeypatch.setattr(p, "process_partition", work)
+    log = p.process_in_batches(spark.range(12).withColumnRenamed("id", "k"), "k", lambda df: df, str(tmp_path), at_once=3)
+    assert [row.partition_value for row in log.collect()] == [str(n) for n in range(12)] and sorted(done) == list(range(12))
+    assert max(ahead) <= 4 and pools == {"partitions-0", "partitions-1", "partitions-2"}
