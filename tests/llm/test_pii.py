@@ -76,3 +76,13 @@ def test_odd_rows(odd_documents, no_documents):
     assert found.count() == odd_documents.count()
     assert found.where("doc_id = 2").first().spans == []
     assert pii.detect(no_documents).count() == 0
+
+
+def test_accounts_end_where_their_country_says():
+    """What follows is not part of them, and a number that fails keeps none from being found behind it."""
+    text = "GB82 WEST 1234 5698 7654 32 BIC MIDLGB22 und DE89370400440532013000, GB83 WEST 1234 5698 7654 32 FR1420041010050500013M02606X"
+    found = [text[a:b] for a, b in pii.accounts(text)]
+    assert found == ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    assert list(pii.accounts("AB12 CDEF 1234 " * 3)) == []
+    one = "x NO9386011117947 BE68 5390 0754 7034 end"
+    assert [one[a:b] for a, b in pii.accounts(one)] == ["NO9386011117947", "BE68 5390 0754 7034"]
