@@ -19,6 +19,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.operators.lookup import attach_rows
+from meterline.settings import JoinBounds
 from meterline.sources.scratch import stored
 
 WHITE = " \t\n\x0b\f\r"
@@ -71,13 +73,14 @@ def group_equal(
     df: DataFrame,
     salts: int = 64,
     digest: Callable[[Column], Column] = sha256,
+    bounds: JoinBounds = JoinBounds(),
 ) -> DataFrame:
     """For each row of ``df`` (doc_id, text) the row that stays of those with an equal text.
 
     Texts are equal when they agree after ASCII white space is deleted; null is the empty text, so all
     null, empty and blank texts are one group. The row with the most code points stays, of those the
     smallest id; a null id comes last. Rows that repeat the winner's id and length are all marked kept.
-    An empty table gives no rows; columns other than doc_id and text are not read.
+    An empty table gives no rows; columns other than doc_id and text are not read. Texts are compared whole, of any length.
 
     Returns doc_id, keep_id, group_size, kept, digest.
     """
@@ -91,13 +94,12 @@ def group_equal(
     winners = stored(merged.select("digest", "rank", "size"), "texts")
     shared = winners.groupBy("digest").count().where("count > 1").select("digest")
     slim = rows.select("doc_id", "length", "digest")
-    if shared.isEmpty():
-        found = slim.join(winners, "digest")
-    else:
+    alone = winners if shared.isEmpty() else winners.join(shared, "digest", "left_anti")
+    # digests of large groups are split off by their size, so that no task gets all rows of one
+    found = attach_rows(slim, alone, ["digest"], alone.select("digest", F.col("size").alias("times")), bounds)
+    if alone is not winners:
         apart = merged.join(shared, "digest", "left_semi")
-        found = slim.join(winners.join(shared, "digest", "left_anti"), "digest").unionByName(
-            rows.join(apart, ["digest", "content"]).drop("content")
-        )
+        found = found.where("rank IS NOT NULL").unionByName(rows.join(apart, ["digest", "content"]).drop("content"))
     return found.select(
         "doc_id",
         _ranked_id(F.col("rank")).alias("keep_id"),

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from meterline.llm import exact
+from meterline.settings import JoinBounds
 
 
 def groups(df, **more):
@@ -45,3 +46,18 @@ def test_one_text_with_a_third_of_the_rows(spark):
     df = spark.range(0, 3000, 1, 12).selectExpr("id AS doc_id", "CASE id % 3 WHEN 0 THEN 'hot text' ELSE concat('t', id) END AS text")
     row = exact.group_equal(df, salts=4).where("doc_id = 999").first()
     assert (row.keep_id, row.group_size, row.kept) == (0, 1000, False)
+
+
+def test_a_group_with_most_rows_is_spread(spark):
+    """Without any adaptive setting, the tasks of the last join are about even."""
+    docs = spark.range(0, 40_000, 1, 8).selectExpr("id AS doc_id", "IF(id % 3 = 0, concat('text ', id), 'one text') AS text")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exact.group_equal(docs, bounds=JoinBounds(hot_keys=100))
+        sizes = sorted(row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 40_000 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+        assert found.where("group_size > 1").agg(F.min("keep_id"), F.max("keep_id"), F.count("*")).first()[:] == (1, 1, 26_666)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
