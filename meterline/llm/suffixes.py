@@ -194,7 +194,7 @@ def _same_text(left: DataFrame, right: DataFrame):
 
 
 def _by_text(rows: DataFrame, *columns: str) -> DataFrame:
-    """Rows of a text gathered; there are no more than the text has bytes."""
+    """Rows of a text gathered. Rows equal in id and text are one text here, so callers pass each place once."""
     return rows.groupBy(F.col("doc_id").alias("other_id"), F.col("text_key").alias("other_key")).agg(
         *[F.collect_list(column).alias(column) for column in columns]
     )
@@ -399,9 +399,11 @@ def cut(df: DataFrame) -> DataFrame:
     kept. An empty table gives no rows; other columns are not read. What is left need not be UTF-8.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    lists = _by_text(repeated_spans(docs), "start", "end")
+    # repeated rows have the same spans: a set holds each once, no more than the text has bytes
+    lists = repeated_spans(docs).groupBy(F.col("doc_id").alias("other_id"), F.col("text_key").alias("other_key"))
+    lists = lists.agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     texts = packed(docs)
-    both = texts.join(lists, _same_text(texts, lists), "left").select("doc_id", "packed", "start", "end")
+    both = texts.join(lists, _same_text(texts, lists), "left").select("doc_id", "packed", "spans.start", "spans.end")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []

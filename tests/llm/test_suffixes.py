@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from meterline.llm import suffixes
+from tests.llm.conftest import prose
 
 
 def by_force(texts, length):
@@ -94,3 +95,18 @@ def test_odd_rows(odd_documents, no_documents):
     assert {row.n_bytes for row in found if row.doc_id in (2, 3)} == {0}
     assert [row.n_removed for row in found if row.doc_id in (5, None)] == [0, 0, 0]
     assert suffixes.cut(no_documents).count() == 0
+
+
+def test_repeated_rows_keep_the_list_of_one(spark, monkeypatch):
+    """500 rows of one text gather as many spans as two."""
+    sizes, text = [], prose(77, 900)
+    merged = suffixes.merged
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(suffixes, "merged", lambda starts, ends: (seen.add(len(starts)), merged(starts, ends))[1])
+    for rows in (2, 500):
+        df = spark.createDataFrame([(1, text)] * rows, "doc_id long, text string").repartition(8)
+        before = seen.value
+        found = suffixes.cut(df).collect()
+        assert len(found) == rows and all(row.n_removed == row.n_bytes and row.n_spans == 1 for row in found)
+        sizes.append((seen.value - before) // rows)
+    assert sizes[0] == sizes[1]
