@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all rows of the one before and returns the columns of
 ``documents``; the last adds shard and slot. Stages are written as Parquet and read again, so each has a
 short lineage and a lost executor costs its own tasks only.
+
+All stages read null texts as empty ones, keep null ids and further columns as they are, take texts of any length
+whole, and give an empty table for an empty one. Where a stage says nothing else, rows that repeat each other fare alike.
 """
 
 from __future__ import annotations
@@ -19,25 +22,28 @@ from meterline.sources.scratch import stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality scorer rejects go."""
+    """Documents the quality scorer rejects go, and with them null, empty and blank texts."""
     bound_batches(spark)
     return of_quality(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays: the row of the least id, one of those that repeat it."""
     bound_batches(spark)
     return without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; empty texts and those without words hold none."""
     bound_batches(spark)
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks for, from not at all to three times."""
+    """Each document as often as its source's target asks for, from not at all to three times.
+
+    A null source is a source of its own; rows that tie in id and text are taken equally often.
+    """
     return mix(docs)
 
 

@@ -265,16 +265,71 @@ def null_tier_checks(
     return out
 
 
-def iqr_outliers(
-    df: DataFrame, columns: Sequence[str], limits: QualityLimits = QualityLimits(), accuracy: int = 10000
-) -> list[Check]:
+#: buckets of a histogram that looks for a quantile, and rows of a bucket whose values are counted one by one
+HISTOGRAM, FEW = 4096, 10_000
+
+
+@dataclass
+class _Sought:
+    """A quantile: the row that is number ``rank`` of ``rows`` between ``low`` and ``high``."""
+
+    column: str
+    rank: int
+    rows: int
+    low: float
+    high: float
+
+    def bucket(self) -> Column:
+        """Number of the histogram's bucket a value is in; halves keep the difference finite."""
+        x, low, width = F.col(self.column).cast("double") / 2, self.low / 2, self.high / 2 - self.low / 2
+        if not width:
+            return F.col(self.column)
+        return F.least(F.floor((x - F.lit(low)) / F.lit(width) * HISTOGRAM), F.lit(HISTOGRAM - 1))
+
+    def inside(self) -> Column:
+        return F.col(self.column).cast("double").between(self.low, self.high)
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float] | None]:
+    """For each column the least values at or below which the ``shares`` of its values lie, nulls and NaN left out.
+
+    No sketch and no sort: a histogram between the least and the greatest value tells in which bucket the wanted
+    row is, the next one divides that bucket, and so on, until it holds one value or few rows, whose distinct
+    values are then counted. Every pass serves all columns, and a bucket is a row however many values are in it.
+    None stands for a column without values.
+    """
+    measured = [F.when(~F.isnan(F.col(name).cast("double")), F.col(name).cast("double")) for name in columns]
+    row = df.agg(*[f(x) for x in measured for f in (F.count, F.min, F.max)]).first()
+    ends = {name: row[3 * n : 3 * n + 3] for n, name in enumerate(columns)}
+    sought = {
+        (name, share): _Sought(name, max(1, math.ceil(share * n)), n, low, high)
+        for name, (n, low, high) in ends.items() if n for share in shares
+    }
+    while todo := [s for s in sought.values() if s.low < s.high]:
+        coarse = [s.rows > FEW for s in todo]
+        key = [s.bucket() if large else F.col(s.column).cast("double") for s, large in zip(todo, coarse)]
+        rows = F.array(*[
+            F.when(s.inside(), F.struct(F.lit(n).alias("n"), k.cast("double").alias("key"), F.col(s.column).cast("double").alias("x")))
+            for n, (s, k) in enumerate(zip(todo, key))
+        ])
+        found = df.select(F.explode(F.array_compact(rows)).alias("row")).select("row.*")
+        counted = found.groupBy("n", "key").agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        held = counted.orderBy("n", "key").collect()
+        for n, s in enumerate(todo):
+            for part in (part for part in held if part.n == n):
+                if part.rows >= s.rank:
+                    s.rows, s.low, s.high = part.rows, part.low, part.high
+                    break
+                s.rank -= part.rows
+    return {name: [sought[name, share].low for share in shares] if n else None for name, (n, _, _) in ends.items()}
+
+
+def iqr_outliers(df: DataFrame, columns: Sequence[str], limits: QualityLimits = QualityLimits()) -> list[Check]:
     """Values beyond the quartiles by a multiple of their distance.
 
-    Reads the quartiles first, as bounded-size sketches; only two numbers per column come back.
+    Reads the quartiles first, exactly; only two numbers per column come back.
     """
-    quartiles = df.agg(
-        *[F.percentile_approx(name, F.lit([0.25, 0.75]), F.lit(accuracy)).alias(name) for name in columns]
-    ).first()
+    quartiles = exact_quantiles(df, columns, (0.25, 0.75))
     out = []
     for name in columns:
         if quartiles[name] is None:

@@ -569,11 +569,31 @@ IQR_FAR = (
     ),
 )
 def v20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of few values, where a quartile sketch gives the quartile itself."""
+    """Columns of few values."""
     trips = silver(spark, sf_dir)
     return q.run_checks(trips, q.iqr_outliers(trips, OUTLIER_COLUMNS), "silver")
 
 
+CONTINUOUS_COLUMNS = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+
+
+@entry(
+    "v20_iqr_continuous",
+    o.over_silver(
+        union(
+            [
+                sql_row(f"(SELECT *, {IQR_FAR.format(c=name)} AS far FROM silver)", "iqr_outliers", name, counting("far"), scope="silver")
+                for name in CONTINUOUS_COLUMNS
+            ]
+        )
+    ),
+)
+def v20_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in which nearly every value is another."""
+    trips = silver(spark, sf_dir)
+    return q.run_checks(trips, q.iqr_outliers(trips, CONTINUOUS_COLUMNS), "silver")
+
+
 Z_CONDITION = "abs({c} - (SELECT avg({c}) FROM bronze)) > 3 * (SELECT stddev_samp({c}) FROM bronze)"
 
 

@@ -1,3 +1,5 @@
+import math
+import random
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,3 +201,24 @@ def test_iqr_against_brute_force(spark, sf_dir):
     assert metrics(q.run_checks(df, q.iqr_outliers(df, ["fare_amount"]), "x")) == {
         ("iqr_outliers", "fare_amount"): expected
     }
+
+
+@pytest.mark.parametrize("few", [5, 10_000])
+def test_quantiles_are_exact(spark, monkeypatch, few):
+    """Of values of all magnitudes, with ties, nulls, NaN and infinities."""
+    monkeypatch.setattr(q, "FEW", few)
+    monkeypatch.setattr(q, "HISTOGRAM", 16)
+    draw = random.Random(few)
+    columns = {
+        "wide": [draw.choice([-1, 1]) * 10 ** draw.uniform(-300, 300) for _ in range(700)],
+        "ties": [draw.choice([1.0, 2.0, 2.0, 2.0, 7.5, None]) for _ in range(700)],
+        "close": [1.0 + draw.randrange(40) * 2.0**-52 for _ in range(700)],
+        "ends": [draw.choice([1.7e308, -1.7e308, 5e-324, 0.0, -5e-324, float("nan"), 3.0]) for _ in range(700)],
+        "none": [None] * 700,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{name} double" for name in columns)).repartition(6)
+    shares = (0.0, 0.25, 0.5, 0.75, 0.999, 1.0)
+    found = q.exact_quantiles(df, list(columns), shares)
+    for name, values in columns.items():
+        held = sorted(v for v in values if v is not None and v == v)
+        assert found[name] == ([held[max(1, math.ceil(s * len(held))) - 1] for s in shares] if held else None)
