@@ -83,7 +83,7 @@ def thresholds(slim: DataFrame, plan: DataFrame) -> DataFrame:
     """``plan`` (source_key, budget, ...) with the place below which documents are taken.
 
     A document is taken while half of it at least lies within the budget, so the words taken differ
-    from the budget by half of one document at most.
+    from the budget by half of what stands at the threshold: one document, or all rows that tie in id and text.
     """
     found = plan.withColumns({"below": F.lit(0).cast("long"), "threshold": F.lit(0).cast("long")})
     for level in range(DIGITS):
