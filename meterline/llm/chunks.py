@@ -63,8 +63,14 @@ class Remembered:
     """For chunks, rows of tables that ``encode`` has filled: it gets new chunks and returns, for each table,
     all their values and how many are of each chunk."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[tuple[np.ndarray, np.ndarray]]], tables: int, kind=np.int32):
-        self.encode, self.count, self.kind = encode, tables, kind
+    def __init__(
+        self,
+        encode: Callable[[list[bytes]], Sequence[tuple[np.ndarray, np.ndarray]]],
+        tables: int,
+        kind=np.int32,
+        most: int | None = None,
+    ):
+        self.encode, self.count, self.kind, self.most = encode, tables, kind, most
         self.forget()
 
     def forget(self) -> None:
@@ -74,7 +80,7 @@ class Remembered:
     def rows(self, chunks: pa.BinaryArray) -> np.ndarray:
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > (self.most or REMEMBERED):
             self.forget()
         fresh = [chunk for chunk in distinct if chunk not in self.known]
         if fresh:

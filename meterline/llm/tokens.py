@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.batches import bound_batches, lists, over_batches, worker_memory
+from meterline.llm.chunks import Remembered, blocks, tiles
 from meterline.sources.scratch import scratch_path, stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -26,8 +27,6 @@ END_ID = 2
 INDEX_ROWS = 1000
 STRIPE_BYTES = 64 * 1024 * 1024
 ROWS_PER_FILE = 1_000_000
-#: ids of distinct chunks a worker remembers before it starts anew
-REMEMBERED = 1_000_000
 
 ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
@@ -39,13 +38,35 @@ ORC_OPTIONS = {
 #: a special token of the vocabulary, put between chunks that are encoded in one call
 PARTING = "<|startoftext|>"
 CHUNKS_PER_CALL = 200
+#: bytes of text that are put together from chunks at once
+TOGETHER = 4 << 20
+#: ids of distinct chunks a worker remembers before it starts anew
+REMEMBERED = 1_000_000
+_WHITE, _DIGIT, _LETTER = (np.isin(np.arange(256), list(some)) for some in (b"\t\n\r ", b"0123456789", b"abcdefghijklmnopqrstuvwxyz"))
+#: ASCII characters that end a run of letters: all but the apostrophe, which letters may follow in one piece
+_MARK = np.isin(np.arange(256), list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')) | _DIGIT
+_ONE_SPACE = bytes(32 if byte in b"\t\n\r" else byte for byte in range(256))
+SPECIAL = b"<|"
+
+
+def chunk_starts(data: np.ndarray, begins: np.ndarray, special: bool = False) -> np.ndarray:
+    """Where chunks start in lower-case texts that follow each other: at each text's own start, at white space, at a
+    mark or digit right behind an ASCII letter, which ends the run of letters that is encoded by itself, and behind
+    each digit, which is a piece of its own. Where a special token may be spelt, at white space only."""
+    starting = _WHITE[data]
+    if not special:
+        starting[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]] | _DIGIT[data[:-1]]
+    starting[begins] = True
+    return np.flatnonzero(starting)
 
 
 class ChunkEncoder:
     """Ids of whole texts by a vocabulary that drops white space.
 
-    A piece of such a vocabulary never spans a space, tab or line end, so the ids of a text are those of
-    its chunks between them, one after the other. Chunks recur, so most are encoded once per worker.
+    A piece of such a vocabulary never spans a space, tab or line end, nor a letter and a mark behind it, so the
+    ids of a text are those of its chunks between them, one after the other. It knows no upper case, so ASCII
+    letters are lowered first, unless a special token may be spelt. Chunks recur, so most are encoded once per
+    worker, and ids are gathered for whole blocks of text.
     """
 
     def __init__(self, vocabulary: str):
@@ -54,33 +75,42 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.parting_id = self.tokenizer.token_to_id(PARTING)
-        self.known: dict[str, bytes] = {}
+        self.remembered = Remembered(self._encode, 1, most=REMEMBERED)
+
+    def _encode(self, chunks: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        ids = list(self._encode_chunks([chunk.decode().strip(" \t\n\r") for chunk in chunks]))
+        return [(np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(own) for own in ids], np.int64))]
 
-    def _encode_chunks(self, chunks: Sequence[str]) -> Iterator[bytes]:
+    def _encode_chunks(self, chunks: Sequence[str]) -> Iterator[np.ndarray]:
         """Ids of each chunk. Many are encoded in one call, parted by a special token."""
         for start in range(0, len(chunks), CHUNKS_PER_CALL):
             call = chunks[start : start + CHUNKS_PER_CALL]
-            ids = np.array(self.tokenizer.encode(PARTING.join(call), add_special_tokens=False).ids, dtype="<i4")
+            ids = np.array(self.tokenizer.encode(PARTING.join(call), add_special_tokens=False).ids, dtype=np.int32)
             ends = np.flatnonzero(ids == self.parting_id)
             if len(ends) != len(call) - 1:  # a chunk spells the special token
                 yield from (self._ids(chunk) for chunk in call)
                 continue
-            data = ids.tobytes()
-            for a, b in zip(4 * np.append(0, ends + 1), 4 * np.append(ends, len(ids))):
-                yield data[a:b]
-
-    def _ids(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<i4").tobytes()
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        chunked = [text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for text in texts]
-        fresh = list({chunk for chunks in chunked for chunk in chunks if chunk not in self.known})
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-            fresh = list({chunk for chunks in chunked for chunk in chunks})
-        self.known.update(zip(fresh, self._encode_chunks(fresh)))
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in chunked]
+            yield from (ids[a:b] for a, b in zip(np.append(0, ends + 1), np.append(ends, len(ids))))
+
+    def _ids(self, chunk: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=np.int32)
+
+    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many are of each."""
+        raw = [text.encode() for text in texts]
+        flat, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for first, last in blocks([len(text) for text in raw], TOGETHER):
+            data = b"".join(raw[first:last])
+            data = data if SPECIAL in data else data.lower().translate(_ONE_SPACE)
+            sizes = np.array([len(text) for text in raw[first:last]], np.int64)
+            begins = np.cumsum(sizes) - sizes
+            starts = chunk_starts(np.frombuffer(data, np.uint8), begins[sizes > 0], SPECIAL in data)
+            rows = self.remembered.rows(tiles(data, starts))
+            ids, lengths = self.remembered.tables[0].take(rows)
+            ends = np.concatenate(([0], np.cumsum(lengths)))
+            flat.append(ids)
+            counts.append(np.diff(ends[np.searchsorted(starts, np.append(begins, len(data)))]))
+        return np.concatenate(flat), np.concatenate(counts)
 
 
 def encoder(vocabulary: str) -> ChunkEncoder:
@@ -93,12 +123,11 @@ def encoder(vocabulary: str) -> ChunkEncoder:
 
 def encode_documents(df: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, text) to (doc_id, ids); rows keep their partition and order. Null counts as empty."""
-    end = np.array([end_id], dtype="<i4").tobytes()
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = encoder(vocabulary).encode([text or "" for text in batch["text"].to_pylist()])
-        offsets = np.concatenate(([0], np.cumsum([len(row) // 4 + 1 for row in rows])))
-        ids = lists(np.frombuffer(b"".join([part for row in rows for part in (row, end)]), "<i4"), offsets, pa.int32())
+        flat, counts = encoder(vocabulary).encode([text or "" for text in batch["text"].to_pylist()])
+        offsets = np.concatenate(([0], np.cumsum(counts + 1)))
+        ids = lists(np.insert(flat, np.cumsum(counts), end_id), offsets, pa.int32())
         return pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
 
     return over_batches(df.select("doc_id", "text"), encode, "doc_id long, ids array<int>")
