@@ -15,7 +15,8 @@ broadcast; each block is held against all documents in two passes.
 
 The score is that of the best local alignment of words over that of a whole, unchanged copy: 1 for a
 copy, less 1.5 words for a changed word. A quarter of changed words, spread evenly, still reaches
-``LEAKED``. Items are matched from ``LEAST_MATCHED`` common words on, so shorter items match nothing.
+``LEAKED``. Items are matched from ``LEAST_MATCHED`` common words on. An item that has fewer is matched as a
+whole only: a copy holds all its words, one after the other.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.batches import bound_batches, over_batches
-from meterline.llm.shingles import hashed, words
+from meterline.llm.shingles import hashed_texts
 from meterline.sources.scratch import stored
 
 BLOCK_WORDS = 1_000_000
@@ -148,7 +149,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """Items with a number of their own and their word hashes; items without words are of no use."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, offsets = hashed([words(text) for text in batch["text"].to_pylist()])
+        flat, offsets = hashed_texts(batch["text"].to_pylist())
         packed = [flat[a:b].astype("<u8").tobytes() for a, b in zip(offsets, offsets[1:])]
         return pa.RecordBatch.from_arrays([batch["item_id"], pa.array(packed, pa.binary())], ["item_id", "words"])
 
@@ -164,11 +165,11 @@ def word_frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        value, offsets = hashed([words(text) for text in batch["text"].to_pylist()])
+        value, offsets = hashed_texts(batch["text"].to_pylist())
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         at, which = Lookup(held.value).find(value)
-        pairs = np.unique(np.stack([text[at], which], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-        found, count = np.unique(pairs[:, 1], return_counts=True)
+        pairs = np.unique(text[at] * len(held.value) + which)  # a word once for each text
+        found, count = np.unique(pairs % max(1, len(held.value)), return_counts=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(held.value[found].astype(np.int64)), pa.array(count.astype(np.int64))], ["word", "documents"]
         )
@@ -201,7 +202,7 @@ def candidates(docs: DataFrame, block: Block) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         held_block = Block(*held.value)
-        flat, offsets = hashed([words(text) for text in batch["text"].to_pylist()])
+        flat, offsets = hashed_texts(batch["text"].to_pylist())
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         at, which = Lookup(held_block.word).find(flat)
         times = np.searchsorted(held_block.word, flat[at], side="right") - which
@@ -256,7 +257,7 @@ def aligned(found: DataFrame, block: Block) -> DataFrame:
         ):
             item = item_words[number]
             score, common, a, b = align(item, np.frombuffer(packed, "<u8"))
-            if score >= LEAKED and common >= LEAST_MATCHED:
+            if score >= 1 - ROUNDING or score >= LEAKED and common >= LEAST_MATCHED:
                 keep.append(n)
                 out.append((int(keys[number]), score, common, first + a, first + b))
         kinds = (pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32())

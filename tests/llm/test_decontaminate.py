@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from meterline.llm import decontaminate as d
-from meterline.llm.shingles import hashed, words
+from meterline.llm.shingles import hashed, hashed_texts, words
 from tests.llm.conftest import prose
 
 
@@ -38,15 +38,36 @@ def by_force(texts, items):
     """All documents against all items, whole."""
     out = {}
     for i, item in items.items():
-        flat, _ = hashed([words(item)])
+        flat, _ = hashed_texts([item])
         for n, text in texts.items():
-            found, _ = hashed([words(text)])
+            found, _ = hashed_texts([text])
             score, common, *_ = d.align(flat, found) if len(flat) and len(found) else (0, 0, 0, 0)
-            if score >= d.LEAKED and common >= d.LEAST_MATCHED:
+            if score >= 1 - 1e-9 or score >= d.LEAKED and common >= d.LEAST_MATCHED:
                 out[n, i] = score
     return out
 
 
+def test_words_of_chunks_are_those_of_texts(documents):
+    odd = [None, "", " ", "ΣΑΣ ΣΑΣ. Σ", "a\x1cb\x85c d　e", "İstanbul ǅ ﬁ", "x_1 2-3\n\n4\t5\x0b6", "日本 é̀ ß"]
+    texts = [row.text for row in documents.collect()] + odd
+    flat, edges = hashed_texts(texts)
+    listed = [words(text) for text in texts]
+    assert np.diff(edges).tolist() == [len(ws) for ws in listed]
+    pairs = set(zip(flat.tolist(), [word for ws in listed for word in ws], strict=True))
+    assert len(pairs) == len({h for h, _ in pairs}) == len({word for _, word in pairs})
+
+
+def test_short_items_are_matched_whole(spark):
+    items = {0: "blue green red", 1: "one two three four five six seven", 2: "single", 3: "blue blue green"}
+    texts = {
+        0: "so Blue, GREEN red it is", 1: "blue green and red", 2: "one two three four five six 7 seven", 3: "a single one",
+        4: "x one two three four five six seven y blue blue green", 5: "nothing here",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = d.find_leaks(docs, spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    assert {(row.doc_id, row.item_id) for row in found.collect()} == set(by_force(texts, items)) == {(0, 0), (4, 1), (3, 2), (4, 3)}
+
+
 def changed(text, share, seed):
     draw, ws = random.Random(seed), text.split()
     for k in range(len(ws)):
