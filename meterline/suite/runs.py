@@ -16,7 +16,7 @@ from meterline.operators.marts import DAY_KEYS, HOUR_KEYS, MART_TABLES
 from meterline.plans.stages import Run, parse_months, run_months, run_silver_months, run_stages
 from meterline.settings import JoinBounds, QualityLimits
 from meterline.sources.layers import land_bronze, months_present, read_layer, write_layer
-from meterline.sources.scratch import cut_lineage, scratch_path
+from meterline.sources.scratch import checkpointed, cut_lineage, scratch_path
 from meterline.sources.sinks import write_as
 from meterline.sources.trips import trips_view, with_months
 from meterline.suite import oracle as o
@@ -381,7 +381,8 @@ IN_STEPS = (
 @entry("k04_materialise_increment", o.over_features(newest_sql("entity", IN_STEPS), VIEW))
 def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = e.feature_view(entities(spark, sf_dir))
-    state = e.materialise(view, "1996-06-01 00:00:00", "1997-12-31 00:00:00", PAIR)
+    # a state is stored, not computed anew by each of the joins that read it
+    state = checkpointed(e.materialise(view, "1996-06-01 00:00:00", "1997-12-31 00:00:00", PAIR))
     return e.materialise_increment(state, view, "1999-01-01 00:00:00", "2000-06-30 00:00:00", PAIR)
 
 
