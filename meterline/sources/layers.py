@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from meterline.schema import MONTH_KEYS
-from meterline.settings import WriteOptions
+from meterline.settings import WRITE_SETTINGS, WriteOptions, tuned
 from meterline.sources import journal
 from meterline.sources.trips import conform, lost_in_conforming, with_months
 
@@ -179,15 +179,16 @@ def write_layer(
         df = df.hint("rebalance", *MONTH_KEYS)
     if options.files is not None:
         df = df.coalesce(options.files)
-    (
-        df.write.mode(options.mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", options.compression)
-        .option("parquet.block.size", options.block_bytes)
-        .option("parquet.page.size", options.page_bytes)
-        .partitionBy(*MONTH_KEYS)
-        .parquet(root)
-    )
+    with tuned(spark, WRITE_SETTINGS):
+        (
+            df.write.mode(options.mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", options.compression)
+            .option("parquet.block.size", options.block_bytes)
+            .option("parquet.page.size", options.page_bytes)
+            .partitionBy(*MONTH_KEYS)
+            .parquet(root)
+        )
     # a month whose old files are still there got no row; it becomes empty
     after = _files_by_month(spark, root, [key for key, files in held.items() if files])
     nothing = spark.createDataFrame([], df.drop(*MONTH_KEYS).schema)
@@ -281,8 +282,11 @@ def _land(
     own = _landed_notes(spark, root).where(F.col("landing") == name).select("source", *MONTH_KEYS, "rows")
     months = [(row.year, row.month) for row in own.select(*MONTH_KEYS).distinct().collect()]
     journal.begin(spark, root, LAND, months, name=name)
-    written = trips if written is None else written
-    write_layer(written.drop("source").withColumn(LANDING, F.lit(name)), root, WriteOptions(mode="append"), rebalance=rebalance)
+    written = (trips if written is None else written).drop("source")
+    if rebalance:
+        # the landing's name is added behind the shuffle
+        written = written.hint("rebalance", *MONTH_KEYS)
+    write_layer(written.withColumn(LANDING, F.lit(name)), root, WriteOptions(mode="append"))
     journal.end(spark, root, name, LAND)
     return own
 

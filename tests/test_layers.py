@@ -1,9 +1,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from meterline.operators.clean import clean
+from meterline.operators.partitions import process_partitioned
 from meterline.settings import WriteOptions
 from meterline.sources import layers, scratch, sinks, tables
 from meterline.sources.trips import with_months
@@ -49,6 +51,37 @@ def test_layer_write_options(spark, tmp_path):
         layers.write_layer(df, root, WriteOptions(mode="error"))
 
 
+@pytest.mark.parametrize("write", ["layer", "landing", "partitioned"])
+def test_partitioned_writes_do_not_sort(spark, tmp_path, monkeypatch, write):
+    """What Spark would do for a write into month folders at the moment a layer is written."""
+    plans = []
+
+    def watched(real):
+        def call(self, *args, **options):
+            if not args[0].endswith(("-landed", "-journal")):
+                plans.append("\n".join(row[0] for row in spark.sql("EXPLAIN INSERT INTO probe SELECT id, id % 9 FROM range(9)").collect()))
+            return real(self, *args, **options)
+
+        return call
+
+    spark.sql(f"CREATE TABLE probe (id long, month long) USING parquet PARTITIONED BY (month) LOCATION '{tmp_path / 'probe'}'")
+    try:
+        for name in ("parquet", "save"):
+            monkeypatch.setattr(DataFrameWriter, name, watched(getattr(DataFrameWriter, name)))
+        df, root = january_and_february(spark), str(tmp_path / "out")
+        if write == "layer":
+            layers.write_layer(with_months(df), root)
+        elif write == "landing":
+            layers.land_bronze(spark, df, root)
+        else:
+            process_partitioned(with_months(df), ["year", "month"], lambda rows: rows, root)
+    finally:
+        spark.sql("DROP TABLE probe")
+    assert plans and "WriteFiles" in plans[-1]
+    assert any("Sort" not in text for text in plans)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_month_selection_prunes_partitions(spark, tmp_path):
     root = str(tmp_path / "silver")
     layers.write_layer(with_months(january_and_february(spark)), root)
