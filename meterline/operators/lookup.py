@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.settings import JoinBounds
+from meterline.sources.scratch import checkpointed
+
+#: keys in a bucket of a packed table, on average
+PACKED = 16
 
 
 def broadcast_if_small(table: DataFrame, rows: int, bounds: JoinBounds = JoinBounds()) -> DataFrame:
@@ -56,6 +62,36 @@ def attach_rows(
     return joined.select(*rows.columns, *[found[name].alias(name) for name in values])
 
 
+def _packed(
+    counts: DataFrame, keys: Sequence[str], value: str, buckets: int, hash_of: Callable[..., Column] = F.xxhash64
+) -> DataFrame | None:
+    """``counts`` as arrays of key hashes and values, a row per bucket; None where two keys share a hash."""
+    held = counts.select(hash_of(*keys).alias("_hash"), value)
+    packed = checkpointed(
+        held.groupBy(F.pmod("_hash", F.lit(buckets)).alias("_bucket"))
+        .agg(F.collect_list(F.struct("_hash", value)).alias("_held"))
+        .select("_bucket", F.col("_held._hash").alias("_hashes"), F.col(f"_held.{value}").alias("_values"))
+    )
+    shared = packed.where(F.size(F.array_distinct("_hashes")) < F.size("_hashes"))
+    return packed if shared.isEmpty() else None
+
+
+def _attach_packed(trips: DataFrame, packed: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
+    """The value of each trip's key from a broadcast of :func:`_packed`.
+
+    Every key of a trip is in the table, which was counted from the trips, and no two keys in it share a hash, so
+    the hash found is that of the key.
+    """
+    whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    place = F.array_position("_hashes", F.col("_hash")).cast("int")
+    return (
+        trips.withColumn("_hash", F.when(whole, F.xxhash64(*keys)))
+        .withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+        .join(F.broadcast(packed), "_bucket", "left")
+        .select(*trips.columns, F.get("_values", place - 1).alias(value))
+    )
+
+
 def attach_counts(
     trips: DataFrame,
     counts: DataFrame,
@@ -69,7 +105,7 @@ def attach_counts(
 
     ``counts`` has one row per key, ``value`` being the number of trips with that key, ``rows``
     its size and ``total`` the sum of ``value``. A small table is broadcast and the trips stay
-    where they are.
+    where they are, and so they do for one that is small when packed (see :func:`_packed`).
 
     A larger table is joined by shuffle without gathering a heavy key in one task: keys above
     ``total / hot_keys`` trips, of which there can be no more than ``hot_keys``, are broadcast;
@@ -80,6 +116,11 @@ def attach_counts(
     counts = counts.select(*keys, value).dropna(subset=keys)
     if rows <= bounds.broadcast_rows:
         return trips.join(F.broadcast(counts), keys, "left")
+    if rows <= bounds.broadcast_rows * bounds.packing:
+        buckets = rows // PACKED + 1
+        packed = _packed(counts, keys, value, buckets)
+        if packed is not None:
+            return _attach_packed(trips, packed, keys, value, buckets)
 
     heavy = F.col(value) > total / bounds.hot_keys
     hot = counts.where(heavy).withColumnRenamed(value, "_hot")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import entity as e
 from meterline.operators import features as f
+from meterline.operators import lookup
 from meterline.operators import marts as m
 from meterline.operators import quality as q
 from meterline.operators.clean import clean
@@ -97,6 +98,26 @@ def test_large_counts_are_joined_by_a_salted_shuffle(spark, layers):
         assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
 
 
+def test_counts_too_many_for_a_plain_broadcast_move_no_trips_either(spark, layers):
+    """More routes than may be broadcast as rows are broadcast packed; NULL zones have no count in both."""
+    silver = layers["silver"].withColumn("PULocationID", F.expr("nullif(PULocationID, '9')"))
+    bounds = JoinBounds(broadcast_rows=1000)
+    assert silver.select("year", "month", "PULocationID", "DOLocationID").distinct().count() > bounds.broadcast_rows
+    with without_automatic_broadcast(spark):
+        packed, plain = f.add_features(silver, bounds=bounds), f.add_features(silver)
+        text = plan(packed)
+        assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 3
+        assert "tip_amount" not in "".join(line for line in text.splitlines() if "hashpartitioning" in line)
+        assert packed.columns == plain.columns
+        assert packed.exceptAll(plain).isEmpty() and plain.exceptAll(packed).isEmpty()
+
+
+def test_keys_that_share_a_hash_are_not_packed(spark):
+    counts = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
+    assert lookup._packed(counts, ["k"], "n", 1, hash_of=lambda *keys: F.lit(7).cast("long")) is None
+    assert lookup._packed(counts, ["k"], "n", 1) is not None
+
+
 def test_one_hot_zone_is_spread(spark, layers):
     """Two thirds of the trips in one zone, or in none: no shuffle partition gets them all."""
     with without_automatic_broadcast(spark):
