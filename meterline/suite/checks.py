@@ -525,7 +525,7 @@ def bronze_schema_sql() -> list[str]:
 )
 def v19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of stored bronze against the bronze rules."""
-    return report(validate_layer(spark, stored_lake(spark, sf_dir), "bronze"))
+    return report(validate_layer(spark, stored_lake(spark, sf_dir, "bronze"), "bronze"))
 
 
 @entry(

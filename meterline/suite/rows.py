@@ -93,7 +93,7 @@ def s01(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def s02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = read_layer(spark, stored_lake(spark, sf_dir).layer("bronze"), YEAR, [1, 2])
+    chosen = read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze"), YEAR, [1, 2])
     return month_counts(chosen, F.sum("passenger_count").alias("passengers"))
 
 

@@ -77,7 +77,7 @@ def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job per year for a transform that counts, then the results of all."""
     base = scratch_path(spark, "years")
     log = p.process_by_value(
-        read_layer(spark, stored_lake(spark, sf_dir).layer("silver")),
+        read_layer(spark, stored_lake(spark, sf_dir, "silver").layer("silver")),
         "year",
         lambda df: df.groupBy("PULocationID").agg(F.count("*").alias("n")),
         base,
@@ -116,7 +116,7 @@ def p03_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p04(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder YYYY/MM per month of each year."""
     base = scratch_path(spark, "monthly")
-    stored = read_layer(spark, stored_lake(spark, sf_dir).layer("bronze"))
+    stored = read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze"))
     log = p.process_by_month(stored, clean, base, row_wise=False)
     paths = [row.output_path for row in log.where("success").collect()]
     return month_counts(spark.read.parquet(*paths))
@@ -128,7 +128,7 @@ def p04(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def p04_row_wise(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "monthly")
-    log = p.process_by_month(read_layer(spark, stored_lake(spark, sf_dir).layer("bronze")), clean, base)
+    log = p.process_by_month(read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze")), clean, base)
     assert log.where("NOT success").isEmpty()
     return month_counts(spark.read.parquet(base))
 
@@ -141,7 +141,7 @@ def month_counts(df: DataFrame) -> DataFrame:
 def p05(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three years at a time."""
     base = scratch_path(spark, "batches")
-    stored = read_layer(spark, stored_lake(spark, sf_dir).layer("bronze"))
+    stored = read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze"))
     log = p.process_in_batches(stored, "year", clean, base, at_once=3)
     paths = [row.output_path for row in log.where("success").collect()]
     return spark.read.parquet(*paths).groupBy("year").agg(F.count("*").alias("trip_count"))
@@ -152,7 +152,7 @@ def p05(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.over_silver("SELECT year, PULocationID, count(*) AS trip_count FROM silver GROUP BY ALL"),
 )
 def p06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = read_layer(spark, stored_lake(spark, sf_dir).layer("silver"))
+    stored = read_layer(spark, stored_lake(spark, sf_dir, "silver").layer("silver"))
     result = None
     for _, part in p.iterate_values(
         stored, "year", lambda df: df.groupBy("year", "PULocationID").agg(F.count("*").alias("trip_count"))
@@ -207,7 +207,7 @@ def p08(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def p08_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month that cannot be built does not hold back the others."""
-    source, lake = stored_lake(spark, sf_dir).layer("bronze"), empty_lake(spark)
+    source, lake = stored_lake(spark, sf_dir, "bronze").layer("bronze"), empty_lake(spark)
 
     def build(year: int, months: list[int]) -> None:
         if 2 in months:
@@ -222,7 +222,7 @@ def p08_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry("p09_repartition", o.over_silver("SELECT year, count(*) AS trip_count FROM silver GROUP BY year"))
 def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
     """To a number of partitions, then to the advised size by year; the rows stay the same."""
-    stored = read_layer(spark, stored_lake(spark, sf_dir).layer("silver"))
+    stored = read_layer(spark, stored_lake(spark, sf_dir, "silver").layer("silver"))
     return p.rebalanced(p.rebalanced(stored, 64), None, "year").groupBy("year").agg(F.count("*").alias("trip_count"))
 
 

@@ -13,9 +13,9 @@ from meterline.plans import stages as s
 from meterline.plans.stages import Lake
 from meterline.settings import CleaningLimits, JoinBounds, QualityLimits
 from meterline.sources import layers
-from meterline.sources.layers import land_bronze, months_present, read_layer, write_layer
+from meterline.sources.layers import land_bronze, layer_exists, months_present, read_layer, write_layer
 from meterline.sources.trips import trips_view, with_months
-from meterline.suite.frames import gold
+from meterline.suite.frames import gold, stored_lake
 
 
 def numbers(spark):
@@ -381,3 +381,12 @@ def test_no_more_values_are_drawn_than_slots(spark, tmp_path, monkeypatch):
     log = p.process_in_batches(spark.range(12).withColumnRenamed("id", "k"), "k", lambda df: df, str(tmp_path), at_once=3)
     assert [row.partition_value for row in log.collect()] == [str(n) for n in range(12)] and sorted(done) == list(range(12))
     assert max(ahead) <= 4 and pools == {"partitions-0", "partitions-1", "partitions-2"}
+
+
+def test_a_stored_lake_holds_no_more_layers_than_asked_for(spark, tmp_path):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(100)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    for layer, held in (("bronze", [True, False, False]), ("silver", [True, True, False]), ("gold", [True, True, True])):
+        lake = stored_lake(spark, str(tmp_path), layer)
+        assert [layer_exists(spark, lake.layer(name)) for name in ("bronze", "silver", "gold")] == held
+    assert read_layer(spark, lake.layer("bronze")).count() == 100
