@@ -12,7 +12,7 @@ from meterline.operators.lookup import broadcast_if_small
 from meterline.plans.reports import busiest_pickups
 from meterline.plans.stages import build_gold, build_layers, build_silver
 from meterline.schema import BRONZE_COLUMNS, GOLD_COLUMNS
-from meterline.settings import CleaningLimits, FeatureGroups, JoinBounds, WriteOptions
+from meterline.settings import WRITE_SETTINGS, CleaningLimits, FeatureGroups, JoinBounds, WriteOptions, tuned
 from meterline.sources import sinks
 from meterline.sources.layers import (
     land_bronze,
@@ -300,7 +300,8 @@ def s13_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, raw = empty_lake(spark).layer("bronze"), scratch_path(spark, "raw")
     trips = trips_view(spark, sf_dir).withColumn("part", F.pmod(F.hash("tpep_pickup_datetime"), F.lit(4)))
     # a task writes its rows of every folder under one file name
-    trips.coalesce(1).write.partitionBy("part").parquet(raw)
+    with tuned(spark, WRITE_SETTINGS):
+        trips.write.partitionBy("part").parquet(raw)
     names = [row.path.rsplit("/", 1)[-1] for row in listed_files(spark, raw, recursive=True).select("path").collect()]
     assert len(names) > len(set(names))
     land_files(spark, raw, root)

@@ -1,6 +1,7 @@
 import re
 import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,8 +15,10 @@ from meterline.plans.stages import Lake
 from meterline.settings import CleaningLimits, JoinBounds, QualityLimits
 from meterline.sources import layers
 from meterline.sources.layers import land_bronze, layer_exists, months_present, read_layer, write_layer
+from meterline.sources.scratch import checkpoint_root
 from meterline.sources.trips import trips_view, with_months
 from meterline.suite.frames import gold, stored_lake
+from meterline.suite.rows import ENTRIES
 
 
 def numbers(spark):
@@ -390,3 +393,14 @@ def test_a_stored_lake_holds_no_more_layers_than_asked_for(spark, tmp_path):
         lake = stored_lake(spark, str(tmp_path), layer)
         assert [layer_exists(spark, lake.layer(name)) for name in ("bronze", "silver", "gold")] == held
     assert read_layer(spark, lake.layer("bronze")).count() == 100
+
+
+def test_files_of_the_same_names_are_written_by_many_tasks(spark, tmp_path):
+    """The raw files of the query come from as many tasks as its input has splits."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1000)
+    lines.repartition(8).write.parquet(str(tmp_path / "lineitem.parquet"))
+    scratch = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(scratch.glob("raw-*"))
+    assert ENTRIES["s13_land_same_names"].run(spark, str(tmp_path)).agg(F.sum("trip_count")).first()[0] == 1000
+    (raw,) = set(scratch.glob("raw-*")) - before
+    assert len({file.name for file in raw.rglob("*.parquet")}) > 1
