@@ -171,14 +171,16 @@ def write_layer(
     ``overwrite`` replaces the months present in ``df``, and those of ``replaces`` also where ``df`` has no
     row of them. Without ``rebalance`` the write is narrow: input that is already laid out by month stays so.
     With it, rows are brought together by month, and adaptive execution splits a month that is larger
-    than the advised size. ``options.files`` lowers the number of writing tasks without a shuffle.
+    than the advised size. ``options.files`` is the most files a month gets: rows are brought together by month and
+    by that many parts of it, so that the size of a task goes with that of a month and not with the whole.
     """
     spark = df.sparkSession
     held = _files_by_month(spark, root, list(replaces))
-    if rebalance:
-        df = df.hint("rebalance", *MONTH_KEYS)
     if options.files is not None:
-        df = df.coalesce(options.files)
+        part = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(options.files))
+        df = df.repartition(*MONTH_KEYS, part)
+    elif rebalance:
+        df = df.hint("rebalance", *MONTH_KEYS)
     with tuned(spark, WRITE_SETTINGS):
         (
             df.write.mode(options.mode)

@@ -51,6 +51,21 @@ def test_layer_write_options(spark, tmp_path):
         layers.write_layer(df, root, WriteOptions(mode="error"))
 
 
+def test_a_month_gets_its_files_from_tasks_of_its_own(spark, tmp_path):
+    """Few files a month do not mean as few tasks for the whole layer."""
+    root, months = str(tmp_path / "silver"), range(1, 13)
+    df = with_months(trips(spark, *[{"tpep_pickup_datetime": datetime(2024, m, d)} for m in months for d in range(1, 11)]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layers.write_layer(df.repartition(8), root, WriteOptions(files=2))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by_month = [[f.name[:10] for f in (tmp_path / "silver" / "year=2024" / f"month={m}").glob("*.parquet")] for m in months]
+    assert all(1 <= len(names) <= 2 for names in by_month)
+    assert len({name for names in by_month for name in names}) > 2
+    assert months_of(layers.read_layer(spark, root)) == {(2024, m): 10 for m in months}
+
+
 @pytest.mark.parametrize("write", ["layer", "landing", "partitioned"])
 def test_partitioned_writes_do_not_sort(spark, tmp_path, monkeypatch, write):
     """What Spark would do for a write into month folders at the moment a layer is written."""
