@@ -7,10 +7,10 @@ tidy frame ``(scope, check, column, metric, threshold, severity, valid)``.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,8 @@ DECIDING = (*SCHEMA_CHECKS, "row_count", "duplicate_rows")
 class Check:
     """One report row: a SQL aggregate, and what it means when it exceeds its threshold.
 
-    Without a threshold the row has a fixed severity.
+    Without a threshold the row has a fixed severity. ``where`` is the condition whose rows the metric counts, or gives
+    as a ``percent`` of all; without one the metric is the number of rows, or a number.
     """
 
     check: str
@@ -41,12 +42,25 @@ class Check:
     threshold: float | None = 0.0
     severity: str = "warning"
     below: bool = False
+    where: str | None = None
+    percent: bool = False
+
+    def of(self, rows: int, counted: dict[str, int]) -> float:
+        """The metric of so many ``rows``, of which ``counted`` meet each condition."""
+        if self.where is None:
+            return float(rows if self.metric == "count(*)" else self.metric)
+        found = counted[self.where]
+        return (found / rows * 100 if rows else 0.0) if self.percent else float(found)
 
 
 def _number_where(condition: str) -> str:
     return f"count_if({condition})"
 
 
+def _counted(check: str, column: str, condition: str) -> Check:
+    return Check(check, column, _number_where(condition), where=condition)
+
+
 def _literal(value) -> str:
     return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else repr(value)
 
@@ -114,12 +128,12 @@ def consistency_checks(columns: Sequence[str], limits: QualityLimits = QualityLi
     if {"tpep_pickup_datetime", "trip_duration_min"} <= set(columns):
         low, high = limits.min_duration_seconds / 60.0, limits.max_duration_hours * 60.0
         outside = f"trip_duration_min < {_double(low)} OR trip_duration_min > {_double(high)}"
-        out.append(Check("duration", "trip_duration_min", _number_where(outside)))
+        out.append(_counted("duration", "trip_duration_min", outside))
     for name in ("hour", "day_of_week"):
         sin, cos = f"sin_{name}", f"cos_{name}"
         if {sin, cos} <= set(columns):
             gap = f"abs({sin} * {sin} + {cos} * {cos} - 1)"
-            out.append(Check("cyclic_identity", name, _number_where(f"{gap} > {_double(limits.cyclic_tolerance)}")))
+            out.append(_counted("cyclic_identity", name, f"{gap} > {_double(limits.cyclic_tolerance)}"))
     return out
 
 
@@ -131,15 +145,15 @@ def business_checks(columns: Sequence[str], limits: QualityLimits = QualityLimit
     out, names = [], set(columns)
     if {"route_id", "PULocationID", "DOLocationID"} <= names:
         differs = "route_id != concat_ws('_', PULocationID, DOLocationID)"
-        out.append(Check("route_id", "route_id", _number_where(differs)))
+        out.append(_counted("route_id", "route_id", differs))
     if {"tip_amount", "fare_amount"} <= names:
         most = f"fare_amount * {_double(limits.max_tip_multiplier)}"
-        out.append(Check("tip", "tip_amount", _number_where(f"tip_amount > {most}")))
+        out.append(_counted("tip", "tip_amount", f"tip_amount > {most}"))
     if {"trip_distance", "trip_duration_min"} <= names:
         speed = "try_divide(trip_distance, trip_duration_min / 60.0D)"
         slow = f"trip_duration_min > 0 AND {speed} < {_double(limits.min_speed_mph)}"
         fast = f"{speed} > {_double(limits.max_speed_mph)}"
-        out.append(Check("speed", "trip_distance", _number_where(f"({slow}) OR {fast}")))
+        out.append(_counted("speed", "trip_distance", f"({slow}) OR {fast}"))
     return out
 
 
@@ -152,7 +166,7 @@ def range_checks(schema: T.StructType, rules: Sequence[ColumnRule]) -> list[Chec
         low, high = rule.valid_range
         is_text = isinstance(schema[rule.name].dataType, T.StringType)
         value = zone_number_sql(rule.name) if is_text else f"`{rule.name}`"
-        out.append(Check("range", rule.name, _number_where(f"{value} < {low!r} OR {value} > {high!r}")))
+        out.append(_counted("range", rule.name, f"{value} < {low!r} OR {value} > {high!r}"))
     return out
 
 
@@ -161,7 +175,7 @@ def allowed_value_checks(columns: Sequence[str], rules: Sequence[ColumnRule]) ->
     for rule in rules:
         if rule.valid_values is not None and rule.name in columns:
             allowed = ", ".join(map(_literal, rule.valid_values))
-            out.append(Check("allowed_values", rule.name, _number_where(f"`{rule.name}` NOT IN ({allowed})")))
+            out.append(_counted("allowed_values", rule.name, f"`{rule.name}` NOT IN ({allowed})"))
     return out
 
 
@@ -179,15 +193,15 @@ def null_checks(
     """Null count (an error where the column must not be null) and null percentage per column."""
     out = []
     for rule in rules:
-        name = rule.name
+        name, null = rule.name, f"`{rule.name}` IS NULL"
         if name not in columns:
             continue
         if rule.nullable:
-            out.append(Check("null_count", name, _nulls(name), None, "ok"))
-            out.append(Check("null_percent", name, _null_percent(name), limits.optional_null_percent))
+            out.append(Check("null_count", name, _nulls(name), None, "ok", where=null))
+            out.append(Check("null_percent", name, _null_percent(name), limits.optional_null_percent, where=null, percent=True))
         else:
-            out.append(Check("null_count", name, _nulls(name), 0.0, "error"))
-            out.append(Check("null_percent", name, _null_percent(name), None, "ok"))
+            out.append(Check("null_count", name, _nulls(name), 0.0, "error", where=null))
+            out.append(Check("null_percent", name, _null_percent(name), None, "ok", where=null, percent=True))
     return out
 
 
@@ -362,40 +376,91 @@ def zscore_outliers(
 # --- duplicates --------------------------------------------------------------------------------
 
 
-def hash_counts(df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64) -> DataFrame:
-    """Rows per 64-bit hash, with the least and greatest of a second, independent hash among them."""
+def hash_counts(
+    df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64, marks: Sequence[Column] = ()
+) -> DataFrame:
+    """Rows per 64-bit hash, with the least and greatest of a second, independent hash among them, and ``marks``."""
     columns = [F.col(f"`{name}`") for name in df.columns]
     # Spark's hashes pass over NULLs, so the second one also takes in where they are
     second = F.xxhash64(F.lit("second"), *[part for column in columns for part in (column.isNull(), column)])
-    hashed = df.select(hash_of(*columns).alias("_hash"), second.alias("_second"))
+    named = [mark.alias(f"_mark{n}") for n, mark in enumerate(marks)]
+    hashed = df.select(hash_of(*columns).alias("_hash"), second.alias("_second"), *named)
     return hashed.groupBy("_hash").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_second").alias("_low"), F.max("_second").alias("_high")
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_second").alias("_low"),
+        F.max("_second").alias("_high"),
+        *[F.min(f"_mark{n}").alias(f"_mark{n}") for n in range(len(marks))],
     )
 
 
-def duplicate_counts(df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64) -> DataFrame:
-    """Exact ``(total_rows, distinct_rows, duplicate_count)`` over whole rows.
+#: conditions in a mark, a 64-bit number whose bits tell which of them a row meets
+MARKED = 63
 
-    Rows are counted by a 64-bit hash, along with the least and greatest of a second, independent one. Where
-    these agree the rows of a hash are equal; where they differ, rows that are not equal share the first
-    hash. Of such hashes there are a few ten thousand among 10^12 rows, so they are broadcast and only
-    their rows compared in full. All else moves 24 bytes a row, after a count per task.
+
+def _marks(conditions: Sequence[str]) -> list[Column]:
+    parts = [conditions[n : n + MARKED] for n in range(0, len(conditions), MARKED)]
+    return [F.expr(_joined([f"if({c}, {1 << bit}L, 0L)" for bit, c in enumerate(part)])) for part in parts]
+
+
+def _joined(bits: Sequence[str]) -> str:
+    """The bits by ``|``, in halves: Spark's analysis of a chain of them goes with the square of its depth or worse."""
+    half = len(bits) // 2
+    return f"({_joined(bits[:half])} | {_joined(bits[half:])})" if half else bits[0]
+
+
+def duplicates_and_conditions(
+    df: DataFrame, conditions: Sequence[str] = (), hash_of: Callable[..., Column] = F.xxhash64
+) -> tuple[int, int, dict[str, int]]:
+    """Number of rows, of rows that repeat another, and of rows that meet each condition, in one pass.
+
+    See :func:`duplicate_counts` for how rows are told apart. Rows that are equal meet the same conditions, so these
+    go with the hash as bits, 8 bytes a row for 63 of them; rows are then counted by them.
     """
+    marks = _marks(conditions)
+    names = [f"_mark{n}" for n in range(len(marks))]
     differ = F.col("_low") != F.col("_high")
+    # of rows that differ and share a hash the marks are not known
+    known = [F.when(~differ, F.col(name)).alias(name) for name in names]
     found = checkpointed(
-        hash_counts(df, hash_of).groupBy(F.when(differ, F.col("_hash")).alias("_hash")).agg(
+        hash_counts(df, hash_of, marks).groupBy(F.when(differ, F.col("_hash")).alias("_hash"), *known).agg(
             F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_more")
         )
     )
     collided = found.where("_hash IS NOT NULL").select("_hash")
-    total = found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    duplicates = found.where("_hash IS NULL").agg(F.coalesce(F.sum("_more"), F.lit(0))).first()[0]
+    parts = [found.where("_hash IS NULL").select(*names, "_n", "_more")]
     if not collided.isEmpty():
         columns = [F.col(f"`{name}`") for name in df.columns]
         hashed = df.withColumn("_hash", hash_of(*columns))
         rows = hashed.join(F.broadcast(collided), "_hash", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-        duplicates += rows.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0]
-    return df.sparkSession.createDataFrame(
+        again = [mark.alias(name) for mark, name in zip(_marks(conditions), names)]
+        parts.append(rows.select(*again, "_n", (F.col("_n") - 1).alias("_more")))
+    total, duplicates, counted = 0, 0, dict.fromkeys(conditions, 0)
+    for part in parts:
+        met = [
+            F.sum(F.when(F.col(names[n // MARKED]).bitwiseAND(F.lit(1 << n % MARKED)) != 0, F.col("_n")))
+            for n in range(len(conditions))
+        ]
+        row = [value or 0 for value in part.agg(F.sum("_n"), F.sum("_more"), *met).first()]
+        total, duplicates = total + row[0], duplicates + row[1]
+        for condition, n in zip(conditions, row[2:]):
+            counted[condition] += n
+    return total, duplicates, counted
+
+
+def duplicate_counts(df: DataFrame, hash_of: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """Exact ``(total_rows, distinct_rows, duplicate_count)`` over whole rows.
+
+    Rows are counted by a 64-bit hash, along with the least and greatest of a second, independent one. Where
+    these agree the rows of a hash are equal; where they differ, rows that are not equal share the first
+    hash. Of such hashes there are a few ten thousand among 10^12 rows, so they are broadcast and only
+    their rows compared in full. All else moves 24 bytes a row, after a count per task.
+    """
+    total, duplicates, _ = duplicates_and_conditions(df, (), hash_of)
+    return _duplicates(df.sparkSession, total, duplicates)
+
+
+def _duplicates(spark: SparkSession, total: int, duplicates: int) -> DataFrame:
+    return spark.createDataFrame(
         [(total, total - duplicates, duplicates)], "total_rows long, distinct_rows long, duplicate_count long"
     )
 
@@ -404,7 +469,11 @@ def duplicate_report(
     df: DataFrame, scope: str, limits: QualityLimits = QualityLimits()
 ) -> DataFrame:
     """Two report rows: duplicates found, and their share against the limit."""
-    counts = duplicate_counts(df).withColumn(
+    return _duplicate_rows(duplicate_counts(df), scope, limits)
+
+
+def _duplicate_rows(counts: DataFrame, scope: str, limits: QualityLimits) -> DataFrame:
+    counts = counts.withColumn(
         "percent", F.coalesce(F.try_divide("duplicate_count", "total_rows") * 100, F.lit(0.0))
     )
     too_many = F.col("percent") > limits.max_duplicate_percent
@@ -462,6 +531,12 @@ def _report_of(metrics: DataFrame, checks: Sequence[Check], scope: str) -> DataF
     return metrics.selectExpr(f"inline(array({rows}))")
 
 
+def _report_of_values(spark: SparkSession, seen: Mapping[str, float], checks: Sequence[Check], scope: str) -> DataFrame:
+    """Report rows from metrics that are known, by column name."""
+    values = [f"{_double(seen[name])} AS {name}" for name in _metric_names(checks).values()]
+    return _report_of(spark.range(1).selectExpr(*values), checks, scope)
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check], scope: str) -> DataFrame:
     """One aggregate over ``df``, turned into one report row per check."""
     metrics = [f"CAST({metric} AS DOUBLE) AS {name}" for metric, name in _metric_names(checks).items()]
@@ -475,14 +550,21 @@ def validate(
     scope: str = "gold",
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Validation report: one pass for all checks, and one shuffle of hashes for duplicates.
+    """Validation report: one pass for all checks, which with duplicates shuffles hashes and what each row meets.
 
     A frame read from storage has lost which columns cannot be null; ``schema`` gives the one it
     was written with.
     """
-    report = run_checks(df, data_checks(df, rules, limits, schema), scope)
+    checks = data_checks(df, rules, limits, schema)
     if limits.duplicates:
-        report = report.union(duplicate_report(df, scope, limits))
+        conditions = list(dict.fromkeys(check.where for check in checks if check.where is not None))
+        total, duplicates, counted = duplicates_and_conditions(df, conditions)
+        names = _metric_names(checks)
+        seen = {names[check.metric]: check.of(total, counted) for check in checks}
+        report = _report_of_values(df.sparkSession, seen, checks, scope)
+        report = report.union(_duplicate_rows(_duplicates(df.sparkSession, total, duplicates), scope, limits))
+    else:
+        report = run_checks(df, checks, scope)
     if limits.fail_on_error:
         report = checkpointed(report)
         enforce(report, limits)
@@ -550,6 +632,4 @@ class WatchedWrite:
 
     def report(self) -> DataFrame:
         """The report; waits until the write has run."""
-        seen = self._observation.get
-        values = [f"{_double(seen[name])} AS {name}" for name in self._names.values()]
-        return _report_of(self._session.range(1).selectExpr(*values), self._checks, self._scope)
+        return _report_of_values(self._session, self._observation.get, self._checks, self._scope)

@@ -222,3 +222,33 @@ def test_quantiles_are_exact(spark, monkeypatch, few):
     for name, values in columns.items():
         held = sorted(v for v in values if v is not None and v == v)
         assert found[name] == ([held[max(1, math.ceil(s * len(held))) - 1] for s in shares] if held else None)
+
+
+@pytest.mark.parametrize("hash_of", [F.xxhash64, lambda *columns: F.xxhash64(*columns) % 3])
+def test_conditions_go_with_the_hash(spark, hash_of):
+    """As many conditions as need two marks, over repeated rows and rows that share a hash."""
+    rows = [(n % 40, None if n % 4 == 0 else float(n % 5)) for n in range(400)]
+    df = spark.createDataFrame(rows, "a int, b double").repartition(5)
+    conditions = ["b IS NULL", "b > 3", *[f"a = {n} OR b < 1" for n in range(70)]]
+    total, duplicates, counted = q.duplicates_and_conditions(df, conditions, hash_of)
+    assert (total, duplicates) == (400, 400 - len(set(rows)))
+    assert counted == {c: df.where(c).count() for c in conditions}
+    nothing = q.duplicates_and_conditions(df.limit(0), conditions, hash_of)
+    assert nothing == (0, 0, dict.fromkeys(conditions, 0))
+
+
+def test_validation_computes_the_frame_once(spark, sf_dir):
+    """With duplicates, too: rows are neither read nor given their features a second time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    gold = full_gold(spark, sf_dir).localCheckpoint()
+    df, rules = gold.mapInArrow(passed, gold.schema), rules_for("gold")
+    report = q.validate(df, rules).collect()
+    assert seen.value == gold.count()
+    alone = q.run_checks(gold, q.data_checks(df, rules), "gold").union(q.duplicate_report(gold, "gold"))
+    assert sorted(map(str, report)) == sorted(map(str, alone.collect()))
