@@ -102,7 +102,11 @@ def add_frequencies(
     rows, total = grain.agg(F.count("*"), F.coalesce(F.sum("trips"), F.lit(0))).first()
     for name, table in frequencies_from(grain, scope).items():
         if name in only:
-            size = rows if rows <= bounds.broadcast_rows else table.count()
+            size = rows
+            if rows > bounds.broadcast_rows:
+                # summed from many rows, and needed to be counted and again by every pass that joins it
+                table = checkpointed(table)
+                size = table.count()
             trips = attach_counts(trips, table, [*scope, FREQUENCIES[name]], name, size, total, bounds)
     return trips
 
@@ -138,6 +142,9 @@ def add_features(
     if scope is None:
         scope = [key for key in MONTH_KEYS if key in silver.columns]
     gold = silver
+    # first, so that the joins copy rows without the other features
+    if groups.location:
+        gold = add_location_features(gold, groups.frequency, scope, bounds, grain)
     if groups.time:
         gold = add_time_features(gold, groups.cyclic)
     if groups.distance:
@@ -146,6 +153,4 @@ def add_features(
         gold = add_ratio_features(gold)
     if groups.flags:
         gold = add_flag_features(gold)
-    if groups.location:
-        gold = add_location_features(gold, groups.frequency, scope, bounds, grain)
     return gold_projection(gold, keep)
