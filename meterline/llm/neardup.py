@@ -210,7 +210,7 @@ def _slot_counts(sets: DataFrame) -> np.ndarray:
 def parity(shingles: np.ndarray) -> np.ndarray:
     """Sketch of a set: for each of its bits, whether an odd number of shingles fall there."""
     odd = np.bincount(shingles % np.uint32(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
-    return np.packbits(odd.astype(bool)).view("<i8")
+    return np.packbits(odd.astype(bool)).view("<u8")
 
 
 def _prefixes(sets: DataFrame, often: np.ndarray) -> DataFrame:
@@ -224,7 +224,7 @@ def _prefixes(sets: DataFrame, often: np.ndarray) -> DataFrame:
             shingles = np.frombuffer(packed, "<u4")
             order = np.lexsort((shingles, held.value[_slot(shingles)]))
             sizes.append(len(shingles))
-            sketches.append(parity(shingles))
+            sketches.append(parity(shingles).view("<i8"))
             rarest.append(shingles[order[: int(len(shingles) * (1 - SIMILAR) + ROUNDING) + 1]].view("<i4"))
         listed, odd = pa.array(rarest, pa.list_(pa.int32())), pa.array(sketches, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
