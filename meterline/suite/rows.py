@@ -260,6 +260,15 @@ def s13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_counts(read_layer(spark, root)).join(notes, ["year", "month"])
 
 
+def shipped(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Every third nominal month of shipping; trips without one are in the first part.
+
+    The month is told from the stored column, so that no trip is computed for a part it is not in.
+    """
+    nominal = F.coalesce(F.month(F.date_add("l_shipdate", 3)) % 3, F.lit(0))
+    return trips_view(spark, sf_dir, keep=("l_shipdate",)).where(nominal == part).drop("l_shipdate")
+
+
 @entry(
     "s13_land_stray_months",
     o.over_bronze("SELECT year, month, count(*) AS trip_count, round(sum(fare_amount), 6) AS fares FROM bronze GROUP BY ALL"),
@@ -267,10 +276,8 @@ def s13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s13_stray(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files by ship month, whose pickups may lie in another month, landed one after the other, and again."""
     root, raw = empty_lake(spark).layer("bronze"), scratch_path(spark, "raw")
-    trips = trips_view(spark, sf_dir)
-    nominal = F.month(F.date_add("tpep_pickup_datetime", 3)) % 3
     for part in range(3):
-        sinks.write_as(trips.where(nominal == part), raw, mode="append")
+        sinks.write_as(shipped(spark, sf_dir, part), raw, mode="append")
         land_files(spark, raw, root)
     land_files(spark, raw, root)
     return month_counts(read_layer(spark, root), F.round(F.sum("fare_amount"), 6).alias("fares"))
