@@ -118,8 +118,7 @@ def p04(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "monthly")
     stored = read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze"))
     log = p.process_by_month(stored, clean, base, row_wise=False)
-    paths = [row.output_path for row in log.where("success").collect()]
-    return month_counts(spark.read.parquet(*paths))
+    return month_counts(spark.read.parquet(*p.written_paths(log)))
 
 
 @entry(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterline.operators import entity as e
 from meterline.operators import partitions as p
 from meterline.operators import marts
+from meterline.operators.clean import clean
 from meterline.plans import stages
 from meterline.plans import stages as s
 from meterline.plans.stages import Lake
@@ -17,6 +18,7 @@ from meterline.sources import layers
 from meterline.sources.layers import land_bronze, layer_exists, months_present, read_layer, write_layer
 from meterline.sources.scratch import checkpoint_root
 from meterline.sources.trips import trips_view, with_months
+from meterline.suite import runs
 from meterline.suite.frames import gold, stored_lake
 from meterline.suite.rows import ENTRIES
 
@@ -43,6 +45,34 @@ def test_a_failing_value_is_logged_and_the_others_are_written(spark, tmp_path, a
     assert entries["0"].output_path.endswith("/0")
 
 
+def test_what_a_log_with_a_failure_holds_is_not_the_whole(spark, tmp_path):
+    log = p.process_by_value(numbers(spark), "k", fails_on_one, str(tmp_path))
+    with pytest.raises(RuntimeError, match=r"1 of 3 values failed \(1\), the first with: .*bad"):
+        p.written_paths(log)
+    whole = p.process_by_value(numbers(spark), "k", lambda part: part, str(tmp_path))
+    assert p.written_paths(whole) == [f"{tmp_path}/{k}" for k in range(3)]
+
+
+def lines_of(spark, folder, *dates):
+    """A small ``lineitem`` table: one line per ship date, each a clean trip."""
+    line = "100L, 2L, 3L, 1, 4.0D, 2000.0D, 0.05D, 0.02D, 'A', 'F'"
+    lines = " UNION ALL ".join(f"SELECT {line}, TIMESTAMP '{date}'" for date in dates)
+    names = "orderkey partkey suppkey linenumber quantity extendedprice discount tax returnflag linestatus shipdate"
+    spark.sql(lines).toDF(*[f"l_{name}" for name in names.split()]).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_months_that_fail_are_no_result(spark, tmp_path, monkeypatch):
+    """The query counts the months when all are written, and raises when one of them is not."""
+    folder = lines_of(spark, tmp_path, "1998-01-10", "1998-02-10", "1998-02-11", "1999-03-10")
+    query = runs.ENTRIES["p04_process_by_month"].run
+    assert sorted(tuple(row) for row in query(spark, folder).collect()) == [(1998, 1, 1), (1998, 2, 2), (1999, 3, 1)]
+    bad = F.when(F.col("month") == 2, F.raise_error(F.lit("bad month")).cast("int")).otherwise(F.col("month"))
+    monkeypatch.setattr(runs, "clean", lambda df: clean(df.withColumn("month", bad)))
+    with pytest.raises(RuntimeError, match=r"1 of 3 values failed \(2\), the first with: .*bad month"):
+        query(spark, folder)
+
+
 def test_null_is_a_value_of_its_own(spark, tmp_path):
     df = numbers(spark).withColumn("k", F.nullif("k", F.lit(2)))
     log = p.process_by_value(df, "k", lambda part: part, str(tmp_path))
