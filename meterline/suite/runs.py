@@ -142,8 +142,7 @@ def p05(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "batches")
     stored = read_layer(spark, stored_lake(spark, sf_dir, "bronze").layer("bronze"))
     log = p.process_in_batches(stored, "year", clean, base, at_once=3)
-    paths = [row.output_path for row in log.where("success").collect()]
-    return spark.read.parquet(*paths).groupBy("year").agg(F.count("*").alias("trip_count"))
+    return spark.read.parquet(*p.written_paths(log)).groupBy("year").agg(F.count("*").alias("trip_count"))
 
 
 @entry(

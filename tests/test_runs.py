@@ -73,6 +73,21 @@ def test_months_that_fail_are_no_result(spark, tmp_path, monkeypatch):
         query(spark, folder)
 
 
+def test_years_that_fail_are_no_result(spark, tmp_path, monkeypatch):
+    """Side by side, too: the other years are written, and the query raises."""
+    folder = lines_of(spark, tmp_path, "1996-05-01", "1997-05-01", "1997-06-01", "1998-05-01", "1999-05-01")
+    query = runs.ENTRIES["p05_batches"].run
+    assert sorted(tuple(row) for row in query(spark, folder).collect()) == [(1996, 1), (1997, 2), (1998, 1), (1999, 1)]
+    bad = F.when(F.col("year") == 1997, F.raise_error(F.lit("bad year")).cast("int")).otherwise(F.col("year"))
+    monkeypatch.setattr(runs, "clean", lambda df: clean(df.withColumn("year", bad)))
+    scratch = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(scratch.glob("batches-*"))
+    with pytest.raises(RuntimeError, match=r"1 of 4 values failed \(1997\), the first with: .*bad year"):
+        query(spark, folder)
+    (written,) = set(scratch.glob("batches-*")) - before
+    assert sorted(done.parent.name for done in written.glob("*/_SUCCESS")) == ["1996", "1998", "1999"]
+
+
 def test_null_is_a_value_of_its_own(spark, tmp_path):
     df = numbers(spark).withColumn("k", F.nullif("k", F.lit(2)))
     log = p.process_by_value(df, "k", lambda part: part, str(tmp_path))
